@@ -186,18 +186,22 @@ def assign_runs(
     *,
     order_col: str = "seq",
     block_size: int = sequence.DEFAULT_BLOCK,
+    seed_col: str | None = None,
 ) -> DataFrame:
     """Split arrival-ordered trades into consecutive runs of equal interval.
 
     Adds ``begin`` and ``run_id`` (1, 2, ... per symbol in arrival order).  A
     run ends when a trade's interval differs from the previous trade's.
     Lag and running count use the blocked sequence plan, so one symbol is
-    spread over many tasks.
+    spread over many tasks.  ``seed_col`` (streaming tails) is added into the
+    running count, so a carried-over row can continue an earlier run id.
     """
     p = parse_period(period) if isinstance(period, str) else period
     keyed = trades.withColumn("begin", period_begin("ts", p))
     with_prev = sequence.with_previous(keyed, ["symbol"], order_col, ["begin"], block_size=block_size)
     changed = (F.col("prev_begin").isNull() | (F.col("prev_begin") != F.col("begin"))).cast("long")
+    if seed_col:
+        changed = changed + F.coalesce(F.col(seed_col).cast("long"), F.lit(0))
     flagged = with_prev.withColumn("_changed", changed).drop("prev_begin")
     runs = sequence.prefix_sum(flagged, ["symbol"], order_col, "_changed", "run_id", block_size=block_size)
     return runs.drop("_changed")
