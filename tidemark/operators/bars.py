@@ -85,8 +85,13 @@ def ohlcv(
     with_seq: bool = False,
     nan_compat: bool = True,
 ) -> DataFrame:
-    """One bar per group of ``keys`` (A1/A2/A3).  No group, no bar."""
-    return trades.groupBy(*keys).agg(*ohlcv_aggs(tie_break, with_seq=with_seq, nan_compat=nan_compat))
+    """One bar per group of ``keys`` (A1/A2/A3).  No group, no bar.
+
+    Without keys this is a global fold; Spark returns one all-null row for an
+    empty global aggregate, which is dropped (no trade, no bar).
+    """
+    out = trades.groupBy(*keys).agg(*ohlcv_aggs(tie_break, with_seq=with_seq, nan_compat=nan_compat))
+    return out if keys else out.where(F.col("n") > 0)
 
 
 def periodic_ohlcv(
