@@ -203,13 +203,8 @@ def assign_runs(
     """
     p = parse_period(period) if isinstance(period, str) else period
     keyed = trades.withColumn("begin", period_begin("ts", p))
-    with_prev = sequence.with_previous(keyed, ["symbol"], order_col, ["begin"], block_size=block_size)
-    changed = (F.col("prev_begin").isNull() | (F.col("prev_begin") != F.col("begin"))).cast("long")
-    if seed_col:
-        changed = changed + F.coalesce(F.col(seed_col).cast("long"), F.lit(0))
-    flagged = with_prev.withColumn("_changed", changed).drop("prev_begin")
-    runs = sequence.prefix_sum(flagged, ["symbol"], order_col, "_changed", "run_id", block_size=block_size)
-    return runs.drop("_changed")
+    return sequence.segment_ids(keyed, ["symbol"], order_col, "begin", "run_id", block_size=block_size,
+                                seed_col=seed_col)
 
 
 def ohlcv_runs(

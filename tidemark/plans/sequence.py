@@ -61,7 +61,9 @@ def with_blocks(df: DataFrame, order_col: str, descending: bool = False, block_s
         return df
     if block_size <= 0:
         raise ValueError("block_size must be positive")
-    return df.withColumn(ORD, ordinal(df, order_col, descending)).withColumn(
+    # rows without an order value come first (Spark's NULLS FIRST) instead of being lost
+    first = F.lit(-(2**63)).cast("long")
+    return df.withColumn(ORD, F.coalesce(ordinal(df, order_col, descending), first)).withColumn(
         BLK, F.expr(f"({ORD} - pmod({ORD}, {int(block_size)}L)) div {int(block_size)}L")
     )
 
@@ -78,13 +80,47 @@ def _summary_window(keys: Sequence[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(BLK)
 
 
-def _join_summary(d: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-block summary columns; null-safe on the keys so no row is lost."""
-    on = list(keys) + [BLK]
-    s = summary.select(*[F.col(k).alias(f"_s_{k}") for k in on], *[c for c in summary.columns if c not in on])
-    cond = [d[k].eqNullSafe(s[f"_s_{k}"]) for k in on]
-    joined = d.join(s, cond, "left")
-    return joined.drop(*[f"_s_{k}" for k in on])
+def _zero(dtype: T.DataType) -> Column:
+    if isinstance(dtype, T.StringType):
+        return F.lit("")
+    if isinstance(dtype, T.BooleanType):
+        return F.lit(False)
+    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit(0).cast("timestamp").cast(dtype) if not isinstance(dtype, T.DateType) else F.lit("1970-01-01").cast("date")
+    if isinstance(dtype, T.NumericType):
+        return F.lit(0).cast(dtype)
+    raise TypeError(f"unsupported key type {dtype}")
+
+
+def with_key_surrogates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Non-null stand-ins for the grouping keys, so plain equi-joins keep null keys exact.
+
+    A nullable key ``k`` becomes ``coalesce(k, zero)`` plus a null flag; the
+    window, the summary and the join all use the same columns, so the join
+    reuses the window's hash partitioning instead of shuffling the big side
+    again when the summary is too large to broadcast.
+    """
+    names: list[str] = []
+    for i, k in enumerate(keys):
+        f = df.schema[k]
+        if not f.nullable:
+            names.append(k)
+            continue
+        kv, kn = f"_kv{i}", f"_kn{i}"
+        if kv not in df.columns:
+            df = df.withColumn(kv, F.coalesce(F.col(k), _zero(f.dataType).cast(f.dataType))).withColumn(
+                kn, F.col(k).isNull())
+        names += [kv, kn]
+    return df, names
+
+
+def drop_surrogates(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_kv") or c.startswith("_kn")])
+
+
+def _join_summary(d: DataFrame, summary: DataFrame, pkeys: Sequence[str]) -> DataFrame:
+    """Attach per-block summary columns with an equi-join on (keys, block)."""
+    return d.join(summary, [*pkeys, BLK], "inner")
 
 
 def prefix_sums(
@@ -104,6 +140,7 @@ def prefix_sums(
     first sum (e.g. the row count when summing 1).
     """
     d = with_blocks(df, order_col, descending, block_size)
+    d, keys = with_key_surrogates(d, keys)
     w_in = _block_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     exprs = {out: (F.col(v) if isinstance(v, str) else v) for out, v in sums.items()}
     for out, v in exprs.items():
@@ -122,7 +159,7 @@ def prefix_sums(
     for out in exprs:
         j = j.withColumn(out, F.col(f"_o_{out}") + F.col(f"_in_{out}"))
     j = j.drop(*[f"_{p}_{out}" for out in exprs for p in ("v", "in", "o")])
-    return j if keep_blocks else drop_blocks(j)
+    return j if keep_blocks else drop_surrogates(drop_blocks(j))
 
 
 def prefix_sum(
@@ -167,6 +204,7 @@ def with_previous(
 ) -> DataFrame:
     """``lag(col)`` per key in order, across block boundaries."""
     d = with_blocks(df, order_col, descending, block_size)
+    d, keys = with_key_surrogates(d, keys)
     w = _block_window(keys)
     d = d.withColumn("_first_in_blk", F.lag(ORD).over(w).isNull())
     for c in cols:
@@ -179,7 +217,7 @@ def with_previous(
             f"{prefix}{c}", F.when(F.col("_first_in_blk"), F.col("_prev_last")[c]).otherwise(F.col(f"_lag_{c}"))
         )
     j = j.drop("_first_in_blk", "_prev_last", *[f"_lag_{c}" for c in cols])
-    return j if keep_blocks else drop_blocks(j)
+    return j if keep_blocks else drop_surrogates(drop_blocks(j))
 
 
 def frame_aggregates(
@@ -219,3 +257,51 @@ def frame_aggregates(
     for out, (n, agg) in frames.items():
         parts = parts.withColumn(out, agg.over(w.rowsBetween(0, n - 1)))
     return parts.where(~F.col("_halo")).drop("_chunk", "_halo")
+
+
+def segment_ids(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    value_col: str,
+    out: str = "run_id",
+    *,
+    descending: bool = False,
+    block_size: int = DEFAULT_BLOCK,
+    seed_col: str | None = None,
+) -> DataFrame:
+    """Number the consecutive runs of equal ``value_col`` per key in order (1, 2, ...).
+
+    One pass: inside each block a window finds the changes; a per-block
+    summary (first value, last value, number of changes) and a window over
+    the summary give every block its starting run id.  ``seed_col`` adds an
+    extra increment at a row (used to continue run ids across stream batches).
+    """
+    d = with_blocks(df, order_col, descending, block_size)
+    d, keys = with_key_surrogates(d, keys)
+    w = _block_window(keys)
+    v = F.col(value_col)
+    prev = F.lag(value_col).over(w)
+    inc = F.when(prev.isNotNull() & ~prev.eqNullSafe(v), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    if seed_col:
+        inc = inc + F.coalesce(F.col(seed_col).cast("long"), F.lit(0))
+    d = d.withColumn("_inc", inc)
+    d = d.withColumn("_local", F.sum("_inc").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summary = d.groupBy(*keys, BLK).agg(
+        F.min_by(v, ORD).alias("_first_v"),
+        F.max_by(v, ORD).alias("_last_v"),
+        F.sum("_inc").alias("_internal"),
+    )
+    sw = _summary_window(keys)
+    prev_last = F.lag("_last_v").over(sw)
+    summary = summary.withColumn(
+        "_first_new", F.when(prev_last.isNull() | ~prev_last.eqNullSafe(F.col("_first_v")), F.lit(1)).otherwise(F.lit(0))
+    )
+    summary = summary.withColumn(
+        "_off",
+        F.coalesce(F.sum(F.col("_internal") + F.col("_first_new")).over(
+            sw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+    ).select(*keys, BLK, "_off", "_first_new")
+    j = _join_summary(d, summary, keys)
+    j = j.withColumn(out, (F.col("_off") + F.col("_first_new") + F.col("_local")).cast("long"))
+    return drop_surrogates(drop_blocks(j.drop("_inc", "_local", "_off", "_first_new")))
