@@ -114,24 +114,36 @@ def known_zones() -> set[str]:
 def period_begin(ts: Column | str, period: Period | str) -> Column:
     """Begin of the aligned interval that contains ``ts`` (NTZ in, NTZ out)."""
     period = parse_period(period) if isinstance(period, str) else period
-    ts = F.col(ts) if isinstance(ts, str) else ts
+    if isinstance(ts, str):
+        return F.expr(_begin_sql("`" + ts.replace("`", "``") + "`", period))
     if period.kind == "hourly":
         return F.window(ts, "1 hour").start
     if period.fixed_offset_s is not None:
-        # local midnight at offset +o is UTC (-o) mod 24h: a shifted tumbling window
         start_s = (-period.fixed_offset_s) % 86400
         return F.window(ts, "1 day", "1 day", f"{start_s} seconds").start
-    zone = F.lit(period.zone)
-    utc = F.lit("UTC")
+    zone, utc = F.lit(period.zone), F.lit("UTC")
     local_day = F.to_date(F.convert_timezone(utc, zone, ts))
     return F.convert_timezone(zone, utc, local_day.cast("timestamp_ntz"))
 
 
+def _begin_sql(ts: str, period: Period) -> str:
+    if period.kind == "hourly":
+        return f"window({ts}, '1 hour').start"
+    if period.fixed_offset_s is not None:
+        # local midnight at offset +o is UTC (-o) mod 24h: a shifted tumbling window
+        start_s = (-period.fixed_offset_s) % 86400
+        return f"window({ts}, '1 day', '1 day', '{start_s} seconds').start"
+    zone = period.zone.replace("'", "")
+    return (f"convert_timezone('{zone}', 'UTC', "
+            f"CAST(to_date(convert_timezone('UTC', '{zone}', {ts})) AS TIMESTAMP_NTZ))")
+
+
 def period_end(begin: Column | str, period: Period | str) -> Column:
     """End of the interval: begin + 1 hour, or begin + 24 elapsed hours."""
     period = parse_period(period) if isinstance(period, str) else period
-    begin = F.col(begin) if isinstance(begin, str) else begin
     step = "INTERVAL 1 HOUR" if period.kind == "hourly" else "INTERVAL 24 HOURS"
+    if isinstance(begin, str):
+        return F.expr(f"`{begin}` + {step}")
     return begin + F.expr(step)
 
 

@@ -35,9 +35,23 @@ def _check_tie(tie_break: str | None) -> None:
         raise ValueError(f"tie_break must be one of {TIE_RULES}, got {tie_break!r}")
 
 
-def _nan_safe_low(low: Column, any_nan: Column) -> Column:
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _low_sql(col: str, nan_compat: bool) -> str:
     # JVM min propagates NaN; Spark's min skips it.
-    return F.when(any_nan, F.lit(float("nan"))).otherwise(low)
+    if not nan_compat:
+        return f"min({col})"
+    return f"CASE WHEN bool_or(isnan({col})) THEN CAST('NaN' AS DOUBLE) ELSE min({col}) END"
+
+
+def _order_keys(tie_break: str | None, t: str, s: str | None) -> tuple[str, str]:
+    if tie_break is None or s is None:
+        return t, t
+    sign = "-" if tie_break == "prepend" else ""
+    k = f"named_struct('t', {t}, 's', {sign}{s})"
+    return k, k
 
 
 def ohlcv_aggs(
@@ -52,29 +66,21 @@ def ohlcv_aggs(
 ) -> list[Column]:
     """Aggregate expressions of one bar (A1 ``prepend``, A2 ``append``)."""
     _check_tie(tie_break)
-    t, s = F.col(ts), F.col(seq)
-    if tie_break is None:
-        open_key, close_key = t, t
-    elif tie_break == "prepend":
-        open_key = close_key = F.struct(t.alias("t"), (-s).alias("s"))
-    else:
-        open_key = close_key = F.struct(t.alias("t"), s.alias("s"))
-    low = F.min(price)
-    if nan_compat:
-        low = _nan_safe_low(low, F.bool_or(F.isnan(price)))
-    aggs = [
-        F.min_by(price, open_key).alias("open"),
-        F.max(price).alias("high"),
-        low.alias("low"),
-        F.max_by(price, close_key).alias("close"),
-        F.sum(amount).alias("volume"),
-        F.count(F.lit(1)).alias("n"),
-        F.min(t).alias("first_ts"),
-        F.max(t).alias("last_ts"),
+    t, s, p, a = _q(ts), _q(seq), _q(price), _q(amount)
+    ok, ck = _order_keys(tie_break, t, s)
+    exprs = [
+        f"min_by({p}, {ok}) AS open",
+        f"max({p}) AS high",
+        f"{_low_sql(p, nan_compat)} AS low",
+        f"max_by({p}, {ck}) AS close",
+        f"sum({a}) AS volume",
+        "count(1) AS n",
+        f"min({t}) AS first_ts",
+        f"max({t}) AS last_ts",
     ]
     if with_seq:
-        aggs += [F.min_by(s, open_key).alias("open_seq"), F.max_by(s, close_key).alias("close_seq")]
-    return aggs
+        exprs += [f"min_by({s}, {ok}) AS open_seq", f"max_by({s}, {ck}) AS close_seq"]
+    return [F.expr(e) for e in exprs]
 
 
 def ohlcv(
@@ -120,31 +126,24 @@ def periodic_ohlcv(
 def merge_aggs(tie_break: str | None = "prepend", *, has_seq: bool = True, nan_compat: bool = True) -> list[Column]:
     """Aggregates that merge bars into one (A5); the fold is associative."""
     _check_tie(tie_break)
-    f, last = F.col("first_ts"), F.col("last_ts")
     if tie_break is None or not has_seq:
-        open_key, close_key = f, last
-    elif tie_break == "prepend":
-        open_key = F.struct(f.alias("t"), (-F.col("open_seq")).alias("s"))
-        close_key = F.struct(last.alias("t"), (-F.col("close_seq")).alias("s"))
+        ok, ck = "first_ts", "last_ts"
     else:
-        open_key = F.struct(f.alias("t"), F.col("open_seq").alias("s"))
-        close_key = F.struct(last.alias("t"), F.col("close_seq").alias("s"))
-    low = F.min("low")
-    if nan_compat:
-        low = _nan_safe_low(low, F.bool_or(F.isnan("low")))
-    aggs = [
-        F.min_by("open", open_key).alias("open"),
-        F.max("high").alias("high"),
-        low.alias("low"),
-        F.max_by("close", close_key).alias("close"),
-        F.sum("volume").alias("volume"),
-        F.sum("n").alias("n"),
-        F.min(f).alias("first_ts"),
-        F.max(last).alias("last_ts"),
+        ok, _ = _order_keys(tie_break, "first_ts", "open_seq")
+        ck, _ = _order_keys(tie_break, "last_ts", "close_seq")
+    exprs = [
+        f"min_by(open, {ok}) AS open",
+        "max(high) AS high",
+        f"{_low_sql('low', nan_compat)} AS low",
+        f"max_by(close, {ck}) AS close",
+        "sum(volume) AS volume",
+        "sum(n) AS n",
+        "min(first_ts) AS first_ts",
+        "max(last_ts) AS last_ts",
     ]
     if has_seq:
-        aggs += [F.min_by("open_seq", open_key).alias("open_seq"), F.max_by("close_seq", close_key).alias("close_seq")]
-    return aggs
+        exprs += [f"min_by(open_seq, {ok}) AS open_seq", f"max_by(close_seq, {ck}) AS close_seq"]
+    return [F.expr(e) for e in exprs]
 
 
 def merge_ohlcv(

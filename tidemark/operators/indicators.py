@@ -73,10 +73,11 @@ def moving_averages(
     d = sequence.number_rows(
         df, keys, order_col, "_pos", descending=newest_first, block_size=block_size, with_total="_len"
     )
-    frames = {name: (n, F.avg(value_col)) for name, n in zip(names, sizes)}
+    v = "`" + value_col.replace("`", "``") + "`"
+    frames = {name: (n, f"avg({v})") for name, n in zip(names, sizes)}
     d = sequence.frame_aggregates(d, keys, "_pos", frames, chunk_rows=chunk_rows)
     lost = sum(n - 1 for n in sizes) if chained else max(sizes) - 1
-    d = d.where(F.col("_pos") <= F.col("_len") - F.lit(lost)).drop("_pos", "_len")
+    d = d.where(F.expr(f"_pos <= _len - {lost}")).drop("_pos", "_len")
     if fmt:
         for name in names:
             d = d.withColumn(name, F.format_string(fmt, F.col(name)))

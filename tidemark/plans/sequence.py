@@ -34,6 +34,27 @@ DEFAULT_BLOCK = 1 << 20  # ordinal units per block (seq values, days, microsecon
 DEFAULT_CHUNK = 1 << 16  # rows per chunk for row frames
 
 ORD, BLK = "_ord", "_blk"
+_FIRST = -(2**63)
+
+
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _keys_sql(keys: Sequence[str]) -> str:
+    return ", ".join(_q(k) for k in keys)
+
+
+def _over_block(keys: Sequence[str], frame: str = "") -> str:
+    return f"OVER (PARTITION BY {_keys_sql(keys)}, {BLK} ORDER BY {ORD}{frame})"
+
+
+def _over_summary(keys: Sequence[str], frame: str = "") -> str:
+    return f"OVER (PARTITION BY {_keys_sql(keys)} ORDER BY {BLK}{frame})"
+
+
+_RUNNING = " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+_BEFORE = " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def ordinal(df: DataFrame, order_col: str, descending: bool = False) -> Column:
@@ -55,72 +76,66 @@ def ordinal(df: DataFrame, order_col: str, descending: bool = False) -> Column:
     return -o if descending else o
 
 
-def with_blocks(df: DataFrame, order_col: str, descending: bool = False, block_size: int = DEFAULT_BLOCK) -> DataFrame:
-    """Add ``_ord`` and ``_blk`` (kept if already present, so chained operators share one shuffle)."""
-    if ORD in df.columns and BLK in df.columns:
-        return df
-    if block_size <= 0:
-        raise ValueError("block_size must be positive")
-    # rows without an order value come first (Spark's NULLS FIRST) instead of being lost
-    first = F.lit(-(2**63)).cast("long")
-    return df.withColumn(ORD, F.coalesce(ordinal(df, order_col, descending), first)).withColumn(
-        BLK, F.expr(f"({ORD} - pmod({ORD}, {int(block_size)}L)) div {int(block_size)}L")
-    )
-
-
-def drop_blocks(df: DataFrame) -> DataFrame:
-    return df.drop(ORD, BLK)
-
-
-def _block_window(keys: Sequence[str]) -> Window:
-    return Window.partitionBy(*keys, BLK).orderBy(ORD)
-
-
-def _summary_window(keys: Sequence[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy(BLK)
-
-
-def _zero(dtype: T.DataType) -> Column:
+def _zero_sql(dtype: T.DataType) -> str:
     if isinstance(dtype, T.StringType):
-        return F.lit("")
+        return "''"
     if isinstance(dtype, T.BooleanType):
-        return F.lit(False)
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-        return F.lit(0).cast("timestamp").cast(dtype) if not isinstance(dtype, T.DateType) else F.lit("1970-01-01").cast("date")
+        return "false"
+    if isinstance(dtype, T.DateType):
+        return "DATE'1970-01-01'"
+    if isinstance(dtype, T.TimestampNTZType):
+        return "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+    if isinstance(dtype, T.TimestampType):
+        return "CAST(0 AS TIMESTAMP)"
     if isinstance(dtype, T.NumericType):
-        return F.lit(0).cast(dtype)
+        return f"CAST(0 AS {dtype.simpleString()})"
     raise TypeError(f"unsupported key type {dtype}")
 
 
-def with_key_surrogates(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Non-null stand-ins for the grouping keys, so plain equi-joins keep null keys exact.
+def with_blocks(
+    df: DataFrame, order_col: str, descending: bool = False, block_size: int = DEFAULT_BLOCK,
+    keys: Sequence[str] = (),
+) -> tuple[DataFrame, list[str]]:
+    """Add ``_ord``, ``_blk`` and non-null key surrogates; return the partition key names.
 
-    A nullable key ``k`` becomes ``coalesce(k, zero)`` plus a null flag; the
-    window, the summary and the join all use the same columns, so the join
-    reuses the window's hash partitioning instead of shuffling the big side
-    again when the summary is too large to broadcast.
+    Rows without an order value come first (Spark's NULLS FIRST) instead of
+    being lost.  A nullable key ``k`` gets ``coalesce(k, zero)`` plus a null
+    flag, so the window, the summary and the join all use plain equi-keys:
+    the join then reuses the window's hash partitioning instead of shuffling
+    the big side again when the summary is too large to broadcast.
+    Columns already present are kept, so chained operators share one shuffle.
     """
-    names: list[str] = []
+    if block_size <= 0:
+        raise ValueError("block_size must be positive")
+    pkeys: list[str] = []
+    extra: dict[str, Column] = {}
     for i, k in enumerate(keys):
         f = df.schema[k]
         if not f.nullable:
-            names.append(k)
+            pkeys.append(k)
             continue
         kv, kn = f"_kv{i}", f"_kn{i}"
         if kv not in df.columns:
-            df = df.withColumn(kv, F.coalesce(F.col(k), _zero(f.dataType).cast(f.dataType))).withColumn(
-                kn, F.col(k).isNull())
-        names += [kv, kn]
-    return df, names
-
-
-def drop_surrogates(df: DataFrame) -> DataFrame:
-    return df.drop(*[c for c in df.columns if c.startswith("_kv") or c.startswith("_kn")])
+            extra[kv] = F.expr(f"coalesce({_q(k)}, {_zero_sql(f.dataType)})")
+            extra[kn] = F.expr(f"{_q(k)} IS NULL")
+        pkeys += [kv, kn]
+    if ORD not in df.columns:
+        df = df.withColumn(ORD, F.coalesce(ordinal(df, order_col, descending), F.lit(_FIRST).cast("long")))
+        b = int(block_size)
+        extra[BLK] = F.expr(f"({ORD} - pmod({ORD}, {b}L)) div {b}L")
+    if extra:
+        df = df.withColumns(extra)
+    return df, pkeys
+
+
+def _finish(df: DataFrame, keep_blocks: bool) -> DataFrame:
+    if keep_blocks:
+        return df
+    return df.drop(ORD, BLK, *[c for c in df.columns if c.startswith("_kv") or c.startswith("_kn")])
 
 
-def _join_summary(d: DataFrame, summary: DataFrame, pkeys: Sequence[str]) -> DataFrame:
-    """Attach per-block summary columns with an equi-join on (keys, block)."""
-    return d.join(summary, [*pkeys, BLK], "inner")
+def drop_blocks(df: DataFrame) -> DataFrame:
+    return _finish(df, False)
 
 
 def prefix_sums(
@@ -136,40 +151,26 @@ def prefix_sums(
 ) -> DataFrame:
     """Running (inclusive) sums per key in order: ``out = sum(value) over rows <= current``.
 
+    ``sums`` maps an output name to a value column (or SQL text).
     ``with_total`` names an extra column holding the key's grand total of the
     first sum (e.g. the row count when summing 1).
     """
-    d = with_blocks(df, order_col, descending, block_size)
-    d, keys = with_key_surrogates(d, keys)
-    w_in = _block_window(keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    exprs = {out: (F.col(v) if isinstance(v, str) else v) for out, v in sums.items()}
-    for out, v in exprs.items():
-        d = d.withColumn(f"_v_{out}", v)
-    for out in exprs:
-        d = d.withColumn(f"_in_{out}", F.sum(f"_v_{out}").over(w_in))
-    summary = d.groupBy(*keys, BLK).agg(*[F.sum(f"_v_{out}").alias(f"_t_{out}") for out in exprs])
-    w_before = _summary_window(keys).rowsBetween(Window.unboundedPreceding, -1)
-    for out in exprs:
-        summary = summary.withColumn(f"_o_{out}", F.coalesce(F.sum(f"_t_{out}").over(w_before), F.lit(0)))
+    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    outs = list(sums)
+    d = d.withColumns({f"_v_{o}": (F.expr(v) if isinstance(v, str) else v) for o, v in sums.items()})
+    d = d.withColumns({f"_in_{o}": F.expr(f"sum(_v_{o}) {_over_block(pk, _RUNNING)}") for o in outs})
+    summary = d.groupBy(*pk, BLK).agg(*[F.expr(f"sum(_v_{o}) AS _t_{o}") for o in outs])
+    offs = {f"_o_{o}": F.expr(f"coalesce(sum(_t_{o}) {_over_summary(pk, _BEFORE)}, 0)") for o in outs}
     if with_total:
-        first = next(iter(exprs))
-        summary = summary.withColumn(with_total, F.sum(f"_t_{first}").over(Window.partitionBy(*keys)))
-    summary = summary.drop(*[f"_t_{out}" for out in exprs])
-    j = _join_summary(d, summary, keys)
-    for out in exprs:
-        j = j.withColumn(out, F.col(f"_o_{out}") + F.col(f"_in_{out}"))
-    j = j.drop(*[f"_{p}_{out}" for out in exprs for p in ("v", "in", "o")])
-    return j if keep_blocks else drop_surrogates(drop_blocks(j))
+        offs[with_total] = F.expr(f"sum(_t_{outs[0]}) OVER (PARTITION BY {_keys_sql(pk)})")
+    summary = summary.withColumns(offs).drop(*[f"_t_{o}" for o in outs])
+    j = d.join(summary, [*pk, BLK], "inner")
+    j = j.withColumns({o: F.expr(f"_o_{o} + _in_{o}") for o in outs})
+    j = j.drop(*[f"_{p}_{o}" for o in outs for p in ("v", "in", "o")])
+    return _finish(j, keep_blocks)
 
 
-def prefix_sum(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_col: str,
-    value: Column | str,
-    out: str,
-    **kw,
-) -> DataFrame:
+def prefix_sum(df: DataFrame, keys: Sequence[str], order_col: str, value: Column | str, out: str, **kw) -> DataFrame:
     return prefix_sums(df, keys, order_col, {out: value}, **kw)
 
 
@@ -186,7 +187,7 @@ def number_rows(
 ) -> DataFrame:
     """1-based position of each row within its key (W7); optionally the key's row count."""
     return prefix_sums(
-        df, keys, order_col, {out: F.lit(1).cast("long")},
+        df, keys, order_col, {out: "1L"},
         descending=descending, block_size=block_size, with_total=with_total, keep_blocks=keep_blocks,
     )
 
@@ -203,39 +204,36 @@ def with_previous(
     keep_blocks: bool = False,
 ) -> DataFrame:
     """``lag(col)`` per key in order, across block boundaries."""
-    d = with_blocks(df, order_col, descending, block_size)
-    d, keys = with_key_surrogates(d, keys)
-    w = _block_window(keys)
-    d = d.withColumn("_first_in_blk", F.lag(ORD).over(w).isNull())
-    for c in cols:
-        d = d.withColumn(f"_lag_{c}", F.lag(c).over(w))
-    last = d.groupBy(*keys, BLK).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), ORD).alias("_last"))
-    last = last.withColumn("_prev_last", F.lag("_last").over(_summary_window(keys))).drop("_last")
-    j = _join_summary(d, last, keys)
-    for c in cols:
-        j = j.withColumn(
-            f"{prefix}{c}", F.when(F.col("_first_in_blk"), F.col("_prev_last")[c]).otherwise(F.col(f"_lag_{c}"))
-        )
+    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    lags = {"_first_in_blk": F.expr(f"lag({ORD}) {_over_block(pk)} IS NULL")}
+    lags.update({f"_lag_{c}": F.expr(f"lag({_q(c)}) {_over_block(pk)}") for c in cols})
+    d = d.withColumns(lags)
+    last = d.groupBy(*pk, BLK).agg(F.expr(f"max_by(struct({', '.join(_q(c) for c in cols)}), {ORD}) AS _last"))
+    last = last.select(*pk, BLK, F.expr(f"lag(_last) {_over_summary(pk)} AS _prev_last"))
+    j = d.join(last, [*pk, BLK], "inner")
+    j = j.withColumns({
+        f"{prefix}{c}": F.expr(f"CASE WHEN _first_in_blk THEN _prev_last.{_q(c)} ELSE _lag_{c} END") for c in cols
+    })
     j = j.drop("_first_in_blk", "_prev_last", *[f"_lag_{c}" for c in cols])
-    return j if keep_blocks else drop_surrogates(drop_blocks(j))
+    return _finish(j, keep_blocks)
 
 
 def frame_aggregates(
     df: DataFrame,
     keys: Sequence[str],
     pos_col: str,
-    frames: Mapping[str, tuple[int, Column]],
+    frames: Mapping[str, tuple[int, Column | str]],
     *,
     chunk_rows: int = DEFAULT_CHUNK,
 ) -> DataFrame:
     """Aggregates over the forward row frame ``pos .. pos+n-1`` (per output column).
 
-    ``frames`` maps an output name to ``(n, aggregate_expression)``.  Rows are
-    cut into chunks of ``C >= max(n)`` consecutive positions; the first
-    ``max(n)-1`` rows of each chunk are also copied (as a halo) into the
-    previous chunk, so each chunk's frames are complete and every chunk is an
-    independent task.  Frames that run past the key's last row are partial;
-    the caller filters by position.
+    ``frames`` maps an output name to ``(n, aggregate)`` (a Column or SQL such
+    as ``"avg(price)"``).  Rows are cut into chunks of ``C >= max(n)``
+    consecutive positions; the first ``max(n)-1`` rows of each chunk are also
+    copied (as a halo) into the previous chunk, so each chunk's frames are
+    complete and every chunk is an independent task.  Frames that run past the
+    key's last row are partial; the caller filters by position.
     """
     if not frames:
         return df
@@ -243,19 +241,21 @@ def frame_aggregates(
     if nmax <= 0:
         raise ValueError("frame length must be positive")
     c = max(int(chunk_rows), nmax)
-    pos0 = F.col(pos_col) - F.lit(1)
-    base = df.withColumn("_chunk", F.floor(pos0 / F.lit(c)).cast("long")).withColumn("_halo", F.lit(False))
-    parts = base
-    if nmax > 1:
-        halo = (
-            base.where((F.pmod(pos0, F.lit(c)) < F.lit(nmax - 1)) & (F.col("_chunk") > 0))
-            .withColumn("_chunk", F.col("_chunk") - F.lit(1))
-            .withColumn("_halo", F.lit(True))
-        )
-        parts = base.unionByName(halo)
+    pos = _q(pos_col)
+    # every row once in its own chunk; the first nmax-1 rows of a chunk once more, as halo of the previous one
+    copies = (f"CASE WHEN pmod({pos} - 1, {c}L) < {nmax - 1} AND ({pos} - 1) div {c}L > 0 "
+              "THEN array(0, 1) ELSE array(0) END")
+    parts = df.withColumn("_copy", F.explode(F.expr(copies))).withColumns({
+        "_chunk": F.expr(f"({pos} - 1) div {c}L - _copy"), "_halo": F.expr("_copy = 1")}).drop("_copy")
+    spec = f"PARTITION BY {_keys_sql(keys)}, _chunk ORDER BY {pos}"
     w = Window.partitionBy(*keys, "_chunk").orderBy(pos_col)
+    cols = {}
     for out, (n, agg) in frames.items():
-        parts = parts.withColumn(out, agg.over(w.rowsBetween(0, n - 1)))
+        if isinstance(agg, str):
+            cols[out] = F.expr(f"{agg} OVER ({spec} ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)")
+        else:
+            cols[out] = agg.over(w.rowsBetween(0, n - 1))
+    parts = parts.withColumns(cols)
     return parts.where(~F.col("_halo")).drop("_chunk", "_halo")
 
 
@@ -277,31 +277,22 @@ def segment_ids(
     the summary give every block its starting run id.  ``seed_col`` adds an
     extra increment at a row (used to continue run ids across stream batches).
     """
-    d = with_blocks(df, order_col, descending, block_size)
-    d, keys = with_key_surrogates(d, keys)
-    w = _block_window(keys)
-    v = F.col(value_col)
-    prev = F.lag(value_col).over(w)
-    inc = F.when(prev.isNotNull() & ~prev.eqNullSafe(v), F.lit(1)).otherwise(F.lit(0)).cast("long")
+    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    v = _q(value_col)
+    prev = f"lag({v}) {_over_block(pk)}"
+    inc = f"CASE WHEN {prev} IS NOT NULL AND NOT ({prev} <=> {v}) THEN 1L ELSE 0L END"
     if seed_col:
-        inc = inc + F.coalesce(F.col(seed_col).cast("long"), F.lit(0))
-    d = d.withColumn("_inc", inc)
-    d = d.withColumn("_local", F.sum("_inc").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    summary = d.groupBy(*keys, BLK).agg(
-        F.min_by(v, ORD).alias("_first_v"),
-        F.max_by(v, ORD).alias("_last_v"),
-        F.sum("_inc").alias("_internal"),
-    )
-    sw = _summary_window(keys)
-    prev_last = F.lag("_last_v").over(sw)
-    summary = summary.withColumn(
-        "_first_new", F.when(prev_last.isNull() | ~prev_last.eqNullSafe(F.col("_first_v")), F.lit(1)).otherwise(F.lit(0))
-    )
+        inc = f"({inc} + coalesce(CAST({_q(seed_col)} AS BIGINT), 0L))"
+    d = d.withColumn("_inc", F.expr(inc))
+    d = d.withColumn("_local", F.expr(f"sum(_inc) {_over_block(pk, _RUNNING)}"))
+    summary = d.groupBy(*pk, BLK).agg(
+        F.expr(f"min_by({v}, {ORD}) AS _first_v"), F.expr(f"max_by({v}, {ORD}) AS _last_v"),
+        F.expr("sum(_inc) AS _internal"))
+    prev_last = f"lag(_last_v) {_over_summary(pk)}"
     summary = summary.withColumn(
-        "_off",
-        F.coalesce(F.sum(F.col("_internal") + F.col("_first_new")).over(
-            sw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-    ).select(*keys, BLK, "_off", "_first_new")
-    j = _join_summary(d, summary, keys)
-    j = j.withColumn(out, (F.col("_off") + F.col("_first_new") + F.col("_local")).cast("long"))
-    return drop_surrogates(drop_blocks(j.drop("_inc", "_local", "_off", "_first_new")))
+        "_first_new", F.expr(f"CASE WHEN {prev_last} IS NULL OR NOT ({prev_last} <=> _first_v) THEN 1L ELSE 0L END"))
+    summary = summary.select(*pk, BLK, "_first_new", F.expr(
+        f"coalesce(sum(_internal + _first_new) {_over_summary(pk, _BEFORE)}, 0L) AS _off"))
+    j = d.join(summary, [*pk, BLK], "inner")
+    j = j.withColumn(out, F.expr("_off + _first_new + _local"))
+    return _finish(j.drop("_inc", "_local", "_off", "_first_new"), False)

@@ -10,6 +10,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,27 +21,43 @@ TRADE_COLUMNS = ["symbol", "seq", "ts", "price", "amount"]
 QUOTE_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "adj_close"]
 
 
+_SCHEMAS: dict[tuple, object] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table; its inferred schema is remembered per file version, so repeated
+    reads skip the footer round trip (the read itself is unchanged)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    try:
+        st = os.stat(path)
+        key = (path, st.st_mtime_ns, st.st_size)
+    except OSError:
+        return spark.read.parquet(path)
+    schema = _SCHEMAS.get(key)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[key] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:
-    return events.select(
-        F.col("event_type").alias("symbol"),
-        F.col("event_id").alias("seq"),
-        F.col("ts"),
-        F.col("value").alias("price"),
-        F.get_json_object("props", "$.k").cast("double").alias("amount"),
+    return events.selectExpr(
+        "event_type AS symbol",
+        "event_id AS seq",
+        "ts",
+        "value AS price",
+        "CAST(get_json_object(props, '$.k') AS DOUBLE) AS amount",
     )
 
 
 def trades_from_orders(orders: DataFrame, extra: list[str] | tuple = ()) -> DataFrame:
-    return orders.select(
-        F.col("o_orderpriority").alias("symbol"),
-        F.col("o_orderkey").alias("seq"),
-        F.col("o_orderdate").alias("ts"),
-        F.col("o_totalprice").alias("price"),
-        F.lit(1.0).alias("amount"),
+    return orders.selectExpr(
+        "o_orderpriority AS symbol",
+        "o_orderkey AS seq",
+        "o_orderdate AS ts",
+        "o_totalprice AS price",
+        "CAST(1.0 AS DOUBLE) AS amount",
         *extra,
     )
 
@@ -54,15 +72,15 @@ def trades_big(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def quotes_from_trades(t: DataFrame, tie_break: str | None = "prepend") -> DataFrame:
     bars = periodic_ohlcv(t, "daily", tie_break)
-    return bars.select(
+    return bars.selectExpr(
         "symbol",
-        F.to_date("begin").alias("date"),
+        "to_date(`begin`) AS date",
         "open",
         "high",
         "low",
         "close",
-        F.col("volume").cast("long").alias("volume"),
-        F.col("close").alias("adj_close"),
+        "CAST(volume AS BIGINT) AS volume",
+        "close AS adj_close",
     )
 
 
