@@ -86,3 +86,9 @@ def test_compound_index_matches_loop(spark):
         p = abs(p + s * p)
         assert got[("a", i * 2)] == pytest.approx(p, rel=1e-12, abs=1e-12)
     assert got[("b", 49)] == pytest.approx(100.0 * 1.01 ** 50, rel=1e-12)
+
+
+def test_sma_col_on_text(spark):
+    df = spark.createDataFrame([("x", i, str(float(i * i))) for i in range(1, 6)], "symbol string, seq long, `Adj Close` string")
+    out = I.sma_col(df, "Adj Close", 3, newest_first=False).orderBy("seq")
+    assert [r["Adj Close SMA(3)"] for r in out.collect()] == ["4.67", "9.67", "16.67"]

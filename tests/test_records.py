@@ -113,3 +113,25 @@ def test_raw_passthrough_prunes_partitions(spark, tmpdir_spark):
     raw = R.raw_passthrough(spark, tmpdir_spark + "/raw", "b")
     assert [r.value for r in raw.collect()] == ["1442275200,3.0,4.0"]
     assert "PartitionFilters: [isnotnull(symbol" in raw._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lenient_json_flags_bad_records(spark):
+    lines = spark.createDataFrame([('{"timestamp": "2015-09-15T00:00:00Z", "price": 1.0, "amount": 2.0}',),
+                                   ('{"timestamp": "yesterday", "price": 1.0, "amount": 2.0}',), ("not json",)], "value string")
+    got = [r.bad for r in R.trades_from_json(lines, strict=False).collect()]
+    assert got == [False, True, True]
+
+
+def test_stream_encode_csv_with_header(spark, tmpdir_spark):
+    from tidemark.streaming import records as SR
+    from tidemark.streaming import sources as SS
+
+    t = spark.createDataFrame([("s", 1, dt.datetime(2015, 9, 15), 1.0, 2.0)],
+                              "symbol string, seq long, ts timestamp_ntz, price double, amount double")
+    R.write_trades_raw(t, tmpdir_spark + "/raw")
+    enc = SR.stream_encode_csv(SR.stream_decode_trades(spark, tmpdir_spark + "/raw"))
+    q = (enc.writeStream.format("csv").option("header", True).option("path", tmpdir_spark + "/csv")
+         .option("checkpointLocation", tmpdir_spark + "/ck").partitionBy("symbol").trigger(availableNow=True).start())
+    q.awaitTermination()
+    lines = [r.value for r in spark.read.text(tmpdir_spark + "/csv/symbol=s").collect()]
+    assert lines == ["timestamp,price,amount", "2015-09-15T00:00:00Z,1.0,2.0"]

@@ -44,3 +44,10 @@ def test_arrival_timeline_and_gaps(spark):
     assert stats["a"].n == 500 and stats["a"].n_gaps == 499
     assert stats["a"].mean_gap_s == pytest.approx(sum(a[1:]) / 499, abs=1e-6)
     assert stats["b"].min_gap_s == pytest.approx(min(g for k, _, g in rows if k == "b" and _ > 0), abs=1e-6)
+
+
+def test_rate_check(spark):
+    rows = [("a", i, T0 + dt.timedelta(milliseconds=250 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "symbol string, seq long, ts timestamp_ntz")
+    r = TL.check_rate(TL.interarrival_stats(df), 1.0, 0.25, 0.001).first()
+    assert r.within_target and r.mean_gap_s == pytest.approx(0.25)

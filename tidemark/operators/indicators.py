@@ -89,6 +89,17 @@ def sma(df: DataFrame, value_col: str, n: int, **kw) -> DataFrame:
     return moving_averages(df, value_col, [n], **kw)
 
 
+def sma_col(df: DataFrame, name: str, n: int, fmt: str | None = "%1.2f", **kw) -> DataFrame:
+    """SMA(n) of a (possibly text) column, formatted, under the header ``"<name> SMA(<n>)"``.
+
+    Text values are parsed as doubles first (a bad number fails the query, as
+    ``toDouble`` does).
+    """
+    out = f"{name} SMA({n})"
+    d = df.withColumn("_sma_x", F.col(f"`{name}`").cast("double"))
+    return moving_averages(d, "_sma_x", [n], names=[out], fmt=fmt, **kw).drop("_sma_x")
+
+
 def append_sma(quotes: DataFrame, n: int, value_col: str = "adj_close", fmt: str | None = "%1.2f", **kw) -> DataFrame:
     """``Adj Close SMA(n)`` appended to a newest-first quote table."""
     kw.setdefault("order_col", "date")

@@ -32,6 +32,7 @@ SYMBOL_EXCHANGE, SYMBOL_CURRENCY = "pur", "chase"
 INTERVAL_BEGIN, INTERVAL_END = "2024-01-15 00:00:00", "2024-01-16 00:00:00"
 GAP_RATE = (1.0, 0.04)  # one event per 40 ms
 RATE = (None, 0.25)  # quantity (per row: amount + 1) per 250 ms
+EMIT_RATE = (4.0, 1.0)  # four units per second
 
 _BAR_COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
 
@@ -153,7 +154,7 @@ def q_rate_quantities(spark, d):
     return t.select(
         "symbol", "seq",
         quantity_for(q, RATE[1], F.col("price")).alias("qty_for"),
-        duration_for(q, RATE[1], F.col("price")).alias("dur_for"),
+        duration_for(EMIT_RATE[0], EMIT_RATE[1], q).alias("dur_for"),
     )
 
 
@@ -307,7 +308,7 @@ ORACLE: dict[str, str] = {
     ),
     "rate_quantities": (
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, (amount + 1.0) * (price / {RATE[1]}) AS qty_for, "
-        f"{RATE[1]} * (price / (amount + 1.0)) AS dur_for FROM t"
+        f"{EMIT_RATE[1]} * ((amount + 1.0) / {EMIT_RATE[0]}) AS dur_for FROM t"
     ),
     "exponential_gaps": (
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, "

@@ -255,11 +255,14 @@ def trades_from_json(lines: DataFrame, *, value_col: str = "value", strict: bool
     mode = "FAILFAST" if strict else "PERMISSIVE"
     j = F.from_json(F.col(value_col), TRADE_JSON_SCHEMA, {"mode": mode})
     d = lines.select(j.alias("_j"))
-    return d.select(
+    out = d.select(
         parse_iso_instant(F.col("_j.timestamp"), strict=strict).alias("ts"),
         F.col("_j.price").alias("price"),
         F.col("_j.amount").alias("amount"),
     )
+    if not strict:  # permissive: unparsable records stay, flagged
+        out = out.withColumn("bad", F.col("ts").isNull() | F.col("price").isNull() | F.col("amount").isNull())
+    return out
 
 
 def bars_from_json(lines: DataFrame, *, value_col: str = "value", strict: bool = True,

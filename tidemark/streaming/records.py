@@ -21,3 +21,12 @@ def stream_decode_trades(spark: SparkSession, root: str, *, strict: bool = True)
 def stream_encode_json(trades: DataFrame) -> DataFrame:
     """Trades -> JSON lines, keeping ``symbol`` for a partitioned sink."""
     return R.trades_to_json(trades, keep=["symbol"])
+
+
+def stream_encode_csv(trades: DataFrame) -> DataFrame:
+    """Trades -> ``timestamp, price, amount`` text columns (plus ``symbol``) for a CSV file sink.
+
+    Use ``writeStream.format("csv").option("header", True)``: every output
+    file then starts with the header, as the reference's stream does.
+    """
+    return R.trades_to_csv(trades, keep=["symbol"])
