@@ -208,13 +208,15 @@ def with_previous(
     lags = {"_first_in_blk": F.expr(f"lag({ORD}) {_over_block(pk)} IS NULL")}
     lags.update({f"_lag_{c}": F.expr(f"lag({_q(c)}) {_over_block(pk)}") for c in cols})
     d = d.withColumns(lags)
-    last = d.groupBy(*pk, BLK).agg(F.expr(f"max_by(struct({', '.join(_q(c) for c in cols)}), {ORD}) AS _last"))
-    last = last.select(*pk, BLK, F.expr(f"lag(_last) {_over_summary(pk)} AS _prev_last"))
+    # one max_by per column (the order is unique, so all pick the same row): fixed-width
+    # values keep the summary a HashAggregate with map-side combine
+    last = d.groupBy(*pk, BLK).agg(*[F.expr(f"max_by({_q(c)}, {ORD}) AS _last_{i}") for i, c in enumerate(cols)])
+    last = last.select(*pk, BLK, *[F.expr(f"lag(_last_{i}) {_over_summary(pk)} AS _pl_{i}") for i in range(len(cols))])
     j = d.join(last, [*pk, BLK], "inner")
     j = j.withColumns({
-        f"{prefix}{c}": F.expr(f"CASE WHEN _first_in_blk THEN _prev_last.{_q(c)} ELSE _lag_{c} END") for c in cols
+        f"{prefix}{c}": F.expr(f"CASE WHEN _first_in_blk THEN _pl_{i} ELSE _lag_{c} END") for i, c in enumerate(cols)
     })
-    j = j.drop("_first_in_blk", "_prev_last", *[f"_lag_{c}" for c in cols])
+    j = j.drop("_first_in_blk", *[f"_pl_{i}" for i in range(len(cols))], *[f"_lag_{c}" for c in cols])
     return _finish(j, keep_blocks)
 
 
