@@ -192,6 +192,17 @@ def trades_to_csv(t: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def quotes_to_csv(q: DataFrame, sma_sizes: Sequence[int] = (), value_col: str = "adj_close") -> DataFrame:
+    """Quotes (+ appended SMA columns) -> text columns under the quote file's header names.
+
+    Numbers use the JVM's plain text form, SMA columns are expected already
+    formatted (see ``indicators.append_sma``).
+    """
+    cols = [F.col(c).cast("string").alias(h) for c, h in zip(QUOTE_COLUMNS, QUOTE_HEADER)]
+    cols += [F.col(f"{value_col}_sma_{n}").cast("string").alias(f"Adj Close SMA({n})") for n in sma_sizes]
+    return q.select(*cols)
+
+
 def bars_to_csv(bars: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Bars -> ``Begin,End,Open,High,Low,Close,Volume`` text columns, doubles as ``%1.2f``."""
     return bars.select(
