@@ -68,7 +68,10 @@ def test_chained_row_rule(spark):
 def test_parse_calculated():
     assert I.parse_calculated("sma(10)") == [10]
     assert I.parse_calculated("sma(10),sma(50)") == [10, 50]
-    for bad in ["sma(0)", "SMA(10)", "sma(10), sma(20)", "sma(99999999999)", "ema(3)", "sma(3),sma(3)", ""]:
+    assert I.parse_calculated("sma(10),") == [10] and I.parse_calculated("sma(010)") == [10]
+    assert I.parse_calculated(",") == [] and I.parse_calculated(",,") == []
+    for bad in ["sma(0)", "SMA(10)", "sma(10), sma(20)", "sma(99999999999)", "ema(3)", "sma(3),sma(3)", "",
+                ",sma(3)", "sma(+3)"]:
         with pytest.raises(ValueError):
             I.parse_calculated(bad)
 

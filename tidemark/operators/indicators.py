@@ -25,11 +25,18 @@ _INT_MAX = 2**31 - 1
 def parse_calculated(calculated: str) -> list[int]:
     """``"sma(10),sma(50)"`` -> ``[10, 50]``; the first bad item raises ``ValueError``.
 
-    Items are split on ``,`` without trimming, n must be a positive 32-bit
-    integer, and duplicates are rejected (they would give duplicate columns).
+    Items are split on ``,`` without trimming; trailing empty items are
+    dropped as the JVM ``split`` does (so ``","`` means no calculated column).
+    n must be a positive 32-bit integer; duplicates are rejected (they would
+    give duplicate columns).
     """
+    items = calculated.split(",")
+    while items and items[-1] == "" and len(items) > 1:
+        items.pop()
+    if items == [""] and "," in calculated:
+        items = []
     sizes: list[int] = []
-    for item in calculated.split(","):
+    for item in items:
         m = re.fullmatch(SMA_SPEC, item)
         n = int(m.group(1)) if m else 0
         if not m or n <= 0 or n > _INT_MAX:

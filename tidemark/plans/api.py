@@ -121,6 +121,8 @@ def quotes(q: DataFrame, symbol: str, period: str = DEFAULT_LOOKBACK, calculated
     if check_symbol:
         _check_symbol(q, symbol)
     window = lookback(filter_symbol(q, symbol), period, as_of)
+    if not sizes:
+        return window
     return I.moving_averages(window, "adj_close", sizes, order_col="date", newest_first=True, chained=True, fmt=fmt)
 
 

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.periods import interval_contains, parse_period
+from ..functions.periods import interval_contains
 from ..functions.rates import duration_for, exponential_gap, quantity_for
 from ..operators import bars as B
 from ..operators import indicators as I

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import parse_period, period_end
-from ..operators.bars import BAR_COLUMNS, SEQ_COLUMNS, assign_runs, merge_ohlcv, ohlcv
+from ..operators.bars import BAR_COLUMNS, assign_runs, merge_ohlcv, ohlcv
 from ..operators.indicators import moving_averages
 from ..plans import sequence
 
