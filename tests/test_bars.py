@@ -125,3 +125,18 @@ def test_tie_break_none_is_hash_aggregate(spark):
     t = TD.trades(spark, "/root/testdata/sf0.001")
     plan = B.periodic_ohlcv(t, "daily", None)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_rollup_refuses_half_hour_zones(spark):
+    from tidemark.functions.periods import parse_period, whole_hour_offsets
+
+    assert whole_hour_offsets(parse_period("daily(America/New_York)"))
+    assert not whole_hour_offsets(parse_period("daily(Asia/Kolkata)"))
+    assert not whole_hour_offsets(parse_period("daily(+05:30)"))
+    t = TD.trades(spark, "/root/testdata/sf0.001")
+    hourly = B.periodic_ohlcv(t, "hourly", "prepend", with_seq=True)
+    with pytest.raises(ValueError):
+        B.rollup_ohlcv(hourly, "daily(Asia/Kolkata)")
+    ny = B.rollup_ohlcv(hourly, "daily(America/New_York)").select("symbol", "begin", "n")
+    direct = B.periodic_ohlcv(t, "daily(America/New_York)").select("symbol", "begin", "n")
+    assert sorted(map(tuple, ny.collect())) == sorted(map(tuple, direct.collect()))

@@ -67,3 +67,13 @@ def test_stream_runs_over_batches(spark, multi_batch):
     got = ST.finalize_runs(ST.read_outputs(spark, out))
     cols = ["symbol", "run_id", "begin", "end", *B.BAR_COLUMNS]
     assert _sorted(got, cols) == _sorted(B.ohlcv_runs(t, "hourly"), cols)
+
+
+def test_stream_zoned_half_hour_zone_equals_batch(spark):
+    ev = TD.table(spark, SF_SMALL, "events")
+    batch = TD.trades_from_events(ev)
+    data = TD.trades_from_events(SS.parquet_stream(spark, SF_SMALL, "events.parquet", schema=ev.schema))
+    s = data.unionByName(SS.end_marker(spark, batch))
+    partials = SS.run_available_now(SB.stream_ohlcv_zoned(s, "Asia/Kolkata"))
+    got = SB.finalize_zoned(SS.without_marker(partials))
+    assert _sorted(got, COLS) == _sorted(B.periodic_ohlcv(batch, "daily(Asia/Kolkata)"), COLS)

@@ -107,6 +107,29 @@ def parse_period(spec: str, default_zone: str = DEFAULT_ZONE) -> Period:
     raise ValueError(f"invalid period: {spec}")
 
 
+def whole_hour_offsets(period: Period) -> bool:
+    """True when the period's zone is always a whole number of hours from UTC.
+
+    Region zones are sampled every 6 hours from 1970 to 2100 (about 190,000
+    driver-side lookups, no job); hourly bars nest in its days only then.
+    """
+    if period.kind == "hourly":
+        return True
+    if period.fixed_offset_s is not None:
+        return period.fixed_offset_s % 3600 == 0
+    import datetime as _dt
+
+    zone = ZoneInfo(period.zone)
+    t = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
+    step, end = _dt.timedelta(hours=6), _dt.datetime(2100, 1, 1, tzinfo=_dt.timezone.utc)
+    while t < end:
+        off = t.astimezone(zone).utcoffset()
+        if off is not None and off.total_seconds() % 3600:
+            return False
+        t += step
+    return True
+
+
 def known_zones() -> set[str]:
     return set(available_timezones())
 

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.periods import Period, parse_period, period_begin, period_end
+from ..functions.periods import Period, parse_period, period_begin, period_end, whole_hour_offsets
 from ..plans import sequence
 
 TIE_RULES = (None, "prepend", "append")
@@ -170,13 +170,17 @@ def rollup_ohlcv(
     *,
     nan_compat: bool = True,
 ) -> DataFrame:
-    """Roll finer bars (e.g. hourly) up into a coarser period (A5 roll-up).
+    """Roll hourly bars up into a coarser period (A5 roll-up).
 
-    Each bar is re-keyed by the coarse period of its ``begin``; this is exact
-    whenever fine intervals nest in the coarse ones (hourly into any zone whose
-    offset is a whole number of hours; use a finer source period otherwise).
+    Each bar is re-keyed by the coarse period of its ``begin``.  This is exact
+    when the hours nest in the coarse intervals, i.e. the zone is always a
+    whole number of hours from UTC; other zones (e.g. +05:30) raise
+    ``ValueError``: build their days from trades, or stream them with
+    ``streaming.bars.stream_ohlcv_zoned`` (which keys hours by zoned day).
     """
     p = parse_period(period) if isinstance(period, str) else period
+    if not whole_hour_offsets(p):
+        raise ValueError(f"hourly bars do not nest in {p.label}: its offset is not a whole number of hours")
     keyed = bars.withColumn("begin", period_begin("begin", p)).drop("end")
     has_seq = all(c in bars.columns for c in SEQ_COLUMNS)
     out = keyed.groupBy("symbol", "begin").agg(*merge_aggs(tie_break, has_seq=has_seq, nan_compat=nan_compat))
