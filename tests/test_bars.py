@@ -140,3 +140,13 @@ def test_rollup_refuses_half_hour_zones(spark):
     ny = B.rollup_ohlcv(hourly, "daily(America/New_York)").select("symbol", "begin", "n")
     direct = B.periodic_ohlcv(t, "daily(America/New_York)").select("symbol", "begin", "n")
     assert sorted(map(tuple, ny.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_ohlcv_by_interval(spark):
+    from tidemark.functions.periods import period_begin, period_end
+
+    t = TD.trades(spark, "/root/testdata/sf0.001")
+    keyed = t.withColumn("begin", period_begin("ts", "hourly")).withColumn("end", period_end("begin", "hourly"))
+    a = B.ohlcv_by_interval(keyed).collect()
+    b = B.periodic_ohlcv(t, "hourly").collect()
+    assert sorted(map(tuple, a)) == sorted(map(tuple, b))

@@ -131,3 +131,11 @@ def test_null_order_values_come_first(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("a", 5, 2.0), ("a", 7, 3.0)], SCHEMA)
     got = sorted((r.rn, r.v) for r in S.number_rows(df, ["k"], "o").collect())
     assert got == [(1, 1.0), (2, 2.0), (3, 3.0)]
+
+
+def test_lag_change_and_row_position(spark):
+    rows = [("a", i, v) for i, v in enumerate([1.0, 1.0, 2.0, 1.0, 1.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = sorted((r.o, r.changed, r.rn) for r in S.row_position(S.lag_change(df, ["k"], "o", "v", block_size=2),
+                                                               ["k"], "o", block_size=2).collect())
+    assert [(c, rn) for _, c, rn in got] == [(True, 1), (False, 2), (True, 3), (True, 4), (False, 5)]

@@ -48,7 +48,7 @@ def test_stream_sma_over_batches(spark, multi_batch):
     t, path = multi_batch
     stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
     out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
-    SS.run_foreach_batch(stream, ST.StreamSma(out, state, 5, "price"))
+    ST.stream_sma(stream, out, state, scratch_path(spark, "ck"), 5, "price").awaitTermination()
     got = ST.read_outputs(spark, out)
     assert spark.read.parquet(out).select("batch_id").distinct().count() > 1
     exp = I.sma(t, "price", 5)
@@ -63,7 +63,7 @@ def test_stream_runs_over_batches(spark, multi_batch):
     t, path = multi_batch
     stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
     out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
-    SS.run_foreach_batch(stream, ST.StreamRuns(out, state, "hourly"))
+    ST.stream_runs(stream, out, state, scratch_path(spark, "ck"), "hourly").awaitTermination()
     got = ST.finalize_runs(ST.read_outputs(spark, out))
     cols = ["symbol", "run_id", "begin", "end", *B.BAR_COLUMNS]
     assert _sorted(got, cols) == _sorted(B.ohlcv_runs(t, "hourly"), cols)

@@ -100,6 +100,18 @@ def ohlcv(
     return out if keys else out.where(F.col("n") > 0)
 
 
+def ohlcv_by_interval(
+    keyed_trades: DataFrame,
+    tie_break: str | None = "prepend",
+    *,
+    with_seq: bool = False,
+    nan_compat: bool = True,
+) -> DataFrame:
+    """One bar per (symbol, interval) for trades already carrying ``begin``/``end`` (A3)."""
+    bars = ohlcv(keyed_trades, ["symbol", "begin", "end"], tie_break, with_seq=with_seq, nan_compat=nan_compat)
+    return bars.select("symbol", "begin", "end", *BAR_COLUMNS, *(SEQ_COLUMNS if with_seq else []))
+
+
 def periodic_ohlcv(
     trades: DataFrame,
     period: Period | str = "daily",

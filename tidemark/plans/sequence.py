@@ -192,6 +192,12 @@ def number_rows(
     )
 
 
+def row_position(df: DataFrame, keys: Sequence[str] = ("symbol",), order_col: str = "seq", out: str = "rn",
+                 **kw) -> DataFrame:
+    """1-based arrival position per key (an alias of :func:`number_rows`)."""
+    return number_rows(df, keys, order_col, out, **kw)
+
+
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
@@ -220,6 +226,13 @@ def with_previous(
     return _finish(j, keep_blocks)
 
 
+def lag_change(df: DataFrame, keys: Sequence[str], order_col: str, col: str, out: str = "changed",
+               **kw) -> DataFrame:
+    """Does ``col`` differ from the previous row's value (true on each key's first row)?"""
+    d = with_previous(df, keys, order_col, [col], prefix="_lc_", **kw)
+    return d.withColumn(out, F.expr(f"_lc_{col} IS NULL OR NOT (_lc_{col} <=> {_q(col)})")).drop(f"_lc_{col}")
+
+
 def frame_aggregates(
     df: DataFrame,
     keys: Sequence[str],

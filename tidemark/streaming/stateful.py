@@ -123,3 +123,23 @@ def finalize_runs(partials: DataFrame, tie_break: str | None = "prepend") -> Dat
 def read_outputs(spark, out_path: str) -> DataFrame:
     df = spark.read.parquet(out_path)
     return df.drop("batch_id")
+
+
+def _start(stream: DataFrame, handler, checkpoint: str, trigger: dict | None):
+    w = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_sma(stream: DataFrame, out_path: str, state_path: str, checkpoint: str, n: int,
+               value_col: str = "price", trigger: dict | None = None, **kw):
+    """Start the streaming SMA (ST3); returns the ``StreamingQuery``.
+
+    ``trigger`` is passed to ``DataStreamWriter.trigger`` (default ``availableNow``).
+    """
+    return _start(stream, StreamSma(out_path, state_path, n, value_col, **kw), checkpoint, trigger)
+
+
+def stream_runs(stream: DataFrame, out_path: str, state_path: str, checkpoint: str, period="daily",
+                tie_break: str | None = "prepend", trigger: dict | None = None, **kw):
+    """Start the streaming run splitter (ST5); merge its output with :func:`finalize_runs`."""
+    return _start(stream, StreamRuns(out_path, state_path, period, tie_break, **kw), checkpoint, trigger)
