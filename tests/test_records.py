@@ -135,3 +135,25 @@ def test_stream_encode_csv_with_header(spark, tmpdir_spark):
     q.awaitTermination()
     lines = [r.value for r in spark.read.text(tmpdir_spark + "/csv/symbol=s").collect()]
     assert lines == ["timestamp,price,amount", "2015-09-15T00:00:00Z,1.0,2.0"]
+
+
+def test_iso_parse_nanos_and_errors(spark):
+    df = spark.createDataFrame([("2015-09-15T00:00:01.123456789Z",), ("2015-09-15T00:00:01Z",)], "s string")
+    got = [r.t for r in df.select(parse_iso_instant("s").alias("t")).collect()]
+    assert got == [dt.datetime(2015, 9, 15, 0, 0, 1, 123456), dt.datetime(2015, 9, 15, 0, 0, 1)]
+    bad = spark.createDataFrame([("2015-09-15 00:00:01",)], "s string")
+    with pytest.raises(Exception):
+        bad.select(parse_iso_instant("s")).collect()
+    assert bad.select(parse_iso_instant("s", strict=False).alias("t")).first().t is None
+
+
+def test_read_quotes_as_stream(spark, tmpdir_spark):
+    src = tmpdir_spark + "/q"
+    spark.createDataFrame([("Date, Open, High, Low, Close, Volume, Adj Close\n2014-12-31, 25.3, 25.3, 24.19, 24.84, 1438600, 24.84",)],
+                          "value string").coalesce(1).write.text(src)
+    s = R.read_quotes(spark, src, "yhoo", stream=True)
+    q = (s.writeStream.format("parquet").option("path", tmpdir_spark + "/out")
+         .option("checkpointLocation", tmpdir_spark + "/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    r = spark.read.parquet(tmpdir_spark + "/out").first()
+    assert (r.symbol, str(r.date), r.adj_close, r.volume) == ("yhoo", "2014-12-31", 24.84, 1438600)

@@ -142,7 +142,8 @@ def read_quotes(spark: SparkSession, path: str, symbol: str | None = None, *, st
     """Quote CSV with header (``Date, Open, ..., Adj Close``) -> typed quotes (S3).
 
     Blanks around commas are ignored; extra columns (such as an earlier
-    calculated one) are dropped.  ``seq`` keeps the file's row order.
+    calculated one) are dropped.  ``seq`` keeps the file's row order (null on
+    streams, which have no arrival id; quotes are ordered by ``date``).
     """
     reader = (spark.readStream if stream else spark.read).option("header", True).option(
         "ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("mode", "FAILFAST")
@@ -154,7 +155,8 @@ def read_quotes(spark: SparkSession, path: str, symbol: str | None = None, *, st
     cols = [F.col(f"`{h}`").cast(f.dataType).alias(f.name) for h, f in zip(QUOTE_HEADER, QUOTE_SCHEMA.fields)]
     sym = [F.lit(symbol).alias("symbol")] if symbol is not None else (
         [F.col("symbol")] if "symbol" in raw.columns else [])
-    return raw.select(*sym, *cols, F.monotonically_increasing_id().alias("seq"))
+    seq = F.lit(None).cast("long") if stream else F.monotonically_increasing_id()
+    return raw.select(*sym, *cols, seq.alias("seq"))
 
 
 def raw_passthrough(spark: SparkSession, root: str, symbol: str) -> DataFrame:
