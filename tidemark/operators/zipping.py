@@ -39,4 +39,9 @@ def zip_join(
     lk = sequence.number_rows(left, keys, left_order, pos_col, descending=left_descending, block_size=block_size)
     rk = sequence.number_rows(right, keys, right_order, pos_col, descending=right_descending, block_size=block_size)
     on = [*keys, pos_col]
-    return _prefixed(lk, on, left_prefix).join(_prefixed(rk, on, right_prefix), on, "inner")
+    left_p = _prefixed(lk, on, left_prefix)
+    right_p = _prefixed(rk, on, right_prefix).select(*[F.col(c).alias(f"_r_{c}") if c in on else F.col(c)
+                                                      for c in _prefixed(rk, on, right_prefix).columns])
+    # null-safe on the keys: rows without a symbol pair among themselves instead of vanishing
+    cond = [left_p[k].eqNullSafe(right_p[f"_r_{k}"]) for k in keys] + [left_p[pos_col] == right_p[f"_r_{pos_col}"]]
+    return left_p.join(right_p, cond, "inner").drop(*[f"_r_{c}" for c in on])
