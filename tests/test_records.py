@@ -157,3 +157,16 @@ def test_read_quotes_as_stream(spark, tmpdir_spark):
     q.awaitTermination()
     r = spark.read.parquet(tmpdir_spark + "/out").first()
     assert (r.symbol, str(r.date), r.adj_close, r.volume) == ("yhoo", "2014-12-31", 24.84, 1438600)
+
+
+def test_strict_parse_fails_without_ansi(spark, tmpdir_spark):
+    p = tmpdir_spark + "/bad"
+    _write_text(spark, p, "1442335124,abc,1")
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception):
+            R.read_trades(spark, p).collect()
+        assert R.read_trades(spark, p, strict=False).first().bad
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)

@@ -80,6 +80,13 @@ def parse_csv(lines: DataFrame, *, max_line_bytes: int = MAX_LINE_BYTES, strict:
     return lines.withColumn("too_long", too_long).withColumn(out, F.when(~too_long, split_row(v)))
 
 
+def _strict_cast(c: Column, dtype: str) -> Column:
+    """Cast that fails on unparsable text whatever ``spark.sql.ansi.enabled`` says."""
+    v = c.try_cast(dtype)
+    return F.when(c.isNotNull() & v.isNull(), F.raise_error(
+        F.concat(F.lit(f"cannot parse {dtype}: "), c))).otherwise(v)
+
+
 def rows_to_trades(rows: DataFrame, *, symbol: str | Column | None = None, strict: bool = True,
                    row_col: str = "row", seq: Column | None = None) -> DataFrame:
     """``[unixtime, price, amount]`` rows -> trades (S2): exactly 3 fields, epoch seconds.
@@ -94,7 +101,7 @@ def rows_to_trades(rows: DataFrame, *, symbol: str | Column | None = None, stric
     if strict:
         r = F.when(width_ok, r).otherwise(
             F.raise_error(F.concat(F.lit("trade row must have 3 fields: "), F.concat_ws(",", r))))
-        secs, price, amount = r[0].cast("bigint"), r[1].cast("double"), r[2].cast("double")
+        secs, price, amount = _strict_cast(r[0], "bigint"), _strict_cast(r[1], "double"), _strict_cast(r[2], "double")
     else:
         secs = F.when(width_ok, r[0].try_cast("bigint"))
         price = F.when(width_ok, r[1].try_cast("double"))
