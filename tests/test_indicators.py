@@ -95,3 +95,31 @@ def test_sma_col_on_text(spark):
     df = spark.createDataFrame([("x", i, str(float(i * i))) for i in range(1, 6)], "symbol string, seq long, `Adj Close` string")
     out = I.sma_col(df, "Adj Close", 3, newest_first=False).orderBy("seq")
     assert [r["Adj Close SMA(3)"] for r in out.collect()] == ["4.67", "9.67", "16.67"]
+
+
+def test_golden_sma10_exact_running_sum(spark):
+    q = R.read_quotes(spark, os.path.join(FIXTURES, "yhoo.csv"), "yhoo")
+    out = I.append_sma(q, 10, exact_running_sum=True).collect()
+    assert len(out) == 243 - 9
+    expected = {}
+    with open(os.path.join(FIXTURES, "yhoo.csv")) as fh:
+        next(fh)
+        for line in fh:
+            f = line.strip().split(",")
+            expected[f[0]] = f[7]
+    assert all(r.adj_close_sma_10 == expected[str(r.date)] for r in out)  # 234 of 234, drift included
+
+
+def test_exact_running_sum_chained_and_guarded(spark):
+    import datetime as dt
+
+    rows = [("s", dt.date(2024, 1, 1) + dt.timedelta(days=i), float(i % 5)) for i in range(20)]
+    df = spark.createDataFrame(rows, "symbol string, date date, v double")
+    a = I.moving_averages(df, "v", [3, 4], order_col="date", exact_running_sum=True)
+    b = I.moving_averages(df, "v", [3, 4], order_col="date")
+    assert a.count() == b.count() == 20 - 2 - 3
+    bm = {r.date: (r.v_sma_3, r.v_sma_4) for r in b.collect()}
+    for r in a.collect():
+        assert r.v_sma_3 == pytest.approx(bm[r.date][0]) and r.v_sma_4 == pytest.approx(bm[r.date][1])
+    with pytest.raises(ValueError):
+        I.moving_averages(df.withColumn("seq", F.lit(1)), "v", [3], order_col="seq", exact_running_sum=True)

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..plans import sequence
 
@@ -64,6 +65,7 @@ def moving_averages(
     fmt: str | None = None,
     block_size: int = sequence.DEFAULT_BLOCK,
     chunk_rows: int = sequence.DEFAULT_CHUNK,
+    exact_running_sum: bool = False,
 ) -> DataFrame:
     """Append one SMA column per size.
 
@@ -72,11 +74,16 @@ def moving_averages(
     survive per key; surviving values equal the independent ones.  With
     ``chained=False`` rows are kept while every frame is complete.
     ``fmt`` (e.g. ``"%1.2f"``) turns the SMA columns into formatted text.
+    ``exact_running_sum`` reproduces the reference's ``sum + x - head``
+    arithmetic bit for bit (see :func:`_running_sum_sma`).
     """
     sizes = list(sizes)
     if not sizes or any(n <= 0 for n in sizes):
         raise ValueError("SMA sizes must be positive")
     names = list(names) if names else [sma_name(value_col, n) for n in sizes]
+    if exact_running_sum:
+        return _running_sum_sma(df, value_col, sizes, names, keys=keys, order_col=order_col,
+                                newest_first=newest_first, chained=chained, fmt=fmt)
     d = sequence.number_rows(
         df, keys, order_col, "_pos", descending=newest_first, block_size=block_size, with_total="_len"
     )
@@ -91,6 +98,44 @@ def moving_averages(
     return d
 
 
+def _running_sum_sma(df: DataFrame, value_col: str, sizes: Sequence[int], names: Sequence[str], *,
+                     keys: Sequence[str], order_col: str, newest_first: bool, chained: bool,
+                     fmt: str | None) -> DataFrame:
+    """The reference's sequential running sum, one key per ``applyInPandas`` group.
+
+    The fold ``sum + x - head`` drifts in the last bits, so it cannot be split
+    across tasks.  It is therefore only offered for date-ordered quote tables:
+    one row per key and day bounds a group by the calendar (about 36,500 rows
+    per century), however large the table.  Positional SMAs over trades use the
+    blocked frame mean instead.
+    """
+    if not isinstance(df.schema[order_col].dataType, T.DateType):
+        raise ValueError("exact_running_sum needs a quote table ordered by a date column (one row per key and day)")
+    import numpy as np
+
+    keys = list(keys)
+    out_schema = T.StructType(list(df.schema.fields) + [T.StructField(nm, T.DoubleType()) for nm in names])
+    lost = sum(n - 1 for n in sizes) if chained else max(sizes) - 1
+
+    def fold(pdf):
+        pdf = pdf.sort_values(order_col, ascending=not newest_first, kind="stable").reset_index(drop=True)
+        vals = pdf[value_col].astype("float64").tolist()
+        for n, nm in zip(sizes, names):
+            res = np.full(len(vals), np.nan)
+            total = 0.0
+            for i, x in enumerate(vals):
+                total = total + x - vals[i - n] if i >= n else total + x
+                if i >= n - 1:
+                    res[i - n + 1] = total / n
+            pdf[nm] = res
+        return pdf.iloc[: max(0, len(pdf) - lost)]
+
+    out = df.groupBy(*keys).applyInPandas(fold, schema=out_schema)
+    if fmt:
+        out = out.withColumns({nm: F.format_string(fmt, F.col(nm)) for nm in names})
+    return out
+
+
 def sma(df: DataFrame, value_col: str, n: int, **kw) -> DataFrame:
     """Single SMA(n) (W1); ``max(0, L-n+1)`` rows per key survive."""
     return moving_averages(df, value_col, [n], **kw)

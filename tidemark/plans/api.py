@@ -114,8 +114,12 @@ def raw_trades(spark: SparkSession, root: str, exchange: str, currency: str) ->
 
 
 def quotes(q: DataFrame, symbol: str, period: str = DEFAULT_LOOKBACK, calculated: str = DEFAULT_CALCULATED,
-           as_of: dt.date | None = None, check_symbol: bool = False, fmt: str | None = None) -> DataFrame:
-    """Q4: quotes of one symbol over the look-back with chained calculated columns (P2 -> P3 -> W4)."""
+           as_of: dt.date | None = None, check_symbol: bool = False, fmt: str | None = None,
+           exact_running_sum: bool = False) -> DataFrame:
+    """Q4: quotes of one symbol over the look-back with chained calculated columns (P2 -> P3 -> W4).
+
+    ``exact_running_sum=True`` reproduces the reference's running-sum drift.
+    """
     sizes = I.parse_calculated(calculated)  # 400 before any job
     parse_lookback(period)
     if check_symbol:
@@ -123,7 +127,8 @@ def quotes(q: DataFrame, symbol: str, period: str = DEFAULT_LOOKBACK, calculated
     window = lookback(filter_symbol(q, symbol), period, as_of)
     if not sizes:
         return window
-    return I.moving_averages(window, "adj_close", sizes, order_col="date", newest_first=True, chained=True, fmt=fmt)
+    return I.moving_averages(window, "adj_close", sizes, order_col="date", newest_first=True, chained=True, fmt=fmt,
+                             exact_running_sum=exact_running_sum)
 
 
 def raw_quotes(q: DataFrame, symbol: str, period: str = DEFAULT_LOOKBACK, as_of: dt.date | None = None,

@@ -116,6 +116,12 @@ def q_sma_chain(spark, d):
                       _r6(F.col("adj_close_sma_5")).alias("adj_close_sma_5"))
 
 
+def q_sma_exact_chain(spark, d):
+    out = I.calculated(TD.quotes(spark, d), "sma(3),sma(5)", exact_running_sum=True)
+    return out.select(*TD.QUOTE_COLUMNS, _r6(F.col("adj_close_sma_3")).alias("adj_close_sma_3"),
+                      _r6(F.col("adj_close_sma_5")).alias("adj_close_sma_5"))
+
+
 def q_compound_index(spark, d):
     t = TD.trades(spark, d).withColumn("shock", (F.col("amount") - F.lit(50.0)) / F.lit(10000.0))
     out = I.compound_index(t, "shock", 100.0)
@@ -339,6 +345,7 @@ QUERIES: dict[str, QueryFn] = {
     "sma_10": q_sma_10,
     "sma_200": q_sma_200,
     "sma_chain": q_sma_chain,
+    "sma_exact_chain": q_sma_exact_chain,
     "compound_index": q_compound_index,
     "row_position": q_row_position,
     "zip_join": q_zip_join,
@@ -350,3 +357,5 @@ QUERIES: dict[str, QueryFn] = {
     "trades_symbol": q_trades_symbol,
     "interval_filter": q_interval_filter,
 }
+
+ORACLE["sma_exact_chain"] = ORACLE["sma_chain"]
