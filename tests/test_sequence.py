@@ -139,3 +139,20 @@ def test_lag_change_and_row_position(spark):
     got = sorted((r.o, r.changed, r.rn) for r in S.row_position(S.lag_change(df, ["k"], "o", "v", block_size=2),
                                                                ["k"], "o", block_size=2).collect())
     assert [(c, rn) for _, c, rn in got] == [(True, 1), (False, 2), (True, 3), (True, 4), (False, 5)]
+
+
+def test_hot_symbol_spreads_over_partitions(spark):
+    # 90% of the rows in one symbol: its window work lands in many partitions, not one
+    hot = spark.range(90_000).selectExpr("'hot' AS k", "id AS o", "CAST(id % 7 AS DOUBLE) AS v")
+    cold = spark.range(10_000).selectExpr("concat('c', CAST(id % 10 AS STRING)) AS k", "id AS o", "1.0D AS v")
+    df = hot.unionByName(cold)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = S.number_rows(df, ["k"], "o", block_size=4096).withColumn("pid", F.spark_partition_id())
+        parts = out.where("k = 'hot'").select("pid").distinct().count()
+        top = out.where("k = 'hot'").agg(F.max("rn")).first()[0]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert top == 90_000
+    assert parts >= 6  # 22 blocks of 4096 rows hashed over 8 shuffle partitions
