@@ -123,3 +123,12 @@ def test_exact_running_sum_chained_and_guarded(spark):
         assert r.v_sma_3 == pytest.approx(bm[r.date][0]) and r.v_sma_4 == pytest.approx(bm[r.date][1])
     with pytest.raises(ValueError):
         I.moving_averages(df.withColumn("seq", F.lit(1)), "v", [3], order_col="seq", exact_running_sum=True)
+
+
+def test_random_walk_prices_smoke(spark):
+    # the reference's random price walk as a table: shock = (u + drift - 0.5) * magnitude
+    shocks = spark.range(40).select(F.lit("sim").alias("symbol"), F.col("id").alias("seq"),
+                                    ((F.rand(42) + F.lit(0.001) - F.lit(0.5)) * F.lit(0.005)).alias("shock"))
+    prices = [r["index"] for r in I.compound_index(shocks, "shock", 230.0).orderBy("seq").collect()]
+    assert len(prices) == 40 and all(p > 0 for p in prices)
+    assert all(abs(b / a - 1) <= 0.0025 + 1e-12 for a, b in zip([230.0] + prices, prices))
