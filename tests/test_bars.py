@@ -150,3 +150,10 @@ def test_ohlcv_by_interval(spark):
     a = B.ohlcv_by_interval(keyed).collect()
     b = B.periodic_ohlcv(t, "hourly").collect()
     assert sorted(map(tuple, a)) == sorted(map(tuple, b))
+
+
+@pytest.mark.parametrize("period", ["hourly", "daily", "daily(+05:30)", "daily(America/New_York)"])
+def test_null_time_forms_no_bar(spark, period):
+    rows = [("a", 0, T0, 1.0, 1.0), ("a", 1, None, 2.0, 1.0)]
+    bars = B.periodic_ohlcv(spark.createDataFrame(rows, SCHEMA), period).collect()
+    assert len(bars) == 1 and bars[0].n == 1 and bars[0].begin is not None

@@ -123,11 +123,12 @@ def periodic_ohlcv(
     """One bar per (symbol, period interval) (A4, the flagship).
 
     Output: symbol, begin, end, open, high, low, close, volume, n, first_ts,
-    last_ts [, open_seq, close_seq].  The shuffle key is (symbol, begin): a
+    last_ts [, open_seq, close_seq].  Trades without a timestamp form no bar.  The shuffle key is (symbol, begin): a
     timestamp, not a window struct, so the partial sort/hash stays cheap.
     """
     p = parse_period(period) if isinstance(period, str) else period
-    keyed = trades.withColumn("begin", period_begin("ts", p))
+    # a trade without a time lies in no interval (the same for every period kind)
+    keyed = trades.where(F.col("ts").isNotNull()).withColumn("begin", period_begin("ts", p))
     bars = ohlcv(keyed, ["symbol", "begin"], tie_break, with_seq=with_seq, nan_compat=nan_compat)
     cols = ["symbol", "begin", period_end("begin", p).alias("end")] + BAR_COLUMNS
     if with_seq:
