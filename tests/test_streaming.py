@@ -77,3 +77,14 @@ def test_stream_zoned_half_hour_zone_equals_batch(spark):
     partials = SS.run_available_now(SB.stream_ohlcv_zoned(s, "Asia/Kolkata"))
     got = SB.finalize_zoned(SS.without_marker(partials))
     assert _sorted(got, COLS) == _sorted(B.periodic_ohlcv(batch, "daily(Asia/Kolkata)"), COLS)
+
+
+def test_stream_rollup_over_batches(spark, multi_batch):
+    t, path = multi_batch
+    days = sorted({r[0] for r in t.select(F.to_date("ts")).distinct().collect()})
+    rolled = _ordered_batches(spark, t, days)  # own copy, written day by day, so the marker stays here
+    assert SS.end_marker(spark, t, directory=rolled) is None  # newest file: read last
+    data = SS.parquet_stream(spark, rolled, schema=t.schema, max_files_per_trigger=1)
+    out = SS.run_available_now(SB.stream_rollup(data, "prepend"))
+    got = SS.without_marker(out)
+    assert _sorted(got, COLS) == _sorted(B.periodic_ohlcv(t, "daily"), COLS)

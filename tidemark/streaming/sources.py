@@ -6,9 +6,9 @@ window alignment never depends on the session zone.
 
 The reference flushes its last bar at end of input; an append-mode stream
 holds the newest windows until the watermark passes them.  For bounded runs
-(tests, backfills) :func:`end_marker` writes one marker row per stream, dated
-after the data (derived by Spark from the data itself); it closes every
-window and is filtered out of the results.
+(tests, backfills) :func:`end_marker` writes one marker row, dated after the
+data (derived by Spark from the data itself) and read after it; it closes
+every window and is filtered out of the results.
 """
 
 from __future__ import annotations
@@ -48,9 +48,18 @@ def parquet_stream(spark: SparkSession, directory: str, file_glob: str | None =
     return r.parquet(directory)
 
 
-def end_marker(spark: SparkSession, batch_trades: DataFrame, gap: str = "INTERVAL 400 DAYS") -> DataFrame:
-    """Write a one-row marker stream dated ``max(ts) + gap`` and return it as a stream of trades."""
-    path = scratch_path(spark, "end-marker")
+def end_marker(spark: SparkSession, batch_trades: DataFrame, gap: str = "INTERVAL 400 DAYS",
+               directory: str | None = None) -> DataFrame | None:
+    """A one-row trade dated ``max(ts) + gap`` that closes every window of a bounded run.
+
+    The marker must reach the stream *after* the data, or the watermark it
+    sets would make later data late.  With ``directory`` (the stream's own
+    input folder) it is appended there as the newest file, so the file source,
+    which reads in modification order, takes it last; ``None`` is returned.
+    Without ``directory`` it is written to the shared folder and returned as a
+    separate stream to union in.  That is only safe when the data stream reads
+    all its input in its first micro-batch (no ``maxFilesPerTrigger``).
+    """
     marker = batch_trades.agg(F.max("ts").alias("_mx")).select(
         F.lit(END_SYMBOL).alias("symbol"),
         F.lit(-1).cast("long").alias("seq"),
@@ -58,6 +67,10 @@ def end_marker(spark: SparkSession, batch_trades: DataFrame, gap: str = "INTERVA
         F.lit(0.0).alias("price"),
         F.lit(0.0).alias("amount"),
     )
+    if directory is not None:
+        marker.select(*batch_trades.columns).coalesce(1).write.mode("append").parquet(directory)
+        return None
+    path = scratch_path(spark, "end-marker")
     marker.write.mode("overwrite").parquet(path)
     return spark.readStream.schema(marker.schema).parquet(path)
 
