@@ -1,13 +1,12 @@
 """Session helpers: a local session for tests and the shared scratch folder.
 
-On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names;
-a private folder under the local temp directory is only created when that
-setting is absent (local runs and tests).
+The shared folder is whatever ``spark.checkpoint.dir`` names; a private one
+under the local temp directory is created only for a local master without
+that setting (tests).
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -39,8 +38,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and written intermediate tables.
 
     Taken from the session (``spark.checkpoint.dir`` or an earlier
-    ``setCheckpointDir``); only when neither is set (tests, local runs) a
-    fresh private folder is created and registered.
+    ``setCheckpointDir``).  Where neither is set, a local session gets a fresh
+    private folder; on a cluster that would be another disk on every machine,
+    so there it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,20 +49,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     configured = sc.getConf().get(_CHECKPOINT_KEY, None)
     if configured:
         sc.setCheckpointDir(configured)
-    else:
+    elif sc.master.startswith("local[") or sc.master == "local":
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    else:
+        raise ValueError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
     return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's outputs."""
     return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
