@@ -7,9 +7,32 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import scratch_path
 from .bpe import encode_documents
 from .common import table
+from .embeddedup import embedding_duplicates
 from .packing import pack_documents
+from .repair import read_ids, write_ids
+from .simhash import near_duplicates
+from .topk import top_k
+
+
+def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "repair-ids")
+    write_ids(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return read_ids(spark, path, with_ids=False)
+
+
+def op2_int8_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_duplicates(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+def op3_uniform_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), k=5, query_every=50, scale=256.0)
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, shingle=3, seed=42)
 
 
 def op6_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +44,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repair": op1_repair,
+    "op2_int8_tiles": op2_int8_tiles,
+    "op3_uniform_threshold": op3_uniform_threshold,
+    "op4_simhash": op4_simhash,
     "op6_minimum_bin_slack": op6_minimum_bin_slack,
     "op9_byte_bpe": op9_byte_bpe,
 }
