@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from . import langid, quality
 from .bpe import encode_documents
-from .common import table
+from .common import fold, table
 from .embeddedup import embedding_duplicates
 from .packing import pack_documents
 from .repair import read_ids, write_ids
@@ -35,10 +37,25 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), max_bits=2, shingle=3, seed=42)
 
 
+def op5_random_indexing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", predicted)
+
+
 def op6_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), 2048, 0)
 
 
+def op7_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, fold("doc_id", 4) != 2)
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -48,7 +65,9 @@ QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_int8_tiles": op2_int8_tiles,
     "op3_uniform_threshold": op3_uniform_threshold,
     "op4_simhash": op4_simhash,
+    "op5_random_indexing": op5_random_indexing,
     "op6_minimum_bin_slack": op6_minimum_bin_slack,
+    "op7_ftrl_language": op7_ftrl_language,
     "op9_byte_bpe": op9_byte_bpe,
 }
 
