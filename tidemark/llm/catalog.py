@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, quality
+from . import langid, quality, secrets
 from .bpe import encode_documents
 from .common import fold, table
 from .embeddedup import embedding_duplicates
@@ -60,6 +60,14 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
 
+def op10_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs)
+    counts = [F.expr(f"cast(size(filter(spans, x -> x.kind = {k})) AS long)").alias(f"n_{secrets.KINDS[k]}") for k in range(3)]
+    base = F.sha2(secrets.joined("spans", "x.kind < 3").cast("binary"), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, base, secrets.joined("spans").alias("spans"))
+
+
 QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_int8_tiles": op2_int8_tiles,
@@ -69,6 +77,7 @@ QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_minimum_bin_slack": op6_minimum_bin_slack,
     "op7_ftrl_language": op7_ftrl_language,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_randomness_battery": op10_randomness_battery,
 }
 
 ORACLE_LLM: dict[str, str] = {}
