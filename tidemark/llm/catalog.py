@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from . import langid, quality, secrets
 from .bpe import encode_documents
+from .chat import PERSPECTIVES_SQL, mask_text, perspectives
 from .common import fold, table
 from .embeddedup import embedding_duplicates
 from .packing import pack_documents
@@ -56,6 +57,10 @@ def op7_ftrl_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op8_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives(table(spark, sf_dir, "conversations")).withColumn("mask", mask_text())
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
 
@@ -76,8 +81,9 @@ QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_random_indexing": op5_random_indexing,
     "op6_minimum_bin_slack": op6_minimum_bin_slack,
     "op7_ftrl_language": op7_ftrl_language,
+    "op8_perspectives": op8_perspectives,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_randomness_battery": op10_randomness_battery,
 }
 
-ORACLE_LLM: dict[str, str] = {}
+ORACLE_LLM: dict[str, str] = {"op8_perspectives": PERSPECTIVES_SQL}

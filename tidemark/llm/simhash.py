@@ -23,9 +23,11 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import id_text, stored
 from .components import components
+from .vectors import numbered
 
 _HIGH = np.uint64(0x8080808080808080)
 _LOW = np.uint64(0x7F7F7F7F7F7F7F7F)
@@ -52,18 +54,17 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(shingle: int, seed: int):
+def fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp", shingle: int = 3, seed: int = 42) -> DataFrame:
+    """The rows with the fingerprint of their text as a signed long; without words, or null, it is 0."""
+    names = docs.columns
+    at = names.index(text_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = np.array([fingerprint(t, shingle, seed) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
-
-    return run
-
+            found = np.array([fingerprint(t, shingle, seed) for t in batch.column(at).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found.view(np.int64))], names=[*names, fp_col])
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42) -> DataFrame:
-    """(doc_id, fp) with the fingerprint as a signed long; a text without words, or null, has 0."""
-    return id_text(docs, id_col, text_col).mapInArrow(_fingerprints(shingle, seed), "doc_id long, fp long")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp_col, T.LongType())]))
 
 
 def tally(difference: np.ndarray) -> np.ndarray:
@@ -143,6 +144,16 @@ def postings(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.select("fp", F.explode(rows).alias("p")).select("p.positions", "p.bytes", "fp")
 
 
+def groups(fps: DataFrame, max_bits: int) -> DataFrame:
+    """(fp, root) for distinct fingerprints: those reachable from each other have the same root."""
+    if not 0 <= max_bits < 8:
+        raise ValueError("max_bits must be from 0 to 7")
+    index = postings(fps, max_bits).repartition("positions", "bytes").sortWithinPartitions("positions", "bytes")
+    roots = components(index.mapInArrow(_index_links(max_bits), "a long, b long"))
+    joined = fps.join(roots, F.col("fp") == F.col("node"), "left")
+    return stored(joined.select("fp", F.coalesce("root", "fp").alias("root")), "simhash-groups")
+
+
 def near_duplicates(
     docs: DataFrame, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42
 ) -> DataFrame:
@@ -156,14 +167,30 @@ def near_duplicates(
     are all returned.  Null ids are never a component_id, unless a component has no other.
     An empty table gives an empty result.  Other columns are ignored.
     """
-    if not 0 <= max_bits < 8:
-        raise ValueError("max_bits must be from 0 to 7")
-    marked = stored(fingerprints(docs, id_col, text_col, shingle, seed), "simhash")
+    marked = stored(fingerprints(id_text(docs, id_col, text_col), shingle=shingle, seed=seed).select("doc_id", "fp"), "simhash")
     distinct = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    index = postings(distinct.select("fp"), max_bits).repartition("positions", "bytes").sortWithinPartitions("positions", "bytes")
-    links = index.mapInArrow(_index_links(max_bits), "a long, b long")
-    roots = components(links)
-    classes = stored(distinct.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash-classes")
+    classes = distinct.join(groups(distinct.select("fp"), max_bits), "fp")
     least = classes.groupBy("root").agg(F.min("least").alias("component_id"))
     of_fp = classes.join(least, "root").select("fp", "component_id")
     return marked.join(of_fp, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def one_of_each(
+    docs: DataFrame, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, seed: int = 42
+) -> DataFrame:
+    """The rows of ``docs``, one of each group that :func:`near_duplicates` would link.
+
+    The row with the smallest id stays (a null id only where there is no other), of several
+    with that id one; all columns are kept as they are.
+    """
+    names = docs.columns
+    free = "simhash"
+    while any(c.lower().startswith(free) for c in names):
+        free += "_"
+    fp, row = f"{free}fp", f"{free}row"
+    marked = numbered(fingerprints(docs, text_col, fp, shingle, seed), "simhash-rows", row)
+    first = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col(row).alias("row"))).alias("first")
+    distinct = marked.groupBy(F.col(fp).alias("fp")).agg(first)
+    classes = distinct.join(groups(distinct.select("fp"), max_bits), "fp")
+    keep = classes.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("kept"))
+    return marked.join(keep, F.col(row) == F.col("kept"), "left_semi").select(*names)
