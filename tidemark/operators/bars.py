@@ -212,13 +212,14 @@ def assign_runs(
     """Split arrival-ordered trades into consecutive runs of equal interval.
 
     Adds ``begin`` and ``run_id`` (1, 2, ... per symbol in arrival order).  A
-    run ends when a trade's interval differs from the previous trade's.
+    run ends when a trade's interval differs from the previous trade's.  Trades
+    without a timestamp lie in no interval and belong to no run.
     Lag and running count use the blocked sequence plan, so one symbol is
     spread over many tasks.  ``seed_col`` (streaming tails) is added into the
     running count, so a carried-over row can continue an earlier run id.
     """
     p = parse_period(period) if isinstance(period, str) else period
-    keyed = trades.withColumn("begin", period_begin("ts", p))
+    keyed = trades.where(F.col("ts").isNotNull()).withColumn("begin", period_begin("ts", p))
     return sequence.segment_ids(keyed, ["symbol"], order_col, "begin", "run_id", block_size=block_size,
                                 seed_col=seed_col)
 

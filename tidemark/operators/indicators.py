@@ -87,9 +87,8 @@ def moving_averages(
     d = sequence.number_rows(
         df, keys, order_col, "_pos", descending=newest_first, block_size=block_size, with_total="_len"
     )
-    v = "`" + value_col.replace("`", "``") + "`"
-    frames = {name: (n, f"avg({v})") for name, n in zip(names, sizes)}
-    d = sequence.frame_aggregates(d, keys, "_pos", frames, chunk_rows=chunk_rows)
+    v = "CAST(`" + value_col.replace("`", "``") + "` AS DOUBLE)"
+    d = sequence.frame_means(d, keys, "_pos", v, dict(zip(names, sizes)), chunk_rows=chunk_rows)
     lost = sum(n - 1 for n in sizes) if chained else max(sizes) - 1
     d = d.where(F.expr(f"_pos <= _len - {lost}")).drop("_pos", "_len")
     if fmt:
@@ -161,6 +160,8 @@ def append_sma(quotes: DataFrame, n: int, value_col: str = "adj_close", fmt: str
 def calculated(quotes: DataFrame, spec: str = DEFAULT_CALCULATED, value_col: str = "adj_close", **kw) -> DataFrame:
     """Chained calculated columns from a spec such as ``sma(10),sma(50)``."""
     sizes = parse_calculated(spec)
+    if not sizes:
+        return quotes
     kw.setdefault("order_col", "date")
     return moving_averages(quotes, value_col, sizes, chained=True, **kw)
 

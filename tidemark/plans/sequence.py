@@ -7,9 +7,12 @@ operator here works on *blocks*: contiguous ranges of the order column
 (``block = floor(ordinal / block_size)``).  The plan is always
 
 1. one hash shuffle on ``(keys, block)``; the window runs inside blocks;
-2. a per-block summary (one row per block, a ``1/block_size`` reduction);
-3. a window over the summary gives each block what it needs from the
-   blocks before it (running offsets, the previous block's last row);
+2. a per-block summary, one row per block, written to the shared folder, so
+   the input is read twice and no more, whatever follows;
+3. the same step on the summary: if there are more than ``FAN_OUT`` blocks they
+   are gathered into ranges of ``FAN_OUT`` blocks, ranges into wider ranges, so
+   that every window partition holds at most ``block_size`` rows or ``FAN_OUT``
+   summaries, whether the order column is dense, sparse or clumped;
 4. a join of the summary back on ``(keys, block)`` (AQE broadcasts it when
    its measured size is small, otherwise it is a co-partitioned join).
 
@@ -29,9 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import ntz_micros
+from ..session import scratch_path
 
 DEFAULT_BLOCK = 1 << 20  # ordinal units per block (seq values, days, microseconds)
 DEFAULT_CHUNK = 1 << 16  # rows per chunk for row frames
+FAN_OUT = 1 << 16  # blocks per range of blocks, at every level
 
 ORD, BLK = "_ord", "_blk"
 _FIRST = -(2**63)
@@ -49,10 +54,6 @@ def _over_block(keys: Sequence[str], frame: str = "") -> str:
     return f"OVER (PARTITION BY {_keys_sql(keys)}, {BLK} ORDER BY {ORD}{frame})"
 
 
-def _over_summary(keys: Sequence[str], frame: str = "") -> str:
-    return f"OVER (PARTITION BY {_keys_sql(keys)} ORDER BY {BLK}{frame})"
-
-
 _RUNNING = " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 _BEFORE = " ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
@@ -99,33 +100,89 @@ def with_blocks(
     """Add ``_ord``, ``_blk`` and non-null key surrogates; return the partition key names.
 
     Rows without an order value come first (Spark's NULLS FIRST) instead of
-    being lost.  A nullable key ``k`` gets ``coalesce(k, zero)`` plus a null
+    being lost; they have no order among themselves and are spread over blocks
+    by a hash.  A nullable key ``k`` gets ``coalesce(k, zero)`` plus a null
     flag, so the window, the summary and the join all use plain equi-keys:
     the join then reuses the window's hash partitioning instead of shuffling
     the big side again when the summary is too large to broadcast.
-    Columns already present are kept, so chained operators share one shuffle.
+    Columns that an earlier call left for the same order, block size and keys
+    are kept, so chained operators share one shuffle; others are replaced.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
-    pkeys: list[str] = []
+    spec = {"sequence": f"{order_col} {descending} {int(block_size)} {list(keys)}"}
+    if ORD in df.columns and df.schema[ORD].metadata == spec:
+        return df, _partition_keys(df, keys)
+    df = drop_blocks(df)
     extra: dict[str, Column] = {}
     for i, k in enumerate(keys):
         f = df.schema[k]
-        if not f.nullable:
-            pkeys.append(k)
-            continue
-        kv, kn = f"_kv{i}", f"_kn{i}"
-        if kv not in df.columns:
-            extra[kv] = F.expr(f"coalesce({_q(k)}, {_zero_sql(f.dataType)})")
-            extra[kn] = F.expr(f"{_q(k)} IS NULL")
-        pkeys += [kv, kn]
-    if ORD not in df.columns:
-        df = df.withColumn(ORD, F.coalesce(ordinal(df, order_col, descending), F.lit(_FIRST).cast("long")))
-        b = int(block_size)
-        extra[BLK] = F.expr(f"({ORD} - pmod({ORD}, {b}L)) div {b}L")
-    if extra:
-        df = df.withColumns(extra)
-    return df, pkeys
+        if f.nullable:
+            extra[f"_kv{i}"] = F.expr(f"coalesce({_q(k)}, {_zero_sql(f.dataType)})")
+            extra[f"_kn{i}"] = F.expr(f"{_q(k)} IS NULL")
+    hashed = [_q(f.name) for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    spread = F.expr(f"{_FIRST}L + pmod(xxhash64({', '.join(hashed)}), {1 << 40}L)")
+    df = df.withColumns({**extra, ORD: F.coalesce(ordinal(df, order_col, descending), spread)})
+    df = df.withColumn(ORD, F.col(ORD).alias(ORD, metadata=spec))
+    b = int(block_size)
+    return df.withColumn(BLK, F.expr(f"({ORD} - pmod({ORD}, {b}L)) div {b}L")), _partition_keys(df, keys)
+
+
+def _partition_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
+    out: list[str] = []
+    for i, k in enumerate(keys):
+        out += [f"_kv{i}", f"_kn{i}"] if f"_kv{i}" in df.columns else [k]
+    return out
+
+
+def _stored(blocks: DataFrame, block_size: int) -> tuple[DataFrame, int]:
+    """The block summary, written and read back, and how often its ranges must be gathered."""
+    spark = blocks.sparkSession
+    path = scratch_path(spark, "blocks")
+    blocks.write.parquet(path)
+    out = spark.read.schema(blocks.schema).parquet(path)
+    return out, levels(out.count(), block_size)
+
+
+def levels(n_blocks: int, block_size: int) -> int:
+    """None if all blocks fit one window, else as many as a 64-bit order may need."""
+    if n_blocks <= FAN_OUT:
+        return 0
+    ranges, out = (1 << 64) // block_size, 0
+    while ranges > FAN_OUT:
+        ranges, out = ranges // FAN_OUT, out + 1
+    return out
+
+
+def _offsets(blocks: DataFrame, pk: Sequence[str], sums: Sequence[str], level: int, ident: str = BLK) -> DataFrame:
+    """(pk, block, _o_<sum>): per key the sums over all earlier blocks."""
+    up = f"_up{level}"
+    keys = [*pk, up] if level else list(pk)
+    if level:
+        blocks = blocks.withColumn(up, F.expr(f"({ident} - pmod({ident}, {FAN_OUT}L)) div {FAN_OUT}L"))
+    over = f"OVER (PARTITION BY {_keys_sql(keys)} ORDER BY {ident}{_BEFORE})"
+    inner = blocks.select(*keys, ident, *[F.expr(f"coalesce(sum({v}) {over}, 0) AS _o{v}") for v in sums])
+    if not level:
+        return inner
+    wider = blocks.groupBy(*keys).agg(*[F.sum(v).alias(v) for v in sums])
+    before = _offsets(wider, pk, sums, level - 1, up).withColumnsRenamed({f"_o{v}": f"_b{v}" for v in sums})
+    both = inner.join(before, keys)
+    return both.select(*pk, ident, *[(F.col(f"_o{v}") + F.col(f"_b{v}")).alias(f"_o{v}") for v in sums])
+
+
+def _previous(blocks: DataFrame, pk: Sequence[str], last: str, level: int, ident: str = BLK) -> DataFrame:
+    """(pk, block, _p): per key the ``last`` of the block before, null for the first block."""
+    up = f"_up{level}"
+    keys = [*pk, up] if level else list(pk)
+    if level:
+        blocks = blocks.withColumn(up, F.expr(f"({ident} - pmod({ident}, {FAN_OUT}L)) div {FAN_OUT}L"))
+    over = f"OVER (PARTITION BY {_keys_sql(keys)} ORDER BY {ident})"
+    inner = blocks.select(*keys, ident, F.expr(f"lag({last}) {over} AS _p"))
+    if not level:
+        return inner
+    wider = blocks.groupBy(*keys).agg(F.max_by(last, ident).alias(last))
+    before = _previous(wider, pk, last, level - 1, up).withColumnRenamed("_p", "_b")
+    return inner.join(before, keys).select(*pk, ident, F.coalesce("_p", "_b").alias("_p"))
 
 
 def _finish(df: DataFrame, keep_blocks: bool) -> DataFrame:
@@ -159,14 +216,14 @@ def prefix_sums(
     outs = list(sums)
     d = d.withColumns({f"_v_{o}": (F.expr(v) if isinstance(v, str) else v) for o, v in sums.items()})
     d = d.withColumns({f"_in_{o}": F.expr(f"sum(_v_{o}) {_over_block(pk, _RUNNING)}") for o in outs})
-    summary = d.groupBy(*pk, BLK).agg(*[F.expr(f"sum(_v_{o}) AS _t_{o}") for o in outs])
-    offs = {f"_o_{o}": F.expr(f"coalesce(sum(_t_{o}) {_over_summary(pk, _BEFORE)}, 0)") for o in outs}
+    blocks = d.groupBy(*pk, BLK).agg(*[F.expr(f"sum(_v_{o}) AS _t_{o}") for o in outs])
+    blocks, level = _stored(blocks, block_size)
+    summary = _offsets(blocks, pk, [f"_t_{o}" for o in outs], level)
     if with_total:
-        offs[with_total] = F.expr(f"sum(_t_{outs[0]}) OVER (PARTITION BY {_keys_sql(pk)})")
-    summary = summary.withColumns(offs).drop(*[f"_t_{o}" for o in outs])
+        summary = summary.join(blocks.groupBy(*pk).agg(F.sum(f"_t_{outs[0]}").alias(with_total)), pk)
     j = d.join(summary, [*pk, BLK], "inner")
-    j = j.withColumns({o: F.expr(f"_o_{o} + _in_{o}") for o in outs})
-    j = j.drop(*[f"_{p}_{o}" for o in outs for p in ("v", "in", "o")])
+    j = j.withColumns({o: F.expr(f"_o_t_{o} + _in_{o}") for o in outs})
+    j = j.drop(*[f"_{p}_{o}" for o in outs for p in ("v", "in", "o_t")])
     return _finish(j, keep_blocks)
 
 
@@ -214,23 +271,23 @@ def with_previous(
     lags = {"_first_in_blk": F.expr(f"lag({ORD}) {_over_block(pk)} IS NULL")}
     lags.update({f"_lag_{c}": F.expr(f"lag({_q(c)}) {_over_block(pk)}") for c in cols})
     d = d.withColumns(lags)
-    # one max_by per column (the order is unique, so all pick the same row): fixed-width
-    # values keep the summary a HashAggregate with map-side combine
-    last = d.groupBy(*pk, BLK).agg(*[F.expr(f"max_by({_q(c)}, {ORD}) AS _last_{i}") for i, c in enumerate(cols)])
-    last = last.select(*pk, BLK, *[F.expr(f"lag(_last_{i}) {_over_summary(pk)} AS _pl_{i}") for i in range(len(cols))])
-    j = d.join(last, [*pk, BLK], "inner")
+    last = d.groupBy(*pk, BLK).agg(F.max_by(F.struct(*[F.col(_q(c)).alias(f"l{i}") for i, c in enumerate(cols)]), ORD).alias("_last"))
+    last, level = _stored(last, block_size)
+    j = d.join(_previous(last, pk, "_last", level), [*pk, BLK], "inner")
     j = j.withColumns({
-        f"{prefix}{c}": F.expr(f"CASE WHEN _first_in_blk THEN _pl_{i} ELSE _lag_{c} END") for i, c in enumerate(cols)
+        f"{prefix}{c}": F.expr(f"CASE WHEN _first_in_blk THEN _p.l{i} ELSE _lag_{c} END") for i, c in enumerate(cols)
     })
-    j = j.drop("_first_in_blk", *[f"_pl_{i}" for i in range(len(cols))], *[f"_lag_{c}" for c in cols])
+    j = j.drop("_first_in_blk", "_p", *[f"_lag_{c}" for c in cols])
     return _finish(j, keep_blocks)
 
 
 def lag_change(df: DataFrame, keys: Sequence[str], order_col: str, col: str, out: str = "changed",
                **kw) -> DataFrame:
     """Does ``col`` differ from the previous row's value (true on each key's first row)?"""
-    d = with_previous(df, keys, order_col, [col], prefix="_lc_", **kw)
-    return d.withColumn(out, F.expr(f"_lc_{col} IS NULL OR NOT (_lc_{col} <=> {_q(col)})")).drop(f"_lc_{col}")
+    d = with_previous(df.withColumn("_has", F.lit(True)), keys, order_col, [col, "_has"], prefix="_lc_", **kw)
+    prev = _q(f"_lc_{col}")
+    changed = F.expr(f"_lc__has IS NULL OR NOT ({prev} <=> {_q(col)})")
+    return d.withColumn(out, changed).drop(f"_lc_{col}", "_lc__has", "_has")
 
 
 def frame_aggregates(
@@ -255,13 +312,8 @@ def frame_aggregates(
     nmax = max(n for n, _ in frames.values())
     if nmax <= 0:
         raise ValueError("frame length must be positive")
-    c = max(int(chunk_rows), nmax)
     pos = _q(pos_col)
-    # every row once in its own chunk; the first nmax-1 rows of a chunk once more, as halo of the previous one
-    copies = (f"CASE WHEN pmod({pos} - 1, {c}L) < {nmax - 1} AND ({pos} - 1) div {c}L > 0 "
-              "THEN array(0, 1) ELSE array(0) END")
-    parts = df.withColumn("_copy", F.explode(F.expr(copies))).withColumns({
-        "_chunk": F.expr(f"({pos} - 1) div {c}L - _copy"), "_halo": F.expr("_copy = 1")}).drop("_copy")
+    parts = _chunks(df, pos_col, nmax, chunk_rows)
     spec = f"PARTITION BY {_keys_sql(keys)}, _chunk ORDER BY {pos}"
     w = Window.partitionBy(*keys, "_chunk").orderBy(pos_col)
     cols = {}
@@ -274,6 +326,55 @@ def frame_aggregates(
     return parts.where(~F.col("_halo")).drop("_chunk", "_halo")
 
 
+def frame_means(
+    df: DataFrame,
+    keys: Sequence[str],
+    pos_col: str,
+    value: str,
+    sizes: Mapping[str, int],
+    *,
+    chunk_rows: int = DEFAULT_CHUNK,
+) -> DataFrame:
+    """Means of ``value`` over ``pos .. pos+n-1`` per output column, at a cost per row that does not grow with n.
+
+    Positions are cut into blocks of n.  A frame is the rest of one block and the
+    beginning of the next, so its sum is a running sum backwards plus a running sum
+    forwards n-1 rows on: nothing is subtracted and nothing drifts.  Chunks and their
+    halos are those of :func:`frame_aggregates`; frames past the key's last row are
+    partial and the caller filters by position.
+    """
+    nmax = max(sizes.values())
+    if min(sizes.values()) <= 0:
+        raise ValueError("frame length must be positive")
+    parts = _chunks(df, pos_col, nmax, chunk_rows)
+    pos, over = _q(pos_col), f"PARTITION BY {_keys_sql([*keys, '_chunk'])}"
+    added = []
+    for i, (out, n) in enumerate(sizes.items()):
+        blk, to_end, to_here, far = f"_b{i}", f"_e{i}", f"_h{i}", f"_f{i}"
+        pair = f"named_struct('s', coalesce(sum({value}) {{0}}, 0D), 'c', count({value}) {{0}})"
+        back = f"OVER ({over}, {blk} ORDER BY {pos} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        here = f"OVER ({over}, {blk} ORDER BY {pos} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+        parts = parts.withColumn(blk, F.expr(f"({pos} - 1) div {n}L"))
+        parts = parts.withColumn(to_end, F.expr(pair.format(back))).withColumn(to_here, F.expr(pair.format(here)))
+        parts = parts.withColumn(far, F.expr(f"lead({to_here}, {n - 1}) OVER ({over} ORDER BY {pos})"))
+        whole = f"pmod({pos} - 1, {n}L) = 0"
+        total = f"{to_end}.s + if({whole}, 0D, coalesce({far}.s, 0D))"
+        count = f"{to_end}.c + if({whole}, 0L, coalesce({far}.c, 0L))"
+        parts = parts.withColumn(out, F.expr(f"try_divide({total}, {count})"))
+        added += [blk, to_end, to_here, far]
+    return parts.where(~F.col("_halo")).drop("_chunk", "_halo", *added)
+
+
+def _chunks(df: DataFrame, pos_col: str, nmax: int, chunk_rows: int) -> DataFrame:
+    """Every row once in its own chunk; the first nmax-1 rows of a chunk once more, as halo of the previous one."""
+    c = max(int(chunk_rows), nmax)
+    pos = _q(pos_col)
+    copies = (f"CASE WHEN pmod({pos} - 1, {c}L) < {nmax - 1} AND ({pos} - 1) div {c}L > 0 "
+              "THEN array(0, 1) ELSE array(0) END")
+    return df.withColumn("_copy", F.explode(F.expr(copies))).withColumns({
+        "_chunk": F.expr(f"({pos} - 1) div {c}L - _copy"), "_halo": F.expr("_copy = 1")}).drop("_copy")
+
+
 def segment_ids(
     df: DataFrame,
     keys: Sequence[str],
@@ -294,20 +395,21 @@ def segment_ids(
     """
     d, pk = with_blocks(df, order_col, descending, block_size, keys)
     v = _q(value_col)
+    has_prev = f"lag({ORD}) {_over_block(pk)} IS NOT NULL"
     prev = f"lag({v}) {_over_block(pk)}"
-    inc = f"CASE WHEN {prev} IS NOT NULL AND NOT ({prev} <=> {v}) THEN 1L ELSE 0L END"
+    inc = f"CASE WHEN {has_prev} AND NOT ({prev} <=> {v}) THEN 1L ELSE 0L END"
     if seed_col:
         inc = f"({inc} + coalesce(CAST({_q(seed_col)} AS BIGINT), 0L))"
     d = d.withColumn("_inc", F.expr(inc))
     d = d.withColumn("_local", F.expr(f"sum(_inc) {_over_block(pk, _RUNNING)}"))
-    summary = d.groupBy(*pk, BLK).agg(
-        F.expr(f"min_by({v}, {ORD}) AS _first_v"), F.expr(f"max_by({v}, {ORD}) AS _last_v"),
+    blocks = d.groupBy(*pk, BLK).agg(
+        F.expr(f"min_by(named_struct('v', {v}), {ORD}) AS _first"), F.expr(f"max_by(named_struct('v', {v}), {ORD}) AS _last"),
         F.expr("sum(_inc) AS _internal"))
-    prev_last = f"lag(_last_v) {_over_summary(pk)}"
-    summary = summary.withColumn(
-        "_first_new", F.expr(f"CASE WHEN {prev_last} IS NULL OR NOT ({prev_last} <=> _first_v) THEN 1L ELSE 0L END"))
-    summary = summary.select(*pk, BLK, "_first_new", F.expr(
-        f"coalesce(sum(_internal + _first_new) {_over_summary(pk, _BEFORE)}, 0L) AS _off"))
+    blocks, level = _stored(blocks, block_size)
+    known = blocks.join(_previous(blocks, pk, "_last", level), [*pk, BLK])
+    known = known.withColumn("_new", F.expr("CASE WHEN _p IS NULL OR NOT (_p.v <=> _first.v) THEN 1L ELSE 0L END"))
+    known = known.withColumn("_runs", F.expr("_internal + _new")).select(*pk, BLK, "_new", "_runs")
+    summary = known.drop("_runs").join(_offsets(known, pk, ["_runs"], level), [*pk, BLK])
     j = d.join(summary, [*pk, BLK], "inner")
-    j = j.withColumn(out, F.expr("_off + _first_new + _local"))
-    return _finish(j.drop("_inc", "_local", "_off", "_first_new"), False)
+    j = j.withColumn(out, F.expr("_o_runs + _new + _local"))
+    return _finish(j.drop("_inc", "_local", "_o_runs", "_new"), False)
