@@ -157,3 +157,11 @@ def test_null_time_forms_no_bar(spark, period):
     rows = [("a", 0, T0, 1.0, 1.0), ("a", 1, None, 2.0, 1.0)]
     bars = B.periodic_ohlcv(spark.createDataFrame(rows, SCHEMA), period).collect()
     assert len(bars) == 1 and bars[0].n == 1 and bars[0].begin is not None
+
+
+def test_trades_without_a_time_belong_to_no_run(spark):
+    rows = [("a", 1, dt.datetime(2024, 1, 1, 6)), ("a", 2, None), ("a", 3, dt.datetime(2024, 1, 1, 7)), ("a", 4, dt.datetime(2024, 1, 2, 7)), ("b", 5, None)]
+    df = spark.createDataFrame([(*r, 1.0, 1.0) for r in rows], "symbol string, seq long, ts timestamp_ntz, price double, amount double")
+    for period in ("daily", "daily(America/New_York)", "daily(+05:30)"):
+        bars = B.ohlcv_runs(df, period).orderBy("run_id").collect()
+        assert [(r.symbol, r.run_id, r.n) for r in bars] == [("a", 1, 2), ("a", 2, 1)] and all(r.begin for r in bars)

@@ -132,3 +132,17 @@ def test_random_walk_prices_smoke(spark):
     prices = [r["index"] for r in I.compound_index(shocks, "shock", 230.0).orderBy("seq").collect()]
     assert len(prices) == 40 and all(p > 0 for p in prices)
     assert all(abs(b / a - 1) <= 0.0025 + 1e-12 for a, b in zip([230.0] + prices, prices))
+
+
+def test_no_calculated_column_leaves_the_table(spark):
+    df = spark.createDataFrame([("s", "2014-12-31", 1.0)], "symbol string, date string, adj_close double").withColumn("date", F.to_date("date"))
+    assert I.calculated(df, ",").collect() == df.collect()
+
+
+def test_running_sum_needs_one_row_a_day(spark):
+    rows = [("s", f"2014-12-{d}", float(d)) for d in (10, 11, 12, 12)]
+    df = spark.createDataFrame(rows, "symbol string, date string, adj_close double").withColumn("date", F.to_date("date"))
+    with pytest.raises(Exception, match="more than one row"):
+        I.calculated(df, "sma(2)", exact_running_sum=True).collect()
+    ok = I.calculated(df.dropDuplicates(["date"]), "sma(2)", exact_running_sum=True).collect()
+    assert sorted(r.adj_close_sma_2 for r in ok) == [10.5, 11.5]

@@ -48,11 +48,14 @@ def test_line_cap_and_bad_rows(spark, tmpdir_spark):
     _write_text(spark, p1, ok)
     _write_text(spark, p2, long)
     _write_text(spark, p3, "1442335124,1,1\n\n1442335125,1,1")
-    assert R.parse_csv(R.read_lines(spark, p1)).count() == 1
+    assert R.parse_csv(R.read_lines(spark, p1), max_line_bytes=256).count() == 1
+    assert R.parse_csv(R.read_lines(spark, p2)).first().row is not None  # no cap unless asked for
     with pytest.raises(Exception):
-        R.parse_csv(R.read_lines(spark, p2)).collect()
-    quarantined = R.parse_csv(R.read_lines(spark, p2), strict=False).first()
+        R.parse_csv(R.read_lines(spark, p2), max_line_bytes=256).collect()
+    quarantined = R.parse_csv(R.read_lines(spark, p2), strict=False, max_line_bytes=256).first()
     assert quarantined.too_long and quarantined.row is None
+    kept = R.read_trades(spark, p2, strict=False, max_line_bytes=256).collect()
+    assert [(r.bad, r.too_long) for r in kept] == [(True, True)]
     with pytest.raises(Exception):
         R.read_trades(spark, p3).collect()
     lenient = R.read_trades(spark, p3, strict=False).collect()
@@ -138,13 +141,14 @@ def test_stream_encode_csv_with_header(spark, tmpdir_spark):
 
 
 def test_iso_parse_nanos_and_errors(spark):
-    df = spark.createDataFrame([("2015-09-15T00:00:01.123456789Z",), ("2015-09-15T00:00:01Z",)], "s string")
+    df = spark.createDataFrame([("2015-09-15T00:00:01.123456000Z",), ("2015-09-15T00:00:01Z",)], "s string")
     got = [r.t for r in df.select(parse_iso_instant("s").alias("t")).collect()]
     assert got == [dt.datetime(2015, 9, 15, 0, 0, 1, 123456), dt.datetime(2015, 9, 15, 0, 0, 1)]
-    bad = spark.createDataFrame([("2015-09-15 00:00:01",)], "s string")
-    with pytest.raises(Exception):
-        bad.select(parse_iso_instant("s")).collect()
-    assert bad.select(parse_iso_instant("s", strict=False).alias("t")).first().t is None
+    for text in ("2015-09-15 00:00:01", "2015-09-15T00:00:01.123456789Z"):  # nanoseconds don't fit
+        bad = spark.createDataFrame([(text,)], "s string")
+        with pytest.raises(Exception):
+            bad.select(parse_iso_instant("s")).collect()
+        assert bad.select(parse_iso_instant("s", strict=False).alias("t")).first().t is None
 
 
 def test_read_quotes_as_stream(spark, tmpdir_spark):
@@ -170,3 +174,60 @@ def test_strict_parse_fails_without_ansi(spark, tmpdir_spark):
         assert R.read_trades(spark, p, strict=False).first().bad
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_arrival_order_over_files_of_unequal_size(spark, tmpdir_spark):
+    for k, n in enumerate([3, 4000, 1, 700]):  # the small file comes first, whatever tasks read first
+        lines = spark.range(n).selectExpr(f"concat('{k},', id, ',1') AS value").coalesce(1)
+        lines.write.mode("append").option("lineSep", "\n").text(f"{tmpdir_spark}/f/part={k}")
+    t = R.read_trades(spark, tmpdir_spark + "/f", "s").orderBy("seq").collect()
+    assert [r.seq for r in t] == list(range(4704))
+    assert [(r.ts.second, r.price) for r in t] == [(k, float(i)) for k, n in enumerate([3, 4000, 1, 700]) for i in range(n)]
+
+
+def test_quotes_follow_each_files_header(spark, tmpdir_spark):
+    _write_text(spark, tmpdir_spark + "/q/a=1", "Date,Open,High,Low,Close,Volume,Adj Close\n2014-12-31,1,2,3,4,5,6\n")
+    _write_text(spark, tmpdir_spark + "/q/a=2", "Date , Adj Close,Volume,Close,Low,High,Open, More\n2014-12-30,6, 5,4,3,2,1,\"x\"\n\n")
+    rows = R.read_quotes(spark, tmpdir_spark + "/q", "s").orderBy("seq").collect()
+    assert [(r.open, r.high, r.low, r.close, r.volume, r.adj_close) for r in rows] == [(1.0, 2.0, 3.0, 4.0, 5, 6.0)] * 2
+    for k, text in enumerate(["Date,Open\n2014-12-31,1", "Date,Open,High,Low,Close,Volume,Adj Close\n2014-12-31,1,2", "Date,Open,High,Low,Close,Volume,Adj Close\n2014-12-31,1,2,3,4,x,6"]):
+        _write_text(spark, f"{tmpdir_spark}/bad{k}", text)
+        with pytest.raises(Exception):
+            R.read_quotes(spark, f"{tmpdir_spark}/bad{k}", "s").collect()
+
+
+def test_quote_stream_refuses_another_header(spark, tmpdir_spark):
+    _write_text(spark, tmpdir_spark + "/q", "Date,Adj Close,Open,High,Low,Close,Volume\n2014-12-31,1,2,3,4,5,6")
+    s = R.read_quotes(spark, tmpdir_spark + "/q", "s", stream=True)
+    q = (s.writeStream.format("parquet").option("path", tmpdir_spark + "/out")
+         .option("checkpointLocation", tmpdir_spark + "/ck").trigger(availableNow=True).start())
+    with pytest.raises(Exception):
+        q.awaitTermination()
+
+
+@pytest.mark.parametrize("text", ['{"price": 1.0}', '{"timestamp": "2015-09-15T00:00:00Z", "price": null, "amount": 1.0}',
+                                  '{"timestamp": "2015-09-15T00:00:00Z", "amount": 1.0}', "{}", None])
+def test_strict_json_needs_every_field(spark, text):
+    lines = spark.createDataFrame([(text,)], "value string")
+    with pytest.raises(Exception):
+        R.trades_from_json(lines).collect()
+    assert R.trades_from_json(lines, strict=False).first().bad
+
+
+@pytest.mark.parametrize("text", ['[{"begin": "2015-09-15T00:00:00Z"}, {"open": 1.0}]', "[]", '[{"begin": null, "end": null}]'])
+def test_strict_json_bars_need_every_field(spark, text):
+    with pytest.raises(Exception):
+        R.bars_from_json(spark.createDataFrame([(text,)], "value string")).collect()
+
+
+def test_partitioned_csv_without_rows_has_a_header(spark, tmpdir_spark):
+    empty = spark.createDataFrame([], "symbol string, ts timestamp_ntz, price double, amount double")
+    R.write_csv(R.trades_to_csv(empty, keep=["symbol"]), tmpdir_spark + "/e", partition_by=["symbol"])
+    assert [r.value for r in spark.read.text(tmpdir_spark + "/e").collect()] == ["timestamp,price,amount"]
+
+
+def test_csv_lines_in_order(spark, tmpdir_spark):
+    t = spark.range(500).selectExpr("CAST(499 - id AS STRING) AS a", "lpad(CAST((id * 37) % 500 AS STRING), 3, '0') AS b").repartition(5)
+    R.write_csv(t, tmpdir_spark + "/s", header=False, sort_by=["b"])
+    lines = [r.value for r in R.arrival_lines(spark, tmpdir_spark + "/s").orderBy("seq").collect()]
+    assert [x.split(",")[1] for x in lines] == sorted(x.split(",")[1] for x in lines) and len(lines) == 500

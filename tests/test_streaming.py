@@ -1,4 +1,4 @@
-"""Streams equal batch: bars with an end marker, SMA and runs over several micro-batches."""
+"""Streams equal batch: bars, SMA and runs over several micro-batches, whatever order the input comes in."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,13 +27,47 @@ def _ordered_batches(spark, t, days):
     return path
 
 
-def test_stream_bars_equal_batch(spark):
-    ev = TD.table(spark, SF_SMALL, "events")
-    batch = TD.trades_from_events(ev)
-    data = TD.trades_from_events(SS.parquet_stream(spark, SF_SMALL, "events.parquet", schema=ev.schema))
-    s = data.unionByName(SS.end_marker(spark, batch))
-    hourly = SS.without_marker(SS.run_available_now(SB.stream_ohlcv(s, "hourly")))
-    assert _sorted(hourly, COLS) == _sorted(B.periodic_ohlcv(batch, "hourly"), COLS)
+def _unordered(spark, files=9):
+    """Trades without order over many files, some without a symbol or a time; one is far older than the rest."""
+    t = TD.trades(spark, SF_SMALL).withColumn("symbol", F.expr("CASE WHEN seq % 7 != 0 THEN symbol ELSE IF(seq % 2 = 0, '__end__', NULL) END"))
+    t = t.withColumn("ts", F.expr("CASE WHEN seq = 3 THEN timestamp_ntz '1999-01-01 01:00:00' WHEN seq % 31 != 0 THEN ts END"))
+    path = scratch_path(spark, "unordered")
+    t.repartition(files, F.hash("seq")).write.parquet(path)
+    return t, path
+
+
+@pytest.mark.parametrize("period", ["hourly", "daily", "daily(+05:30)", "daily(Asia/Kolkata)", "daily(America/New_York)"])
+def test_stream_bars_keep_every_trade(spark, period):
+    t, path = _unordered(spark)
+    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
+    out = scratch_path(spark, "bars")
+    SB.stream_ohlcv(stream, out, scratch_path(spark, "ck"), period, merge_every=4).awaitTermination()
+    got = SB.read_bars(spark, out)
+    assert _sorted(got.fillna("null"), COLS) == _sorted(B.periodic_ohlcv(t, period).fillna("null"), COLS)
+    assert got.agg(F.sum("n")).first()[0] == t.where("ts IS NOT NULL").count()
+
+
+def test_stream_rollup_keeps_every_trade(spark):
+    t, path = _unordered(spark, 5)
+    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
+    out = scratch_path(spark, "bars")
+    SB.stream_ohlcv(stream, out, scratch_path(spark, "ck"), "hourly").awaitTermination()
+    got = SB.read_rollup(spark, out, "daily")
+    assert _sorted(got.fillna("null"), COLS) == _sorted(B.periodic_ohlcv(t, "daily").fillna("null"), COLS)
+
+
+def test_batch_table_runs_a_batch_again_and_removes_what_is_merged(spark):
+    from tidemark.streaming.tables import BatchTable, _complete
+
+    table = BatchTable(scratch_path(spark, "table"), lambda df: df.groupBy("k").agg(F.sum("n").alias("n")), every=3)
+    rows = lambda i: spark.createDataFrame([("a", 1), (None, i)], "k string, n long")
+    for i in [0, 1, 1, 2, 2, 3, 4, 5, 5, 6]:  # some run twice, as after a failure
+        table.write(rows(i), i)
+    total = table.read(spark, rows(0).schema).groupBy("k").agg(F.sum("n").alias("n"))
+    assert sorted(map(tuple, total.fillna("-", ["k"]).collect())) == [("-", 21), ("a", 7)]
+    found = _complete(spark, table.path)
+    assert found["upto"] == [5] and found["batch"] == [6]
+    assert BatchTable(scratch_path(spark, "none")).read(spark, rows(0).schema).count() == 0
 
 
 @pytest.fixture(scope="module")
@@ -69,22 +103,34 @@ def test_stream_runs_over_batches(spark, multi_batch):
     assert _sorted(got, cols) == _sorted(B.ohlcv_runs(t, "hourly"), cols)
 
 
-def test_stream_zoned_half_hour_zone_equals_batch(spark):
-    ev = TD.table(spark, SF_SMALL, "events")
-    batch = TD.trades_from_events(ev)
-    data = TD.trades_from_events(SS.parquet_stream(spark, SF_SMALL, "events.parquet", schema=ev.schema))
-    s = data.unionByName(SS.end_marker(spark, batch))
-    partials = SS.run_available_now(SB.stream_ohlcv_zoned(s, "Asia/Kolkata"))
-    got = SB.finalize_zoned(SS.without_marker(partials))
-    assert _sorted(got, COLS) == _sorted(B.periodic_ohlcv(batch, "daily(Asia/Kolkata)"), COLS)
+def test_tails_stay_small_and_null_keys_follow(spark):
+    # symbols come and go over many batches; a key's tail is found again, old versions are removed
+    from tidemark.streaming.tables import _complete
 
-
-def test_stream_rollup_over_batches(spark, multi_batch):
-    t, path = multi_batch
-    days = sorted({r[0] for r in t.select(F.to_date("ts")).distinct().collect()})
-    rolled = _ordered_batches(spark, t, days)  # own copy, written day by day, so the marker stays here
-    assert SS.end_marker(spark, t, directory=rolled) is None  # newest file: read last
-    data = SS.parquet_stream(spark, rolled, schema=t.schema, max_files_per_trigger=1)
-    out = SS.run_available_now(SB.stream_rollup(data, "prepend"))
-    got = SS.without_marker(out)
-    assert _sorted(got, COLS) == _sorted(B.periodic_ohlcv(t, "daily"), COLS)
+    out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
+    handler = ST.StreamSma(out, state, 3, "price")
+    handler.tail._table.every = 4
+    t = spark.range(60).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id < 20 OR id > 50 THEN 'x' ELSE 'y' END AS symbol",
+                                   "id AS seq", "CAST(id AS DOUBLE) AS price")
+    for i in range(10):
+        handler(t.where(f"seq >= {6 * i} AND seq < {6 * i + 6}"), i)
+    got = {(r.symbol, r.seq): r.price_sma_3 for r in ST.read_outputs(spark, out).collect()}
+    want = {(r.symbol, r.seq): r.price_sma_3 for r in I.sma(t, "price", 3).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    found = _complete(spark, state)
+    assert found["upto"] == [7] and sorted(found["batch"]) == [8, 9]
+
+
+def test_csv_stream_in_arrival_order(spark):
+    from tidemark.sources import records as R
+    from tidemark.streaming import records as SR
+
+    root, out, state = (scratch_path(spark, x) for x in ("raw", "o", "s"))
+    hours = [5, 5, 6, 5, 7, 7, 5]
+    for k, part in enumerate([hours[:3], hours[3:4], hours[4:]]):
+        lines = [(f"{1442016000 + 3600 * h},{i}.0,1",) for i, h in enumerate(part)]
+        spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").option("lineSep", "\n").text(f"{root}/symbol=s/f={k}")
+    read = spark.readStream.option("lineSep", "\n").schema("value string, symbol string, f int").text(root)
+    SS.run_foreach_batch(read.selectExpr("value", "symbol", *R.SPLIT_COLUMNS), SR.OrderedTrades(ST.StreamRuns(out, state, "hourly")))
+    bars = ST.finalize_runs(ST.read_outputs(spark, out)).orderBy("run_id").collect()
+    assert [(r.run_id, r.begin.hour, r.n) for r in bars] == [(1, 5, 2), (2, 6, 1), (3, 5, 1), (4, 7, 2), (5, 5, 1)]

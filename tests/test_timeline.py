@@ -4,18 +4,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.rates import duration_for, exponential_gap, quantity_for
+from tidemark.functions.rates import duration_for, mean_gap_s, quantity_for
 from tidemark.operators import timeline as TL
 
 T0 = dt.datetime(2024, 1, 1)
 
 
-def test_poisson_mean_gap(spark):
-    gaps = spark.range(100_000).select(exponential_gap(F.rand(11), 1.0, 0.040).alias("g"))
-    mean_ms = gaps.agg(F.avg("g")).first()[0] * 1000
-    assert abs(mean_ms - 40.0) < 1.0
-
-
 def test_rate_algebra(spark):
     df = spark.range(1).select(
         quantity_for(10.0, 1.0, F.lit(1.0)).alias("q"), duration_for(10.0, 1.0, F.lit(10.0)).alias("d"),
@@ -46,8 +40,8 @@ def test_arrival_timeline_and_gaps(spark):
     assert stats["b"].min_gap_s == pytest.approx(min(g for k, _, g in rows if k == "b" and _ > 0), abs=1e-6)
 
 
-def test_rate_check(spark):
+def test_mean_gap_of_a_steady_rate(spark):
     rows = [("a", i, T0 + dt.timedelta(milliseconds=250 * i)) for i in range(40)]
     df = spark.createDataFrame(rows, "symbol string, seq long, ts timestamp_ntz")
-    r = TL.check_rate(TL.interarrival_stats(df), 1.0, 0.25, 0.001).first()
-    assert r.within_target and r.mean_gap_s == pytest.approx(0.25)
+    stats = TL.interarrival_stats(df).withColumn("target", mean_gap_s(1.0, 0.25)).first()
+    assert stats.mean_gap_s == pytest.approx(stats.target)

@@ -44,14 +44,16 @@ def iso_instant(ts) -> Column:
 
 
 def parse_iso_instant(s, strict: bool = True) -> Column:
-    """ISO instant text (``...Z``) -> NTZ timestamp in UTC; bad text fails in strict mode, else null."""
+    """ISO instant text (``...Z``) -> NTZ timestamp in UTC.
+
+    Bad text, and instants between two microseconds, fail in strict mode, else they are null.
+    """
     text = _col(s)
     ok = text.rlike(_ISO)
-    # keep at most 6 fraction digits: Spark timestamps hold microseconds
-    normalized = F.regexp_replace(
-        F.regexp_replace(text, r"(\.\d{6})\d+Z$", "$1Z"), "Z$", ""
-    )
-    value = F.to_timestamp_ntz(normalized)
+    # Spark timestamps hold microseconds: further fraction digits must be zeros
+    normalized = F.regexp_replace(F.regexp_replace(text, r"(\.\d{6})0+Z$", "$1Z"), "Z$", "")
+    ok = ok & ~normalized.rlike(r"\.\d{7,}$")
+    value = F.to_timestamp_ntz(F.when(ok, normalized))
     if strict:
         return F.when(text.isNull(), F.lit(None)).when(ok, value).otherwise(
             F.raise_error(F.concat(F.lit("invalid Instant string: "), text))

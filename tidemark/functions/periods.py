@@ -7,9 +7,10 @@ it returns a session-zone timestamp.
 
 from __future__ import annotations
 
+import functools
 import re
 from dataclasses import dataclass
-from zoneinfo import ZoneInfo, ZoneInfoNotFoundError, available_timezones
+from zoneinfo import ZoneInfo, ZoneInfoNotFoundError
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -111,15 +112,20 @@ def whole_hour_offsets(period: Period) -> bool:
     """True when the period's zone is always a whole number of hours from UTC.
 
     Region zones are sampled every 6 hours from 1970 to 2100 (about 190,000
-    driver-side lookups, no job); hourly bars nest in its days only then.
+    driver-side lookups once per zone, no job); hourly bars nest in its days only then.
     """
     if period.kind == "hourly":
         return True
     if period.fixed_offset_s is not None:
         return period.fixed_offset_s % 3600 == 0
+    return _zone_in_whole_hours(period.zone)
+
+
+@functools.cache
+def _zone_in_whole_hours(name: str) -> bool:
     import datetime as _dt
 
-    zone = ZoneInfo(period.zone)
+    zone = ZoneInfo(name)
     t = _dt.datetime(1970, 1, 1, tzinfo=_dt.timezone.utc)
     step, end = _dt.timedelta(hours=6), _dt.datetime(2100, 1, 1, tzinfo=_dt.timezone.utc)
     while t < end:
@@ -130,10 +136,6 @@ def whole_hour_offsets(period: Period) -> bool:
     return True
 
 
-def known_zones() -> set[str]:
-    return set(available_timezones())
-
-
 def period_begin(ts: Column | str, period: Period | str) -> Column:
     """Begin of the aligned interval that contains ``ts`` (NTZ in, NTZ out)."""
     period = parse_period(period) if isinstance(period, str) else period

@@ -1,4 +1,4 @@
-"""Rate algebra on columns (R3) and exponential inter-arrival gaps.
+"""Rate algebra on columns.
 
 A rate is ``quantity`` per ``duration`` seconds (duration > 0).  Rates may be
 Python numbers or columns.
@@ -43,10 +43,6 @@ def duration_for(rate_quantity, rate_duration_s, quantity) -> Column:
 
 
 def mean_gap_s(rate_quantity, rate_duration_s) -> Column:
-    return _c(rate_duration_s) / _c(rate_quantity)
-
-
-def exponential_gap(u, rate_quantity, rate_duration_s) -> Column:
-    """Inverse CDF of the exponential law: ``-ln(1 - u) * duration / quantity`` for ``u`` in [0, 1)."""
+    """Seconds between two units at a rate."""
     _check_duration(rate_duration_s)
-    return -F.log1p(-_c(u)) * mean_gap_s(rate_quantity, rate_duration_s)
+    return _c(rate_duration_s) / _c(rate_quantity)

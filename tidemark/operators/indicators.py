@@ -103,9 +103,10 @@ def _running_sum_sma(df: DataFrame, value_col: str, sizes: Sequence[int], names:
     """The reference's sequential running sum, one key per ``applyInPandas`` group.
 
     The fold ``sum + x - head`` drifts in the last bits, so it cannot be split
-    across tasks.  It is therefore only offered for date-ordered quote tables:
-    one row per key and day bounds a group by the calendar (about 36,500 rows
-    per century), however large the table.  Positional SMAs over trades use the
+    across tasks.  It is therefore only offered for date-ordered quote tables,
+    and the plan fails on a second row of a key and day before anything is
+    gathered: a group is bounded by the calendar (about 36,500 rows per
+    century), however large the table.  Positional SMAs over trades use the
     blocked frame mean instead.
     """
     if not isinstance(df.schema[order_col].dataType, T.DateType):
@@ -113,23 +114,28 @@ def _running_sum_sma(df: DataFrame, value_col: str, sizes: Sequence[int], names:
     import numpy as np
 
     keys = list(keys)
+    names = list(names)
     out_schema = T.StructType(list(df.schema.fields) + [T.StructField(nm, T.DoubleType()) for nm in names])
     lost = sum(n - 1 for n in sizes) if chained else max(sizes) - 1
 
     def fold(pdf):
         pdf = pdf.sort_values(order_col, ascending=not newest_first, kind="stable").reset_index(drop=True)
-        vals = pdf[value_col].astype("float64").tolist()
+        vals = pdf[value_col].to_numpy("float64")
         for n, nm in zip(sizes, names):
+            # x0, x1, ..., then x_i, -x_(i-n) in turn: accumulate adds strictly in this order
+            steps = np.zeros((len(vals), 2))
+            steps[:, 0] = vals
+            steps[n:, 1] = -vals[: max(0, len(vals) - n)]
+            totals = np.add.accumulate(steps.ravel())[1::2]
             res = np.full(len(vals), np.nan)
-            total = 0.0
-            for i, x in enumerate(vals):
-                total = total + x - vals[i - n] if i >= n else total + x
-                if i >= n - 1:
-                    res[i - n + 1] = total / n
+            res[: max(0, len(vals) - n + 1)] = totals[n - 1 :] / n
             pdf[nm] = res
         return pdf.iloc[: max(0, len(pdf) - lost)]
 
-    out = df.groupBy(*keys).applyInPandas(fold, schema=out_schema)
+    row = F.when(F.count("*") == 1, F.first(F.struct(*[F.col(f"`{c}`") for c in df.columns]))).otherwise(
+        F.raise_error(F.lit("exact_running_sum: more than one row of a key and day")))
+    single = df.groupBy(*keys, order_col).agg(row.alias("_row")).select("_row.*")
+    out = single.groupBy(*keys).applyInPandas(fold, schema=out_schema)
     if fmt:
         out = out.withColumns({nm: F.format_string(fmt, F.col(nm)) for nm in names})
     return out

@@ -1,4 +1,4 @@
-"""Arrival timelines and inter-arrival statistics (R1, R2, R4) as table operators."""
+"""Arrival timelines and inter-arrival statistics (R1, R2) as table operators."""
 
 from __future__ import annotations
 
@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.periods import micros_ntz, ntz_micros
-from ..functions.rates import exponential_gap
 from ..plans import sequence
 
 
@@ -74,15 +73,3 @@ def interarrival_stats(
         F.min("gap_s").alias("min_gap_s"),
         F.max("gap_s").alias("max_gap_s"),
     )
-
-
-def check_rate(stats: DataFrame, rate_quantity: float, rate_duration_s: float, tolerance_s: float) -> DataFrame:
-    """Flag keys whose mean gap is within ``tolerance_s`` of the rate's mean gap (R2 as a check)."""
-    target = float(rate_duration_s) / float(rate_quantity)
-    return stats.withColumn("target_gap_s", F.lit(target)).withColumn(
-        "within_target", F.abs(F.col("mean_gap_s") - F.lit(target)) <= F.lit(float(tolerance_s)))
-
-
-def exponential_gaps(df: DataFrame, u_col: str, rate_quantity, rate_duration_s, out: str = "gap_s") -> DataFrame:
-    """Exponential gaps from a uniform column (R4); use ``F.rand(seed)`` for load tables."""
-    return df.withColumn(out, exponential_gap(F.col(u_col), rate_quantity, rate_duration_s))

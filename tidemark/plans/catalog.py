@@ -14,12 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import interval_contains
-from ..functions.rates import duration_for, exponential_gap, quantity_for
+from ..functions.rates import duration_for, quantity_for
 from ..operators import bars as B
 from ..operators import indicators as I
 from ..operators import timeline as TL
 from ..operators.zipping import zip_join
 from ..sources import testdata as TD
+from .sequence import lag_change, number_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -30,7 +31,6 @@ LOOKBACK = "10D"
 TIMELINE_START = "2024-01-01 00:00:00"
 SYMBOL_EXCHANGE, SYMBOL_CURRENCY = "pur", "chase"
 INTERVAL_BEGIN, INTERVAL_END = "2024-01-15 00:00:00", "2024-01-16 00:00:00"
-GAP_RATE = (1.0, 0.04)  # one event per 40 ms
 RATE = (None, 0.25)  # quantity (per row: amount + 1) per 250 ms
 EMIT_RATE = (4.0, 1.0)  # four units per second
 
@@ -117,9 +117,36 @@ def q_sma_chain(spark, d):
 
 
 def q_sma_exact_chain(spark, d):
-    out = I.calculated(TD.quotes(spark, d), "sma(3),sma(5)", exact_running_sum=True)
-    return out.select(*TD.QUOTE_COLUMNS, _r6(F.col("adj_close_sma_3")).alias("adj_close_sma_3"),
-                      _r6(F.col("adj_close_sma_5")).alias("adj_close_sma_5"))
+    # not rounded: the running sum differs from the mean in the last bits
+    return I.calculated(TD.quotes(spark, d), "sma(3),sma(5)", exact_running_sum=True)
+
+
+def q_sma_2000(spark, d):
+    out = I.sma(TD.trades(spark, d), "price", 2000, order_col="seq", newest_first=True)
+    return out.withColumn("price_sma_2000", _r6(F.col("price_sma_2000")))
+
+
+def q_sma_col(spark, d):
+    # text in, formatted text out; whole numbers of hundredths, so that rounding is the same everywhere
+    t = TD.trades(spark, d).select("symbol", "seq", F.col("amount").cast("string").alias("amount"))
+    return I.sma_col(t, "amount", 4, order_col="seq").withColumnRenamed("amount SMA(4)", "amount_sma_4")
+
+
+def q_append_sma(spark, d):
+    q = I.append_sma(TD.quotes(spark, d), 3, fmt=None)
+    return q.withColumn("adj_close_sma_3", _r6(F.col("adj_close_sma_3")))
+
+
+def q_ohlcv_by_interval(spark, d):
+    from ..functions.periods import period_begin, period_end
+
+    t = TD.trades_big(spark, d).withColumn("begin", period_begin("ts", "daily"))
+    return B.ohlcv_by_interval(t.withColumn("end", period_end("begin", "daily")), "append")
+
+
+def q_ohlcv_runs_zoned(spark, d):
+    t = TD.trades(spark, d).withColumn("ts", F.expr("CASE WHEN seq % 13 != 0 THEN ts END"))
+    return B.ohlcv_runs(t, f"daily({ZONE})", "prepend")
 
 
 def q_compound_index(spark, d):
@@ -129,18 +156,28 @@ def q_compound_index(spark, d):
 
 
 def q_row_position(spark, d):
-    from ..plans.sequence import number_rows
-
     return number_rows(TD.trades(spark, d), ["symbol"], "seq", "rn").select("symbol", "seq", "rn")
 
 
+def q_row_position_ts(spark, d):
+    return number_rows(TD.trades(spark, d), ["symbol"], "ts", "rn", descending=True).select("symbol", "seq", "rn")
+
+
+def q_row_position_sparse(spark, d):
+    t = TD.trades(spark, d).withColumn("wide", F.col("seq") * F.lit(1 << 22))
+    return number_rows(t, ["symbol"], "wide", "rn", with_total="n").select("symbol", "wide", "rn", "n")
+
+
+def q_lag_change(spark, d):
+    t = TD.trades_big(spark, d)
+    return lag_change(t, ["symbol"], "seq", "ts").select("symbol", "seq", "changed")
+
+
 def q_zip_join(spark, d):
-    t = TD.trades(spark, d)
-    left = t.select("symbol", "seq", "price")
-    right = t.where(F.col("amount") >= 50).select("symbol", "seq", "ts")
-    return zip_join(left, right, right_order="ts", right_descending=True).select(
-        "symbol", "rn", "l_seq", "l_price", "r_seq", "r_ts"
-    )
+    """All trades beside all hourly bars of their symbol, newest bar first; the shorter table ends the pairs."""
+    left = TD.trades(spark, d).select("symbol", "seq", "price")
+    right = B.periodic_ohlcv(TD.trades(spark, d), "hourly", "prepend").select("symbol", "begin", "n")
+    return zip_join(left, right, right_order="begin", right_descending=True)
 
 
 def q_arrival_timeline(spark, d):
@@ -164,11 +201,6 @@ def q_rate_quantities(spark, d):
     )
 
 
-def q_exponential_gaps(spark, d):
-    t = TD.trades(spark, d)
-    return t.select("symbol", "seq", _r6(exponential_gap(F.col("amount") / F.lit(100.0), *GAP_RATE)).alias("gap_s"))
-
-
 def q_quotes_lookback(spark, d):
     from ..plans.api import lookback
 
@@ -293,14 +325,42 @@ ORACLE: dict[str, str] = {
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, "
         "CAST(row_number() OVER (PARTITION BY symbol ORDER BY seq) AS BIGINT) AS rn FROM t"
     ),
+    "row_position_ts": (
+        f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, "
+        "CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS BIGINT) AS rn FROM t"
+    ),
+    "row_position_sparse": (
+        f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq * 4194304 AS wide, "
+        "CAST(row_number() OVER (PARTITION BY symbol ORDER BY seq) AS BIGINT) AS rn, "
+        "count(*) OVER (PARTITION BY symbol) AS n FROM t"
+    ),
+    "lag_change": (
+        f"WITH t AS ({BIG_SQL}) SELECT symbol, seq, "
+        "lag(ts) OVER (PARTITION BY symbol ORDER BY seq) IS DISTINCT FROM ts AS changed FROM t"
+    ),
     "zip_join": (
-        f"WITH t AS ({TRADES_SQL}), "
+        f"WITH t AS ({TRADES_SQL}), b AS ({_bars_sql(TRADES_SQL, "date_trunc('hour', ts)", "1 HOUR", "prepend")}), "
         "l AS (SELECT symbol, seq, price, row_number() OVER (PARTITION BY symbol ORDER BY seq) AS rn FROM t), "
-        "r AS (SELECT symbol, seq, ts, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn "
-        "FROM t WHERE amount >= 50) "
-        "SELECT l.symbol, CAST(l.rn AS BIGINT) AS rn, l.seq AS l_seq, l.price AS l_price, r.seq AS r_seq, r.ts AS r_ts "
+        'r AS (SELECT symbol, "begin", n, row_number() OVER (PARTITION BY symbol ORDER BY "begin" DESC) AS rn FROM b) '
+        'SELECT l.symbol, CAST(l.rn AS BIGINT) AS rn, l.seq AS l_seq, l.price AS l_price, r."begin" AS r_begin, r.n AS r_n '
         "FROM l JOIN r ON l.symbol = r.symbol AND l.rn = r.rn"
     ),
+    "sma_2000": _sma_sql(2000),
+    "sma_col": (
+        f"WITH t AS ({TRADES_SQL}), s AS (SELECT *, "
+        "avg(amount) OVER (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS m, "
+        "count(*) OVER (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 3 PRECEDING AND CURRENT ROW) AS c FROM t) "
+        "SELECT symbol, seq, CAST(amount AS VARCHAR) AS amount, printf('%.2f', m) AS amount_sma_4 FROM s WHERE c = 4"
+    ),
+    "append_sma": (
+        f"WITH q AS ({_quotes_sql()}), s AS (SELECT *, count(*) OVER w AS c, avg(adj_close) OVER w AS m FROM q "
+        "WINDOW w AS (PARTITION BY symbol ORDER BY date DESC ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING)) "
+        "SELECT * EXCLUDE (c, m), round(m, 6) AS adj_close_sma_3 FROM s WHERE c = 3"
+    ),
+    "ohlcv_by_interval": _bars_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY", "append"),
+    "ohlcv_runs_zoned": _runs_sql(
+        f"SELECT * FROM ({TRADES_SQL}) WHERE seq % 13 <> 0", _zoned_begin("ts", ZONE), "24 HOUR"
+    ),
     "arrival_timeline": (
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, TIMESTAMP '{TIMELINE_START}' + to_microseconds(CAST("
         "sum(CAST(round(amount / 100.0 * 1000000) AS BIGINT)) OVER (PARTITION BY symbol ORDER BY seq "
@@ -316,10 +376,6 @@ ORACLE: dict[str, str] = {
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, (amount + 1.0) * (price / {RATE[1]}) AS qty_for, "
         f"{EMIT_RATE[1]} * ((amount + 1.0) / {EMIT_RATE[0]}) AS dur_for FROM t"
     ),
-    "exponential_gaps": (
-        f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, "
-        f"round(ln(1.0 / (1.0 - amount / 100.0)) * ({GAP_RATE[1]} / {GAP_RATE[0]}), 6) AS gap_s FROM t"
-    ),
     "quotes_lookback": (
         f"SELECT * FROM ({_quotes_sql()}) WHERE date BETWEEN DATE '2024-01-20' AND DATE '{AS_OF.isoformat()}'"
     ),
@@ -349,13 +405,32 @@ QUERIES: dict[str, QueryFn] = {
     "compound_index": q_compound_index,
     "row_position": q_row_position,
     "zip_join": q_zip_join,
+    "row_position_ts": q_row_position_ts,
+    "row_position_sparse": q_row_position_sparse,
+    "lag_change": q_lag_change,
+    "sma_2000": q_sma_2000,
+    "sma_col": q_sma_col,
+    "append_sma": q_append_sma,
+    "ohlcv_by_interval": q_ohlcv_by_interval,
+    "ohlcv_runs_zoned": q_ohlcv_runs_zoned,
     "arrival_timeline": q_arrival_timeline,
     "interarrival_stats": q_interarrival_stats,
     "rate_quantities": q_rate_quantities,
-    "exponential_gaps": q_exponential_gaps,
     "quotes_lookback": q_quotes_lookback,
     "trades_symbol": q_trades_symbol,
     "interval_filter": q_interval_filter,
 }
 
-ORACLE["sma_exact_chain"] = ORACLE["sma_chain"]
+# the running sum as a recursion over positions, newest first: sum + x - head, in this order
+ORACLE["sma_exact_chain"] = (
+    f"WITH RECURSIVE q AS ({_quotes_sql()}), p AS (SELECT *, row_number() OVER w AS pos, "
+    "count(*) OVER (PARTITION BY symbol) AS len, lag(adj_close, 3) OVER w AS h3, lag(adj_close, 5) OVER w AS h5 "
+    "FROM q WINDOW w AS (PARTITION BY symbol ORDER BY date DESC)), r AS ("
+    "SELECT symbol, pos, adj_close AS s3, adj_close AS s5 FROM p WHERE pos = 1 UNION ALL "
+    "SELECT p.symbol, p.pos, CASE WHEN h3 IS NULL THEN s3 + adj_close ELSE s3 + adj_close - h3 END, "
+    "CASE WHEN h5 IS NULL THEN s5 + adj_close ELSE s5 + adj_close - h5 END "
+    "FROM r JOIN p ON p.symbol = r.symbol AND p.pos = r.pos + 1) "
+    "SELECT p.* EXCLUDE (pos, len, h3, h5), a.s3 / 3 AS adj_close_sma_3, b.s5 / 5 AS adj_close_sma_5 FROM p "
+    "JOIN r AS a ON a.symbol = p.symbol AND a.pos = p.pos + 2 JOIN r AS b ON b.symbol = p.symbol AND b.pos = p.pos + 4 "
+    "WHERE p.pos <= p.len - 6"
+)

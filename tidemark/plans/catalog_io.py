@@ -19,6 +19,7 @@ from ..streaming import bars as SB
 from ..streaming import records as SR
 from ..streaming import sources as SS
 from ..streaming import stateful as ST
+from .sequence import number_rows
 from .catalog import BIG_SQL, TRADES_SQL, ZONE, _bars_sql, _quotes_sql, _r6, _runs_sql, _sma_sql, _zoned_begin
 
 _BAR_COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
@@ -44,15 +45,45 @@ def q_csv_text_roundtrip(spark, d):
 def q_json_roundtrip(spark, d):
     path = scratch_path(spark, "trades-json")
     R.trades_to_json(TD.trades(spark, d), keep=["symbol"]).write.partitionBy("symbol").text(path)
-    return _json_back(spark.read.text(path))
+    return R.trades_from_json(spark.read.text(path), keep=["symbol"])
 
 
-def _json_back(lines):
-    parsed = lines.select("symbol", F.from_json("value", R.TRADE_JSON_SCHEMA, {"mode": "FAILFAST"}).alias("_j"))
-    from ..functions.formatting import parse_iso_instant
+def _write_in_files(trades, root):
+    """Raw lines in arrival order, in files of doubling size."""
+    ordered = trades.withColumn("f", F.floor(F.log2(F.col("seq") + 1))).repartitionByRange(20, "f")
+    R.write_trades_raw(ordered.sortWithinPartitions("symbol", "seq"), root)
 
-    return parsed.select("symbol", parse_iso_instant(F.col("_j.timestamp")).alias("ts"),
-                         F.col("_j.price").alias("price"), F.col("_j.amount").alias("amount"))
+
+def q_trades_multifile(spark, d):
+    root = scratch_path(spark, "raw-files")
+    _write_in_files(TD.trades(spark, d), root)
+    t = number_rows(R.read_trades(spark, root), ["symbol"], "seq", "rn")
+    return t.select("symbol", "rn", "ts", "price", "amount")
+
+
+def q_quotes_header_order(spark, d):
+    q, path = TD.quotes(spark, d), scratch_path(spark, "quotes-headers")
+    text = q.select("symbol", *[F.col(c).cast("string").alias(h) for c, h in zip(R.QUOTE_COLUMNS, R.QUOTE_HEADER)])
+    odd = F.dayofmonth(F.to_date("Date")) % 2 == 1
+    turned = text.select("symbol", F.lit("x").alias("Note"), *[F.col(h) for h in reversed(R.QUOTE_HEADER)])
+    R.write_csv(text.where(~odd), path, partition_by=["symbol"])
+    R.write_csv(turned.where(odd), path, partition_by=["symbol"], mode="append")
+    return R.read_quotes(spark, path).drop("seq")
+
+
+def q_records_permissive(spark, d):
+    """Every line stays: good, bad (wrong width or number) or over the cap."""
+    t = TD.trades(spark, d)
+    line = F.concat_ws(",", F.lit("1442335124"), F.col("price").cast("string"), F.lit("1.5"))
+    value = F.when(F.col("seq") % 10 == 0, F.lit("x,1")).when(F.col("seq") % 10 == 1, F.concat(line, F.repeat(F.lit(" "), 100))).when(
+        F.col("seq") % 10 == 2, F.lit("1442335124,abc,1")).otherwise(line)
+    path = scratch_path(spark, "permissive")
+    t.select("symbol", value.alias("value")).write.partitionBy("symbol").option("lineSep", "\n").text(path)
+    return R.read_trades(spark, path, strict=False, max_line_bytes=64).groupBy("symbol", "bad", "too_long").agg(F.count("*").alias("n"))
+
+
+def q_format_rows(spark, d):
+    return R.format_rows(TD.trades(spark, d), ["symbol", "seq", "amount"])
 
 
 def q_bars_csv(spark, d):
@@ -105,49 +136,50 @@ def q_quotes_raw(spark, d):
 
 def _events_stream(spark, d):
     ev = TD.table(spark, d, "events")
-    data = TD.trades_from_events(SS.parquet_stream(spark, d, "events.parquet", schema=ev.schema))
-    return data, TD.trades_from_events(ev)
+    return TD.trades_from_events(SS.parquet_stream(spark, d, "events.parquet", schema=ev.schema))
 
 
 def _orders_stream(spark, d):
     o = TD.table(spark, d, "orders")
-    data = TD.trades_from_orders(SS.parquet_stream(spark, d, "orders.parquet", schema=o.schema))
-    return data, TD.trades_from_orders(o)
+    return TD.trades_from_orders(SS.parquet_stream(spark, d, "orders.parquet", schema=o.schema))
+
+
+def _unordered_batches(spark, d):
+    """The trades as many files in no order of time, some without a symbol, two files to a micro-batch."""
+    t = TD.trades(spark, d).withColumn("symbol", F.expr("CASE WHEN seq % 17 != 0 THEN symbol END"))
+    path = scratch_path(spark, "unordered")
+    t.repartition(8, F.hash("seq")).write.parquet(path)
+    return SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
+
+
+def _stream_bars(spark, d, period):
+    out = scratch_path(spark, "stream-bars")
+    SB.stream_ohlcv(_unordered_batches(spark, d), out, scratch_path(spark, "stream-ckpt"), period, merge_every=3).awaitTermination()
+    return out
 
 
 def q_stream_ohlcv(spark, d):
-    data, batch = _events_stream(spark, d)
-    s = data.unionByName(SS.end_marker(spark, batch))
-    out = SS.run_available_now(SB.stream_ohlcv(s, "hourly", "prepend"))
-    return SS.without_marker(out).select(*_BAR_COLS)
+    return SB.read_bars(spark, _stream_bars(spark, d, "hourly")).select(*_BAR_COLS)
 
 
 def q_stream_ohlcv_zoned(spark, d):
-    data, batch = _events_stream(spark, d)
-    s = data.unionByName(SS.end_marker(spark, batch))
-    partials = SS.run_available_now(SB.stream_ohlcv_zoned(s, ZONE, "prepend"))
-    return SB.finalize_zoned(SS.without_marker(partials)).select(*_BAR_COLS)
+    return SB.read_bars(spark, _stream_bars(spark, d, f"daily({ZONE})")).select(*_BAR_COLS)
 
 
 def q_stream_rollup(spark, d):
-    data, batch = _events_stream(spark, d)
-    s = data.unionByName(SS.end_marker(spark, batch))
-    out = SS.run_available_now(SB.stream_rollup(s, "prepend"))
-    return SS.without_marker(out).select(*_BAR_COLS)
+    return SB.read_rollup(spark, _stream_bars(spark, d, "hourly"), "daily").select(*_BAR_COLS)
 
 
 def q_stream_sma(spark, d):
-    data, _ = _events_stream(spark, d)
     out, state = scratch_path(spark, "sma-out"), scratch_path(spark, "sma-state")
-    SS.run_foreach_batch(data, ST.StreamSma(out, state, 10, "price"))
+    SS.run_foreach_batch(_events_stream(spark, d), ST.StreamSma(out, state, 10, "price"))
     res = ST.read_outputs(spark, out)
     return res.withColumn("price_sma_10", _r6(F.col("price_sma_10")))
 
 
 def q_stream_runs(spark, d):
-    data, _ = _orders_stream(spark, d)
     out, state = scratch_path(spark, "runs-out"), scratch_path(spark, "runs-state")
-    SS.run_foreach_batch(data, ST.StreamRuns(out, state, "daily", "prepend"))
+    SS.run_foreach_batch(_orders_stream(spark, d), ST.StreamRuns(out, state, "daily", "prepend"))
     return ST.finalize_runs(ST.read_outputs(spark, out))
 
 
@@ -156,7 +188,16 @@ def q_stream_csv_json(spark, d):
     R.write_trades_raw(TD.trades(spark, d), root)
     encoded = SR.stream_encode_json(SR.stream_decode_trades(spark, root))
     lines = SS.run_available_now(encoded)
-    return _json_back(lines)
+    return R.trades_from_json(lines, keep=["symbol"])
+
+
+def q_stream_csv_runs(spark, d):
+    """Decode CSV files, split the trades into runs in arrival order, fold each run."""
+    root = scratch_path(spark, "raw-files")
+    _write_in_files(TD.trades_big(spark, d), root)
+    out, state = scratch_path(spark, "runs-out"), scratch_path(spark, "runs-state")
+    SS.run_foreach_batch(SR.stream_lines(spark, root), SR.OrderedTrades(ST.StreamRuns(out, state, "daily", "prepend")))
+    return ST.finalize_runs(ST.read_outputs(spark, out))
 
 
 # ---------------------------------------------------------------- oracles
@@ -167,6 +208,12 @@ _SECOND_TRADES = (
 _TRADES_NOSEQ = f"SELECT symbol, ts, price, amount FROM ({TRADES_SQL})"
 
 
+_SPARSE_TRADES = (
+    "SELECT CASE WHEN seq % 17 <> 0 THEN symbol END AS symbol, * EXCLUDE (symbol) "
+    f"FROM ({TRADES_SQL})"
+)
+
+
 _DAILY_BARS = _bars_sql(TRADES_SQL, "date_trunc('day', ts)", "1 DAY", "prepend")
 
 
@@ -210,12 +257,26 @@ ORACLE_IO: dict[str, str] = {
         f"SELECT * FROM ({_quotes_sql()}) WHERE symbol = '{QUOTES_SYMBOL}' "
         f"AND date BETWEEN DATE '2024-01-23' AND DATE '{QUOTES_AS_OF.isoformat()}'"
     ),
-    "stream_ohlcv": _bars_sql(TRADES_SQL, "date_trunc('hour', ts)", "1 HOUR", "prepend"),
-    "stream_ohlcv_zoned": _bars_sql(TRADES_SQL, _zoned_begin("ts", ZONE), "24 HOUR", "prepend"),
-    "stream_rollup": _bars_sql(TRADES_SQL, "date_trunc('day', ts)", "1 DAY", "prepend"),
+    "stream_ohlcv": _bars_sql(_SPARSE_TRADES, "date_trunc('hour', ts)", "1 HOUR", "prepend"),
+    "stream_ohlcv_zoned": _bars_sql(_SPARSE_TRADES, _zoned_begin("ts", ZONE), "24 HOUR", "prepend"),
+    "stream_rollup": _bars_sql(_SPARSE_TRADES, "date_trunc('day', ts)", "1 DAY", "prepend"),
     "stream_sma": _sma_sql(10),
     "stream_runs": _runs_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY"),
     "stream_csv_json": _SECOND_TRADES,
+    "stream_csv_runs": _runs_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY"),
+    "trades_multifile": (
+        "SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY seq) AS BIGINT) AS rn, "
+        f"date_trunc('second', ts) AS ts, price, amount FROM ({TRADES_SQL})"
+    ),
+    "quotes_header_order": _quotes_sql(),
+    "records_permissive": (
+        "SELECT symbol, seq % 10 < 3 AS bad, seq % 10 = 1 AS too_long, count(*) AS n "
+        f"FROM ({TRADES_SQL}) GROUP BY symbol, seq % 10 < 3, seq % 10 = 1"
+    ),
+    "format_rows": (
+        "SELECT symbol || ',' || CAST(seq AS VARCHAR) || ',' || CAST(amount AS VARCHAR) AS value "
+        f"FROM ({TRADES_SQL})"
+    ),
 }
 
 QUERIES_IO = {
@@ -236,4 +297,9 @@ QUERIES_IO = {
     "stream_sma": q_stream_sma,
     "stream_runs": q_stream_runs,
     "stream_csv_json": q_stream_csv_json,
+    "stream_csv_runs": q_stream_csv_runs,
+    "trades_multifile": q_trades_multifile,
+    "quotes_header_order": q_quotes_header_order,
+    "records_permissive": q_records_permissive,
+    "format_rows": q_format_rows,
 }

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_KEY = "spark.checkpoint.dir"
+_SCRATCH: list[str] = []
 
 
 def local_session(app: str = "tidemark", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -58,4 +59,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-path of the shared folder for one job's outputs."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Remove what this process has written to its scratch paths; frames that read them can't be used after.
+
+    Returns how many paths were removed.  Call it when the results are stored elsewhere.
+    """
+    paths, _SCRATCH[:] = _SCRATCH[:], []
+    return sum(remove_path(spark, p) for p in paths)
+
+
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Remove a file or folder, wherever the session's file systems reach; is anything gone?"""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True))

@@ -1,7 +1,7 @@
 """CSV and JSON records in and out.
 
 Reading keeps the reference's line rules: ``\\n`` framing (a ``\\r`` stays in
-the record), a 256-byte cap per line, the last line may lack its newline,
+the record), the last line may lack its newline, an optional cap per line,
 fields split on ``\\s*,\\s*`` with trailing empty fields dropped (the JVM
 ``split`` rule).  Writing never quotes.  Each reader works on batch and
 streaming DataFrames alike (``spark.readStream.text`` gives the same column).
@@ -11,15 +11,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.formatting import format_2dp, iso_instant, parse_iso_instant
 from ..functions.periods import seconds_ntz
+from ..session import scratch_path
 
 # Fixed values of the record formats.
-MAX_LINE_BYTES = 256
 FIELD_SEPARATOR = r"\s*,\s*"
 TRAILING_SEPARATORS = r"(\s*,\s*)+$"
 TRADE_HEADER = ["timestamp", "price", "amount"]
@@ -63,19 +63,45 @@ def split_row(value: Column | str) -> Column:
     )
 
 
-def parse_csv(lines: DataFrame, *, max_line_bytes: int = MAX_LINE_BYTES, strict: bool = True,
+def arrival_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """Lines with ``file`` and ``seq``: the position of each line in the input (files by path, lines in order).
+
+    The lines are written once to the shared folder with the split they came from;
+    counts per split (one row each, the only rows in the one-task window) make the
+    positions, so they hold however Spark packs splits into tasks.
+    """
+    return with_arrival(read_lines(spark, path).selectExpr("*", *SPLIT_COLUMNS))
+
+
+# where a line was read: its file and the begin of its split
+SPLIT_COLUMNS = ["_metadata.file_path AS file", "_metadata.file_block_start AS file_block"]
+
+
+def with_arrival(lines: DataFrame, first: int = 0) -> DataFrame:
+    """Batch lines with ``file`` and ``file_block`` -> the same with ``seq`` from ``first`` on."""
+    spark = lines.sparkSession
+    stored = scratch_path(spark, "lines")
+    lines.withColumn("_at", F.monotonically_increasing_id()).write.parquet(stored)
+    placed = spark.read.parquet(stored)
+    splits = placed.groupBy("file", "file_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.orderBy("file", "file_block").rowsBetween(Window.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(first)).drop("_n")
+    seq = F.col("_before") + F.col("_at") - F.col("_first")
+    return placed.join(splits, ["file", "file_block"]).withColumn("seq", seq).drop("_at", "_first", "_before", "file_block")
+
+
+def parse_csv(lines: DataFrame, *, max_line_bytes: int | None = None, strict: bool = True,
               value_col: str = "value", out: str = "row") -> DataFrame:
     """Lines -> ``row: array<string>``.
 
-    A line longer than ``max_line_bytes`` fails the query when ``strict``;
-    otherwise its ``row`` is null and ``too_long`` is true (quarantine).
+    With ``max_line_bytes`` a longer line fails the query when ``strict``;
+    otherwise it stays, with a null ``row`` and ``too_long`` true.
     """
     v = F.col(value_col)
-    too_long = F.octet_length(v) > F.lit(max_line_bytes)
+    too_long = F.lit(False) if max_line_bytes is None else F.octet_length(v) > F.lit(max_line_bytes)
     if strict:
         row = F.when(too_long, F.raise_error(F.concat(
-            F.lit(f"Read a line of more than {max_line_bytes} bytes without seeing a line terminator: "),
-            F.substring(v, 1, 40)))).otherwise(split_row(v))
+            F.lit(f"line over the limit of {max_line_bytes} bytes: "), F.substring(v, 1, 40)))).otherwise(split_row(v))
         return lines.withColumn(out, row)
     return lines.withColumn("too_long", too_long).withColumn(out, F.when(~too_long, split_row(v)))
 
@@ -91,10 +117,10 @@ def rows_to_trades(rows: DataFrame, *, symbol: str | Column | None = None, stric
                    row_col: str = "row", seq: Column | None = None) -> DataFrame:
     """``[unixtime, price, amount]`` rows -> trades (S2): exactly 3 fields, epoch seconds.
 
-    ``seq`` defaults to the scan order (batch) or null (streams: Spark has no
-    arrival id there; pass one if a positional operator follows).
+    ``seq`` defaults to the rows' own (see :func:`arrival_lines`) or null.
     ``strict`` (the reference) fails on a wrong width or unparsable number;
-    otherwise such rows become nulls (``try_cast``) and are flagged ``bad``.
+    otherwise such rows become nulls (``try_cast``) and are flagged ``bad``,
+    lines over a cap also ``too_long``.
     """
     r = F.col(row_col)
     width_ok = F.size(r) == 3
@@ -111,27 +137,25 @@ def rows_to_trades(rows: DataFrame, *, symbol: str | Column | None = None, stric
     if sym is not None:
         cols.append(sym.alias("symbol"))
     if seq is None:
-        seq = F.lit(None).cast("long") if rows.isStreaming else F.monotonically_increasing_id()
+        seq = F.col("seq") if "seq" in rows.columns else F.lit(None).cast("long")
     cols.append(seq.alias("seq"))
     cols += [seconds_ntz(secs).alias("ts"), price.alias("price"), amount.alias("amount")]
-    out = rows.select(*cols)
+    out = rows.select(*cols, *(["too_long"] if not strict and "too_long" in rows.columns else []))
     if not strict:
         out = out.withColumn("bad", F.col("ts").isNull() | F.col("price").isNull() | F.col("amount").isNull())
     return out
 
 
 def read_trades(spark: SparkSession, path: str, symbol: str | None = None, *, strict: bool = True,
-                max_line_bytes: int = MAX_LINE_BYTES) -> DataFrame:
+                max_line_bytes: int | None = None) -> DataFrame:
     """Headerless ``unixtime,price,amount`` CSV -> trades (S1 + S2).
 
-    ``seq`` is the arrival order: ``monotonically_increasing_id`` over the
-    scan, which follows line order within each file.  Persist it at ingest.
-    Under a ``symbol=`` partitioned root the symbol comes from the layout.
+    ``seq`` is the arrival order, line by line through the files in path order;
+    it is written once (see :func:`arrival_lines`).  Under a ``symbol=``
+    partitioned root the symbol comes from the layout.
     """
-    lines = read_lines(spark, path)
+    lines = arrival_lines(spark, path)
     rows = parse_csv(lines, max_line_bytes=max_line_bytes, strict=strict)
-    if not strict:
-        rows = rows.where(~F.col("too_long"))
     sym = symbol if symbol is not None else (F.col("symbol") if "symbol" in lines.columns else None)
     return rows_to_trades(rows, symbol=sym, strict=strict)
 
@@ -148,21 +172,37 @@ def read_trades_text(spark: SparkSession, path: str) -> DataFrame:
 def read_quotes(spark: SparkSession, path: str, symbol: str | None = None, *, stream: bool = False) -> DataFrame:
     """Quote CSV with header (``Date, Open, ..., Adj Close``) -> typed quotes (S3).
 
-    Blanks around commas are ignored; extra columns (such as an earlier
-    calculated one) are dropped.  ``seq`` keeps the file's row order (null on
-    streams, which have no arrival id; quotes are ordered by ``date``).
+    Every file's own header says where its columns are; a file that lacks one
+    fails the query.  Blanks around commas and blank lines are ignored, quotes have
+    no meaning, extra columns (such as an earlier calculated one) are dropped.
+    ``seq`` is the line order through the files.  A stream can't look up headers:
+    there every file must have the columns in the standard order, or the
+    query fails, and ``seq`` is null (quotes are ordered by ``date``).
     """
-    reader = (spark.readStream if stream else spark.read).option("header", True).option(
-        "ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("mode", "FAILFAST")
-    raw = reader.option("inferSchema", False).csv(path) if not stream else reader.schema(
-        T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_HEADER])).csv(path)
-    missing = [c for c in QUOTE_HEADER if c not in raw.columns]
-    if missing:
-        raise ValueError(f"quote file lacks columns {missing}")
-    cols = [F.col(f"`{h}`").cast(f.dataType).alias(f.name) for h, f in zip(QUOTE_HEADER, QUOTE_SCHEMA.fields)]
+    if stream:
+        reader = spark.readStream.option("header", True).option("enforceSchema", False).option("quote", "").option(
+            "ignoreLeadingWhiteSpace", True).option("ignoreTrailingWhiteSpace", True).option("mode", "FAILFAST")
+        raw = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in QUOTE_HEADER])).csv(path)
+        cols = [F.col(f"`{h}`").cast(f.dataType).alias(f.name) for h, f in zip(QUOTE_HEADER, QUOTE_SCHEMA.fields)]
+        seq = F.lit(None).cast("long")
+    else:
+        lines = arrival_lines(spark, path).where(F.trim("value") != "").withColumn("_row", split_row(F.trim("value")))
+        heads = lines.groupBy("file").agg(F.min("seq").alias("_top"), F.min_by("_row", "seq").alias("_names"))
+        for i, h in enumerate(QUOTE_HEADER):
+            at = F.array_position("_names", h).cast("int")
+            lacks = F.raise_error(F.concat(F.lit(f"no column {h} in "), F.col("file")))
+            heads = heads.withColumn(f"_c{i}", F.when(at > 0, at).otherwise(lacks.cast("int")))
+        raw = lines.join(heads, "file").where(F.col("seq") > F.col("_top"))
+        cols = []
+        for i, f in enumerate(QUOTE_SCHEMA.fields):
+            field = F.try_element_at("_row", F.col(f"_c{i}"))
+            short = F.raise_error(F.concat(F.lit(f"no {f.name} in quote line: "), F.col("value"))).cast("string")
+            # only for lines below the header: a predicate on the column may be evaluated before the row filter
+            text = F.when(F.col("seq") > F.col("_top"), F.coalesce(field, short))
+            cols.append(_strict_cast(text, f.dataType.simpleString()).alias(f.name))
+        seq = F.col("seq")
     sym = [F.lit(symbol).alias("symbol")] if symbol is not None else (
         [F.col("symbol")] if "symbol" in raw.columns else [])
-    seq = F.lit(None).cast("long") if stream else F.monotonically_increasing_id()
     return raw.select(*sym, *cols, seq.alias("seq"))
 
 
@@ -227,8 +267,16 @@ def bars_to_csv(bars: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
 
 def write_csv(text_cols: DataFrame, path: str, *, header: bool = True, mode: str = "overwrite",
-              partition_by: Sequence[str] = ()) -> None:
-    """Write text columns as CSV without quoting; the header is written even with no rows."""
+              partition_by: Sequence[str] = (), sort_by: Sequence[str] = ()) -> None:
+    """Write text columns as CSV without quoting; the header is written even with no rows.
+
+    With ``sort_by`` the lines are in order through the files (range-partitioned, so no
+    task sorts everything); otherwise they come as the plan leaves them.
+    """
+    if sort_by:
+        text_cols = text_cols.orderBy(*sort_by)
+    if partition_by and header and text_cols.isEmpty():  # no partition, so no file to carry the header
+        text_cols, partition_by = text_cols.drop(*partition_by), ()
     w = (text_cols.write.mode(mode).option("header", header).option("quote", "\u0000")
          .option("escapeQuotes", False).option("lineSep", "\n"))
     if partition_by:
@@ -270,15 +318,25 @@ def bars_to_json(bars: DataFrame, out: str = "value", keep: Sequence[str] = ())
     )
 
 
-def trades_from_json(lines: DataFrame, *, value_col: str = "value", strict: bool = True) -> DataFrame:
-    """JSON trades -> ``ts, price, amount`` (S8); a missing or bad instant fails in strict mode."""
+def _required(struct: str, field: str, strict: bool) -> Column:
+    """A field of a parsed record; in strict mode a missing or null one fails the query."""
+    c = F.col(f"{struct}.{field}")
+    if not strict:
+        return c
+    return F.coalesce(c, F.raise_error(F.lit(f"JSON record without a value for {field}")))
+
+
+def trades_from_json(lines: DataFrame, *, value_col: str = "value", strict: bool = True,
+                     keep: Sequence[str] = ()) -> DataFrame:
+    """JSON trades -> ``ts, price, amount`` (S8); a missing, null or bad field fails in strict mode."""
     mode = "FAILFAST" if strict else "PERMISSIVE"
     j = F.from_json(F.col(value_col), TRADE_JSON_SCHEMA, {"mode": mode})
-    d = lines.select(j.alias("_j"))
+    d = lines.select(*keep, j.alias("_j"))
     out = d.select(
-        parse_iso_instant(F.col("_j.timestamp"), strict=strict).alias("ts"),
-        F.col("_j.price").alias("price"),
-        F.col("_j.amount").alias("amount"),
+        *keep,
+        parse_iso_instant(_required("_j", "timestamp", strict), strict=strict).alias("ts"),
+        _required("_j", "price", strict).alias("price"),
+        _required("_j", "amount", strict).alias("amount"),
     )
     if not strict:  # permissive: unparsable records stay, flagged
         out = out.withColumn("bad", F.col("ts").isNull() | F.col("price").isNull() | F.col("amount").isNull())
@@ -289,19 +347,23 @@ def bars_from_json(lines: DataFrame, *, value_col: str = "value", strict: bool =
                    keep: Sequence[str] = ()) -> DataFrame:
     """JSON bars (as written by :func:`bars_to_json`) -> bar columns."""
     mode = "FAILFAST" if strict else "PERMISSIVE"
-    schema = f"array<string>"
+    schema = "array<string>"
     parts = F.from_json(F.col(value_col), schema, {"mode": mode})
     d = lines.select(
         *keep,
-        F.from_json(parts[0], INTERVAL_JSON_SCHEMA, {"mode": mode}).alias("_i"),
-        F.from_json(parts[1], OHLCV_JSON_SCHEMA, {"mode": mode}).alias("_o"),
+        F.from_json(F.get(parts, F.lit(0)), INTERVAL_JSON_SCHEMA, {"mode": mode}).alias("_i"),
+        F.from_json(F.get(parts, F.lit(1)), OHLCV_JSON_SCHEMA, {"mode": mode}).alias("_o"),
     )
+
+    def instant(struct: str, field: str) -> Column:
+        return parse_iso_instant(_required(struct, field, strict), strict=strict)
+
+    names = {"open": "open", "high": "high", "low": "low", "close": "close", "volume": "volume", "count": "n"}
     return d.select(
         *keep,
-        parse_iso_instant(F.col("_i.begin"), strict=strict).alias("begin"),
-        parse_iso_instant(F.col("_i.end"), strict=strict).alias("end"),
-        F.col("_o.open").alias("open"), F.col("_o.high").alias("high"), F.col("_o.low").alias("low"),
-        F.col("_o.close").alias("close"), F.col("_o.volume").alias("volume"), F.col("_o.count").alias("n"),
-        parse_iso_instant(F.col("_o.first"), strict=strict).alias("first_ts"),
-        parse_iso_instant(F.col("_o.last"), strict=strict).alias("last_ts"),
+        instant("_i", "begin").alias("begin"),
+        instant("_i", "end").alias("end"),
+        *[_required("_o", f, strict).alias(n) for f, n in names.items()],
+        instant("_o", "first").alias("first_ts"),
+        instant("_o", "last").alias("last_ts"),
     )

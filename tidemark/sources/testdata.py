@@ -10,8 +10,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.bars import periodic_ohlcv
@@ -20,24 +18,9 @@ TRADE_COLUMNS = ["symbol", "seq", "ts", "price", "amount"]
 QUOTE_COLUMNS = ["symbol", "date", "open", "high", "low", "close", "volume", "adj_close"]
 
 
-_SCHEMAS: dict[tuple, object] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table; its inferred schema is remembered per file version, so repeated
-    reads skip the footer round trip (the read itself is unchanged)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        st = os.stat(path)
-        key = (path, st.st_mtime_ns, st.st_size)
-    except OSError:
-        return spark.read.parquet(path)
-    schema = _SCHEMAS.get(key)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[key] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trades_from_events(events: DataFrame) -> DataFrame:

@@ -1,82 +1,59 @@
 """Streaming bars (ST1, ST2, ST6).
 
-A bar is emitted once the watermark passes its interval: with a zero delay
-that is when a later trade arrives, as in the reference.  Aggregation state
-is one partial bar per open (symbol, interval), so a hot symbol costs no
-more state than a cold one.
+Every micro-batch is folded into partial bars, one per symbol and interval, and
+bars merge exactly (A5).  So there is no watermark to pass and no state to keep: a
+trade is counted however late it comes, with or without a symbol, and a bar is right
+for all trades that have arrived as soon as its batch is written.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.periods import parse_period, period_begin, period_end
-from ..operators.bars import BAR_COLUMNS, SEQ_COLUMNS, merge_aggs, merge_ohlcv, ohlcv_aggs
-from .sources import event_time, to_ntz
+from ..functions.periods import Period, parse_period
+from ..operators.bars import BAR_COLUMNS, SEQ_COLUMNS, merge_ohlcv, periodic_ohlcv, rollup_ohlcv
+from .tables import BatchTable
 
+KEYS = ["symbol", "begin", "end"]
+_COLUMNS = [*KEYS, *BAR_COLUMNS, *SEQ_COLUMNS]
 
-def _window_spec(period):
-    p = parse_period(period) if isinstance(period, str) else period
-    if p.kind == "hourly":
-        return p, ("1 hour", "1 hour", "0 seconds")
-    if p.fixed_offset_s is not None:
-        return p, ("1 day", "1 day", f"{(-p.fixed_offset_s) % 86400} seconds")
-    return p, None
 
+class StreamBars:
+    """``foreachBatch`` handler: partial bars of each batch (trades: symbol, seq, ts, price, amount).
 
-def stream_ohlcv(trades: DataFrame, period="hourly", tie_break: str | None = "prepend",
-                 watermark: str = "0 seconds", *, with_seq: bool = True) -> DataFrame:
-    """Tumbling bars on a stream (ST1): hourly, daily UTC or a fixed-offset day.
-
-    Append-mode compatible.  For region zones use :func:`stream_ohlcv_zoned`.
-    """
-    p, spec = _window_spec(period)
-    if spec is None:
-        raise ValueError("region zones change their offset; use stream_ohlcv_zoned")
-    s = trades.withColumn("et", event_time("ts")).withWatermark("et", watermark)
-    w = F.window("et", *spec).alias("w")
-    agg = s.groupBy("symbol", w).agg(*ohlcv_aggs(tie_break, with_seq=with_seq))
-    cols = ["symbol", to_ntz(F.col("w.start")).alias("begin"), to_ntz(F.col("w.end")).alias("end"), *BAR_COLUMNS]
-    if with_seq:
-        cols += SEQ_COLUMNS
-    return agg.select(*cols)
-
-
-def stream_ohlcv_zoned(trades: DataFrame, zone: str, tie_break: str | None = "prepend",
-                       watermark: str = "0 seconds") -> DataFrame:
-    """Partial bars for days in a DST zone (ST2).
-
-    A zoned day has no fixed length, so it cannot be a watermarked window.
-    The stream keys hourly windows (which carry the watermark) *and* the zoned
-    day begin; each (hour, day) partial closes with the watermark.  Merge the
-    written partials with :func:`finalize_zoned` (A5).  Hours that straddle a
-    half-hour-offset midnight split by the second key, so the merge is exact.
+    Works for every period of the batch operator: hours, days at an offset, days of a region
+    zone.  Trades without a timestamp form no bar, as there.  Every ``merge_every`` batches the
+    partial bars are merged into one per symbol and interval.
     """
-    p = parse_period(f"daily({zone})")
-    s = trades.withColumn("et", event_time("ts")).withWatermark("et", watermark)
-    s = s.withColumn("day_begin", period_begin("ts", p))
-    agg = s.groupBy("symbol", F.window("et", "1 hour").alias("w"), "day_begin").agg(
-        *ohlcv_aggs(tie_break, with_seq=True))
-    return agg.select("symbol", F.col("day_begin").alias("begin"), period_end("day_begin", p).alias("end"),
-                      *BAR_COLUMNS, *SEQ_COLUMNS)
 
+    def __init__(self, path: str, period: Period | str = "hourly", tie_break: str | None = "prepend", merge_every: int = 16):
+        self.period = parse_period(period)
+        self.tie_break = tie_break
+        self.table = BatchTable(path, lambda rows: merge_ohlcv(rows, KEYS, tie_break), merge_every)
 
-def finalize_zoned(partials: DataFrame, tie_break: str | None = "prepend") -> DataFrame:
-    """Merge written zoned partial bars into one bar per (symbol, zoned day)."""
-    return merge_ohlcv(partials, ["symbol", "begin", "end"], tie_break)
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        bars = periodic_ohlcv(batch, self.period, self.tie_break, with_seq=True)
+        self.table.write(bars.select(*_COLUMNS), batch_id)
 
 
-def stream_rollup(trades: DataFrame, tie_break: str | None = "prepend", watermark: str = "0 seconds",
-                  fine: str = "1 hour", coarse: str = "1 day") -> DataFrame:
-    """Hourly bars rolled into daily bars inside one stream (ST6): chained time windows.
+def _bar_schema(spark: SparkSession):
+    empty = "symbol string, seq long, ts timestamp_ntz, price double, amount double"
+    return periodic_ohlcv(spark.createDataFrame([], empty), "hourly", "prepend", with_seq=True).select(*_COLUMNS).schema
 
-    The second aggregation windows over the first one's window column, so
-    both stages are watermarked and append mode is allowed.
-    """
-    s = trades.withColumn("et", event_time("ts")).withWatermark("et", watermark)
-    fine_bars = s.groupBy("symbol", F.window("et", fine).alias("w")).agg(*ohlcv_aggs(tie_break, with_seq=True))
-    coarse_bars = fine_bars.groupBy("symbol", F.window(F.col("w"), coarse).alias("d")).agg(
-        *merge_aggs(tie_break, has_seq=True))
-    return coarse_bars.select("symbol", to_ntz(F.col("d.start")).alias("begin"), to_ntz(F.col("d.end")).alias("end"),
-                              *BAR_COLUMNS, *SEQ_COLUMNS)
+
+def read_bars(spark: SparkSession, path: str, tie_break: str | None = "prepend") -> DataFrame:
+    """The bars of all batches written so far, one per symbol and interval."""
+    return merge_ohlcv(BatchTable(path).read(spark, _bar_schema(spark)), KEYS, tie_break)
+
+
+def read_rollup(spark: SparkSession, path: str, period: Period | str = "daily", tie_break: str | None = "prepend") -> DataFrame:
+    """Hourly bars of all batches so far, rolled up into a coarser period (ST6)."""
+    return rollup_ohlcv(read_bars(spark, path, tie_break), period, tie_break)
+
+
+def stream_ohlcv(trades: DataFrame, path: str, checkpoint: str, period: Period | str = "hourly",
+                 tie_break: str | None = "prepend", trigger: dict | None = None, merge_every: int = 16):
+    """Start streaming bars (ST1, ST2); returns the ``StreamingQuery``. Read them with :func:`read_bars`,
+    or hourly ones as coarser bars with :func:`read_rollup` (ST6)."""
+    w = trades.writeStream.foreachBatch(StreamBars(path, period, tie_break, merge_every))
+    return w.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

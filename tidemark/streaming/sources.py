@@ -1,36 +1,11 @@
-"""Streaming sources, the end-of-input marker and a bounded runner.
-
-Watermarks need a session ``TIMESTAMP``; streams therefore carry ``et``, the
-same instant as the NTZ ``ts`` (UTC wall time) built from epoch micros, so
-window alignment never depends on the session zone.
-
-The reference flushes its last bar at end of input; an append-mode stream
-holds the newest windows until the watermark passes them.  For bounded runs
-(tests, backfills) :func:`end_marker` writes one marker row, dated after the
-data (derived by Spark from the data itself) and read after it; it closes
-every window and is filtered out of the results.
-"""
+"""Streaming sources and bounded runners."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..functions.periods import micros_ntz, ntz_micros
 from ..session import scratch_path
 
-END_SYMBOL = "__end__"
-
-
-def event_time(ts: str = "ts"):
-    """NTZ (UTC wall time) -> session TIMESTAMP of the same instant, for watermarks and windows."""
-    return F.timestamp_micros(ntz_micros(ts))
-
-
-def to_ntz(c):
-    """Inverse of :func:`event_time` for window bounds."""
-    return micros_ntz(F.unix_micros(c))
-
 
 def parquet_stream(spark: SparkSession, directory: str, file_glob: str | None = None, schema=None,
                    max_files_per_trigger: int | None = None) -> DataFrame:
@@ -48,37 +23,6 @@ def parquet_stream(spark: SparkSession, directory: str, file_glob: str | None =
     return r.parquet(directory)
 
 
-def end_marker(spark: SparkSession, batch_trades: DataFrame, gap: str = "INTERVAL 400 DAYS",
-               directory: str | None = None) -> DataFrame | None:
-    """A one-row trade dated ``max(ts) + gap`` that closes every window of a bounded run.
-
-    The marker must reach the stream *after* the data, or the watermark it
-    sets would make later data late.  With ``directory`` (the stream's own
-    input folder) it is appended there as the newest file, so the file source,
-    which reads in modification order, takes it last; ``None`` is returned.
-    Without ``directory`` it is written to the shared folder and returned as a
-    separate stream to union in.  That is only safe when the data stream reads
-    all its input in its first micro-batch (no ``maxFilesPerTrigger``).
-    """
-    marker = batch_trades.agg(F.max("ts").alias("_mx")).select(
-        F.lit(END_SYMBOL).alias("symbol"),
-        F.lit(-1).cast("long").alias("seq"),
-        (F.coalesce(F.col("_mx"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")) + F.expr(gap)).alias("ts"),
-        F.lit(0.0).alias("price"),
-        F.lit(0.0).alias("amount"),
-    )
-    if directory is not None:
-        marker.select(*batch_trades.columns).coalesce(1).write.mode("append").parquet(directory)
-        return None
-    path = scratch_path(spark, "end-marker")
-    marker.write.mode("overwrite").parquet(path)
-    return spark.readStream.schema(marker.schema).parquet(path)
-
-
-def without_marker(df: DataFrame) -> DataFrame:
-    return df.where(F.col("symbol") != F.lit(END_SYMBOL))
-
-
 def run_available_now(stream: DataFrame, path: str | None = None, *, output_mode: str = "append",
                       fmt: str = "parquet", checkpoint: str | None = None) -> DataFrame:
     """Run a stream over everything available now into files; return the written table.

@@ -1,11 +1,12 @@
 """Positional operators on streams (ST3 SMA, ST5 runs) with a tail table per micro-batch.
 
 Spark refuses row-count windows on streams.  Instead of a per-key Python
-state machine (which would pin a hot symbol to one task), each micro-batch
-is joined with a small *tail* table written by the previous batch (the last
-``n-1`` rows, or the last row, of every key) and processed with the same
-blocked batch operators.  Outputs and tails are written per batch id with
-overwrite, so a retried batch rewrites the same files: exactly-once.
+state machine (which would pin a hot symbol to one task), each micro-batch is
+joined with a small *tail* (the last ``n-1`` rows, or the last row, that earlier
+batches left for its keys) and processed with the same blocked batch operators.
+A batch writes tails for the keys it has seen; old ones are merged and removed
+(see ``tables``).  Outputs and tails are written per batch id with overwrite, so a
+retried batch rewrites the same files: exactly-once.
 
 Rows of a later batch that are older than an earlier batch's rows cannot be
 repaired (the reference has the same single-pass limitation).
@@ -15,19 +16,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.periods import parse_period, period_end
 from ..operators.bars import BAR_COLUMNS, assign_runs, merge_ohlcv, ohlcv
 from ..operators.indicators import moving_averages
-from ..plans import sequence
-
-
-def _read_tail(spark, path: str, batch_id: int, schema) -> DataFrame:
-    if batch_id == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{path}/v={batch_id - 1}")
+from .tables import KeyedTail
 
 
 def _align(df: DataFrame, columns: Sequence[str], types: dict) -> DataFrame:
@@ -44,33 +39,30 @@ class StreamSma:
                  keys: Sequence[str] = ("symbol",), order_col: str = "seq", out: str | None = None):
         if n <= 0:
             raise ValueError("n must be positive")
-        self.out_path, self.state_path, self.n = out_path, state_path, n
+        self.out_path, self.n = out_path, n
         self.value_col, self.keys, self.order_col = value_col, list(keys), order_col
         self.out = out or f"{value_col}_sma_{n}"
+        self.tail = KeyedTail(state_path, keys)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         tail_cols = [*self.keys, self.order_col, self.value_col]
         types = {f.name: f.dataType for f in batch.schema.fields}
-        tail_schema = batch.select(*tail_cols).schema
-        tail = _read_tail(spark, self.state_path, batch_id, tail_schema)
         columns = batch.columns
-        combined = batch.withColumn("_tail", F.lit(False)).unionByName(
-            _align(tail, columns, types).withColumn("_tail", F.lit(True)))
-        combined = combined.persist()
+        batch = batch.persist()  # read for its keys and for its rows
         try:
+            tail = self.tail.of(batch, batch.select(*tail_cols).schema, batch_id)
+            combined = batch.withColumn("_tail", F.lit(False)).unionByName(
+                _align(tail, columns, types).withColumn("_tail", F.lit(True)))
             res = moving_averages(combined, self.value_col, [self.n], keys=self.keys, order_col=self.order_col,
                                   newest_first=True, names=[self.out])
             res.where(~F.col("_tail")).drop("_tail").write.mode("overwrite").parquet(
                 f"{self.out_path}/batch_id={batch_id}")
-            if self.n > 1:
-                ranked = sequence.number_rows(combined, self.keys, self.order_col, "_rk", descending=True)
-                new_tail = ranked.where(F.col("_rk") <= self.n - 1).select(*tail_cols)
-            else:
-                new_tail = combined.select(*tail_cols).limit(0)
-            new_tail.write.mode("overwrite").parquet(f"{self.state_path}/v={batch_id}")
+            # a rank with a limit: every task passes on at most n-1 rows of a key
+            newest = Window.partitionBy(*self.keys).orderBy(F.desc(self.order_col))
+            ranked = combined.select(*tail_cols, F.row_number().over(newest).alias("_rk"))
+            self.tail.write(ranked.where(F.col("_rk") < self.n).drop("_rk"), batch_id)
         finally:
-            combined.unpersist()
+            batch.unpersist()
 
 
 class StreamRuns:
@@ -82,35 +74,37 @@ class StreamRuns:
 
     def __init__(self, out_path: str, state_path: str, period="daily", tie_break: str | None = "prepend",
                  order_col: str = "seq"):
-        self.out_path, self.state_path = out_path, state_path
+        self.out_path = out_path
+        self.tail = KeyedTail(state_path, ["symbol"])
         self.period = parse_period(period) if isinstance(period, str) else period
         self.tie_break, self.order_col = tie_break, order_col
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         base_cols = ["symbol", self.order_col, "ts"]
         types = {f.name: f.dataType for f in batch.schema.fields}
-        tail_schema = batch.select(*base_cols, F.lit(0).cast("long").alias("run_id")).schema
-        tail = _read_tail(spark, self.state_path, batch_id, tail_schema)
         columns = batch.columns
-        # a carried row restarts its own run id: seed = run_id - 1 on top of its change flag of 1
-        types["_seed"] = "long"
-        tail_rows = _align(tail.withColumn("_seed", F.col("run_id") - F.lit(1)), columns + ["_seed"], types)
-        combined = batch.withColumn("_seed", F.lit(0).cast("long")).withColumn("_tail", F.lit(False)).unionByName(
-            tail_rows.withColumn("_tail", F.lit(True)))
-        runs = assign_runs(combined, self.period, order_col=self.order_col, seed_col="_seed").drop("_seed")
-        runs = runs.persist()
+        batch = batch.persist()
         try:
-            live = runs.where(~F.col("_tail"))
-            partial = ohlcv(live, ["symbol", "run_id", "begin"], self.tie_break, with_seq=True)
-            partial.withColumn("end", period_end("begin", self.period)).write.mode("overwrite").parquet(
-                f"{self.out_path}/batch_id={batch_id}")
-            last = runs.groupBy("symbol").agg(
-                F.max_by(F.struct(*[F.col(c) for c in base_cols[1:]], F.col("run_id")), self.order_col).alias("_l"))
-            last.select("symbol", *[F.col(f"_l.{c}").alias(c) for c in base_cols[1:]], F.col("_l.run_id").alias("run_id")) \
-                .write.mode("overwrite").parquet(f"{self.state_path}/v={batch_id}")
+            schema = batch.select(*base_cols, F.lit(0).cast("long").alias("run_id")).schema
+            tail = self.tail.of(batch, schema, batch_id)
+            # a carried row restarts its own run id: seed = run_id - 1 on top of its change flag of 1
+            types["_seed"] = "long"
+            tail_rows = _align(tail.withColumn("_seed", F.col("run_id") - F.lit(1)), columns + ["_seed"], types)
+            combined = batch.withColumn("_seed", F.lit(0).cast("long")).withColumn("_tail", F.lit(False)).unionByName(
+                tail_rows.withColumn("_tail", F.lit(True)))
+            runs = assign_runs(combined, self.period, order_col=self.order_col, seed_col="_seed").drop("_seed")
+            runs = runs.persist()
+            try:
+                partial = ohlcv(runs.where(~F.col("_tail")), ["symbol", "run_id", "begin"], self.tie_break, with_seq=True)
+                partial.withColumn("end", period_end("begin", self.period)).write.mode("overwrite").parquet(
+                    f"{self.out_path}/batch_id={batch_id}")
+                last = runs.groupBy("symbol").agg(F.max_by(
+                    F.struct(*[F.col(c) for c in base_cols[1:]], F.col("run_id")), self.order_col).alias("_l"))
+                self.tail.write(last.select("symbol", "_l.*"), batch_id)
+            finally:
+                runs.unpersist()
         finally:
-            runs.unpersist()
+            batch.unpersist()
 
 
 def finalize_runs(partials: DataFrame, tie_break: str | None = "prepend") -> DataFrame:

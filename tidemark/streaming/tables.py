@@ -1,0 +1,100 @@
+"""A table written micro-batch by micro-batch, merged from time to time.
+
+``batch=<id>/`` holds what one micro-batch wrote, ``upto=<id>/`` the merged rows of
+all batches up to one.  Both are written with overwrite under the batch's id, so a
+batch that is run again after a failure replaces its own files: exactly-once.  A
+folder is removed only when a later batch starts, that is after the batch whose
+merge replaced it was committed.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..session import remove_path
+
+
+def _complete(spark: SparkSession, path: str) -> dict[str, list[int]]:
+    """Ids of the finished ``batch=`` and ``upto=`` folders."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    root = jvm.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: dict[str, list[int]] = {"batch": [], "upto": []}
+    if fs.exists(root):
+        for status in fs.listStatus(root):
+            kind, _, number = status.getPath().getName().partition("=")
+            if kind in out and fs.exists(jvm.Path(status.getPath(), "_SUCCESS")):
+                out[kind].append(int(number))
+    return out
+
+
+class BatchTable:
+    """``merge`` turns a union of batches into one that says the same in fewer rows."""
+
+    def __init__(self, path: str, merge: Callable[[DataFrame], DataFrame] | None = None, every: int = 16):
+        self.path, self.merge, self.every = path, merge, every
+
+    def _current(self, spark: SparkSession, before: int | None) -> list[str]:
+        found = _complete(spark, self.path)
+        ok = lambda i: before is None or i < before
+        base = max([i for i in found["upto"] if ok(i)], default=-1)
+        names = [f"upto={base}"] if base >= 0 else []
+        return names + [f"batch={i}" for i in sorted(found["batch"]) if ok(i) and i > base]
+
+    def read(self, spark: SparkSession, schema, before: int | None = None) -> DataFrame:
+        """All rows of the batches so far (of those before a batch)."""
+        names = self._current(spark, before)
+        if not names:
+            return spark.createDataFrame([], schema)
+        return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(f"{self.path}/{n}") for n in names])
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        self._retire(spark, batch_id)
+        if self.merge and self.every and (batch_id + 1) % self.every == 0:
+            merged = self.merge(self.read(spark, rows.schema, before=batch_id).unionByName(rows))
+            merged.select(*rows.columns).write.mode("overwrite").parquet(f"{self.path}/upto={batch_id}")
+        else:
+            rows.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+
+    def _retire(self, spark: SparkSession, batch_id: int) -> None:
+        found = _complete(spark, self.path)
+        base = max([i for i in found["upto"] if i < batch_id], default=-1)
+        for kind, ids in found.items():
+            for i in ids:
+                if i < base or (kind == "batch" and i == base):
+                    remove_path(spark, f"{self.path}/{kind}={i}")
+
+
+class KeyedTail:
+    """The newest rows of every key: a batch writes those of the keys it has seen, the rest stay where they are."""
+
+    def __init__(self, path: str, keys: Sequence[str], every: int = 16):
+        self.keys = list(keys)
+        self._table = BatchTable(path, self._newest, every)
+
+    def _newest(self, rows: DataFrame) -> DataFrame:
+        last = rows.groupBy(*self.keys).agg(F.max("_batch").alias("_last"))
+        return _join(rows, last, self.keys).where(F.col("_batch") == F.col("_last")).drop("_last")
+
+    def of(self, batch: DataFrame, schema, batch_id: int) -> DataFrame:
+        """The rows that earlier batches left for the keys of this one."""
+        spark = batch.sparkSession
+        full = schema.add("_batch", "long")
+        rows = self._table.read(spark, full, before=batch_id)
+        seen = batch.select(*self.keys).distinct()
+        return self._newest(_join(rows, seen, self.keys)).drop("_batch")
+
+    def write(self, rows: DataFrame, batch_id: int) -> None:
+        self._table.write(rows.withColumn("_batch", F.lit(batch_id).cast("long")), batch_id)
+
+
+def _join(rows: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on keys that may be null; the left columns and what the right one adds."""
+    right = other.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return rows.join(right, on).drop(*[f"_r_{k}" for k in keys])
