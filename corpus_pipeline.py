@@ -22,7 +22,7 @@ from tidemark.llm.packing import pack_documents
 from tidemark.llm.simhash import one_of_each
 
 #: A document stays if its language is known and this likely.
-MIN_LANGUAGE = 0.5
+MIN_LANGUAGE = 0.4
 #: A document stays if label 1 is at least this likely.
 MIN_QUALITY = 0.3
 

@@ -67,7 +67,7 @@ def _tile(width: int):
     def run(table: pa.Table) -> pa.Table:
         q, s, e, u = quantise(matrix(table.column("vector"), width, "f8"))
         cells = {
-            "group": pa.array([table.column("group")[0].as_py()], pa.int64()),
+            "label": pa.array([table.column("label")[0].as_py()], pa.string()),
             "block": pa.array([table.column("block")[0].as_py()], pa.int32()),
             "n_blocks": pa.array([table.column("n_blocks")[0].as_py()], pa.int32()),
         }
@@ -120,23 +120,23 @@ def embedding_duplicates(
     """
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
-        F.xxhash64(F.col(label_col).cast("string")).alias("group"),
         F.col(label_col).cast("string").alias("label"),
         F.col(vector_col).cast("array<double>").alias("vector"),
     )
     good = F.col("label").isNotNull() & usable("vector") & F.exists("vector", lambda x: x != 0)
-    grouped = rows.where(good).groupBy("label", "vector").agg(F.first("group").alias("group"), F.count("*").alias("n"), F.min("vec_id").alias("least"))
+    grouped = rows.where(good).groupBy("label", "vector").agg(F.count("*").alias("n"), F.min("vec_id").alias("least"))
     classes = numbered(grouped, "vector-classes", "class")
     width = classes.agg(F.max(F.size("vector")).alias("w")).first()["w"] or 1
 
-    sizes = classes.groupBy("group").agg(F.count("*").alias("of_group"))
-    dealt = blocked(classes.join(sizes, "group"), "class", F.col("of_group"), tile)
-    schema = "group long, block int, n_blocks int, c binary, n binary, s binary, e binary, q binary, u binary"
-    tiles = stored(dealt.select("group", "block", "n_blocks", "class", "n", "vector").groupBy("group", "block").applyInArrow(_tile(width), schema), "tiles")
+    sizes = classes.groupBy("label").agg(F.count("*").alias("of_label"))
+    dealt = blocked(classes.join(sizes, "label"), "class", F.col("of_label"), tile)
+    schema = "label string, block int, n_blocks int, c binary, n binary, s binary, e binary, q binary, u binary"
+    tiles = dealt.select("label", "block", "n_blocks", "class", "n", "vector").groupBy("label", "block").applyInArrow(_tile(width), schema)
+    tiles = stored(tiles, "tiles")
     # each tile goes to the pair with every tile of its label, itself included
     others = F.explode(F.expr("sequence(0, n_blocks - 1)")).alias("other")
     paired = tiles.select("*", others).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    found = paired.groupBy("group", "low", "high").applyInArrow(_pair(width, threshold), "class long, root long, links long")
+    found = paired.groupBy("label", "low", "high").applyInArrow(_pair(width, threshold), "class long, root long, links long")
     found = stored(found, "tile-links")
 
     node = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
