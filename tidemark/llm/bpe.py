@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 
-from .common import id_text
+from .common import id_text, ship
 from .pretokens import PieceMemo, split_ids
 
 
@@ -177,5 +177,6 @@ def encode_documents(
                 arrays = [some.column(0), *(pa.array(v, t) for v, t in zip(cols[:keep], kinds))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", *names[:keep]])
 
+    ship(docs.sparkSession)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary, decoded binary" * with_ids
     return id_text(docs, id_col, text_col).mapInArrow(run, schema)

@@ -2,10 +2,40 @@
 
 from __future__ import annotations
 
+import io
+import os
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import checkpoint_dir, scratch_path
+
+_ROOT = Path(__file__).resolve().parents[2]
+
+
+def ship(spark: SparkSession) -> None:
+    """Lets Python workers import this package, once per application.
+
+    Where it is installed, or on the workers' PYTHONPATH, there is nothing to do; else its
+    source goes to the shared folder as an archive that Spark hands to every executor.
+    """
+    sc = spark.sparkContext
+    on_path = {str(Path(p).resolve()) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p}
+    name = f"tidemark-{sc.applicationId}.zip"
+    if "site-packages" in _ROOT.parts or str(_ROOT) in on_path or name in sc._python_includes:
+        return
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as archive:
+        for f in sorted((_ROOT / "tidemark").rglob("*.py")):
+            archive.write(f, f.relative_to(_ROOT).as_posix())
+    path = f"{checkpoint_dir(spark)}/{name}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(path)
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

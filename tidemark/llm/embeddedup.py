@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import ship, stored
 from .components import components
 from .vectors import blocked, matrix, numbered, roots, usable
 
@@ -118,6 +118,7 @@ def embedding_duplicates(
     component_id of others and its row is kept.  An empty table gives an empty result.
     Other columns are ignored.
     """
+    ship(vectors.sparkSession)
     rows = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"),
         F.col(label_col).cast("string").alias("label"),

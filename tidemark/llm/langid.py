@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from .common import ship
 from .pretokens import LETTER, classes
 
 UNKNOWN = "und"
@@ -164,6 +165,7 @@ def document_frequencies(texts: DataFrame, text_col: str, bits: int) -> tuple[np
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(df[at])], names=["gram", "n"])
 
+    ship(texts.sparkSession)
     rows = texts.select(text_col).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n")).collect()
     out = np.zeros((1 << bits) + 1, np.int64)
     for r in rows:
@@ -227,6 +229,7 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang
     Null texts and texts without a letter are ``und`` with 0.  Columns of the input that have
     the new names are replaced.
     """
+    ship(docs.sparkSession)
     base = docs.drop(lang_col, score_col)
     kept = base.columns
     at = kept.index(text_col)

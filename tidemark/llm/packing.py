@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_text, stored
+from .common import id_text, ship, stored
 from .pretokens import encoder
 
 Pattern = tuple[int, list[tuple[int, int]]]
@@ -164,6 +164,7 @@ def pack_documents(
     own, also when ids repeat or are null.  An empty table gives an empty result.
     Other columns are ignored.
     """
+    ship(docs.sparkSession)
     schema = "doc_id long, piece int, start long, length int, ids_crc32 long, part int, nth long" + ", ids binary" * with_ids
     pieces = stored(id_text(docs, id_col, text_col).mapInArrow(_pieces(tokenizer_path, capacity, end_id, with_ids), schema), "pack-pieces")
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))

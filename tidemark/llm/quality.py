@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import ship
 from .langid import best_temperature
 from .pretokens import boundaries, fingerprints, slices
 
@@ -76,6 +77,7 @@ def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
         met = np.flatnonzero(table.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(met, pa.int32()), *(pa.array(table[met, d]) for d in range(WIDTH))], names=["slot", *dims])
 
+    ship(docs.sparkSession)
     dims = [f"d{d}" for d in range(WIDTH)]
     schema = "slot int, " + ", ".join(f"{d} long" for d in dims)
     sums = docs.select(F.col(text_col).cast("string")).mapInArrow(run, schema).groupBy("slot").agg(*[F.sum(d).alias(d) for d in dims])
@@ -197,6 +199,7 @@ def fit(
 
 def score(docs: DataFrame, model: QualityModel, text_col: str = "text", score_col: str = "score") -> DataFrame:
     """The rows with the score of their text (null: empty); an input column of that name is replaced."""
+    ship(docs.sparkSession)
     base = docs.drop(score_col)
     names = base.columns
     at = names.index(text_col)

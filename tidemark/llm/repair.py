@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_text
+from .common import id_text, ship
 from .pretokens import encoder
 
 MAGIC = b"RPT1"
@@ -254,6 +254,7 @@ def write_ids(
 
     base = Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
     base = max(base, end_id + 1)
+    ship(docs.sparkSession)
     order = [F.col("doc_id"), F.xxhash64("text")]
     rows = id_text(docs, id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order)
     rows.mapInArrow(_shards(tokenizer_path, end_id, base, shard_tokens), SHARD_SCHEMA).write.parquet(path)
@@ -266,6 +267,7 @@ def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame
     takes are one row per file of the table, so their one-task window and their
     broadcast stay small whatever the shards hold.
     """
+    ship(spark)
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))

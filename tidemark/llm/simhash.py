@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import id_text, stored
+from .common import id_text, ship, stored
 from .components import components
 from .vectors import numbered
 
@@ -56,6 +56,7 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
 
 def fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp", shingle: int = 3, seed: int = 42) -> DataFrame:
     """The rows with the fingerprint of their text as a signed long; without words, or null, it is 0."""
+    ship(docs.sparkSession)
     names = docs.columns
     at = names.index(text_col)
 
@@ -148,6 +149,7 @@ def groups(fps: DataFrame, max_bits: int) -> DataFrame:
     """(fp, root) for distinct fingerprints: those reachable from each other have the same root."""
     if not 0 <= max_bits < 8:
         raise ValueError("max_bits must be from 0 to 7")
+    ship(fps.sparkSession)
     index = postings(fps, max_bits).repartition("positions", "bytes").sortWithinPartitions("positions", "bytes")
     roots = components(index.mapInArrow(_index_links(max_bits), "a long, b long"))
     joined = fps.join(roots, F.col("fp") == F.col("node"), "left")

@@ -4,8 +4,8 @@ The components of all vectors are dealt out to ``slices`` lists; a score is the
 of one partial score per list.  Candidates and queries come in blocks; a group is a
 candidate block, a query block and a slice.
 
-1. Each list reports its k best partial scores per query.  The candidates seen are
-   scored exactly; the k-th best of these scores is a safe cutoff t.
+1. Each list reports its ``depth`` * k best partial scores per query.  The candidates
+   seen are scored exactly; the k-th best of these scores is a safe cutoff t.
 2. Every list gets t with its queries and reports all entries of at least
    t / slices.  A candidate that reaches t does so in one list at least.
 3. Sums of the reported entries raise the cutoff and bound what is missing; the
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import ship, stored
 from .vectors import blocked, matrix, numbered, usable
 
 _LEAST = -(1 << 62)
@@ -77,7 +77,7 @@ def _read(table: pa.Table, is_query: bool) -> tuple[np.ndarray, np.ndarray, np.n
 
 
 def _lists(k: int):
-    """Phase 1: the k best partial scores of each query in this group."""
+    """Phase 1: the k best partial scores of each query in this group of blocks."""
 
     def run(table: pa.Table) -> pa.Table:
         queries, q, _ = _read(table, True)
@@ -124,8 +124,9 @@ def top_k(
     id_col: str = "vec_id",
     vector_col: str = "embedding",
     slices: int = 2,
-    candidate_block: int = 2048,
+    candidate_block: int = 4096,
     query_block: int = 512,
+    depth: int = 4,
 ) -> DataFrame:
     """The k best candidates of each query by the inner product of floor(scale * x), exactly.
 
@@ -138,6 +139,7 @@ def top_k(
     rows of their own, as queries and as candidates.  An empty table gives an empty result.
     Scaled components and scores must fit a long.  Other columns are ignored.
     """
+    ship(vectors.sparkSession)
     source = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
     whole = F.transform("vector", lambda x: F.floor(x * F.lit(scale)).cast("long"))
     rows = numbered(source.where(usable("vector")).select("vec_id", whole.alias("vector")), "vectors", "row")
@@ -173,8 +175,9 @@ def top_k(
         return pairs.join(b, "row").join(a, "query").select("query", "row", score.alias("score"))
 
     # 1: local lists, exact scores of what they show, the cutoff
-    lists = groups(dealt, _lists(k), ["query", "row", "slice", "partial"])
-    seen = _best(lists, k, ["query", "slice"], F.desc("partial"), F.asc("row")).select("query", "row").distinct()
+    shown_per_list = k * depth  # deeper lists give a higher cutoff and fewer entries in the second phase
+    lists = groups(dealt, _lists(shown_per_list), ["query", "row", "slice", "partial"])
+    seen = _best(lists, shown_per_list, ["query", "slice"], F.desc("partial"), F.asc("row")).select("query", "row").distinct()
     shown = stored(scored(seen), "topk-seen")
     ranked = _best(shown, k, ["query"], F.desc("score"), F.asc("row"))
     cutoff = ranked.groupBy("query").agg(F.when(F.count("*") == k, F.min("score")).otherwise(F.lit(_LEAST)).alias("cut"))
