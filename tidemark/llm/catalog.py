@@ -13,11 +13,11 @@ from . import langid, quality, secrets
 from .bpe import encode_documents
 from .chat import PERSPECTIVES_SQL, mask_text, perspectives
 from .common import fold, table
-from .embeddedup import embedding_duplicates
+from .embeddedup import DUPLICATES_SQL, embedding_duplicates
 from .packing import pack_documents
 from .repair import read_ids, write_ids
 from .simhash import near_duplicates
-from .topk import top_k
+from .topk import TOP_K_SQL, top_k
 
 
 def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,4 +86,8 @@ QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_randomness_battery": op10_randomness_battery,
 }
 
-ORACLE_LLM: dict[str, str] = {"op8_perspectives": PERSPECTIVES_SQL}
+ORACLE_LLM: dict[str, str] = {
+    "op2_int8_tiles": DUPLICATES_SQL,
+    "op3_uniform_threshold": TOP_K_SQL,
+    "op8_perspectives": PERSPECTIVES_SQL,
+}

@@ -157,3 +157,30 @@ def embedding_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
     )
+
+
+#: DuckDB SQL for the rows of the registered query: all pairs, so for small tables only.
+DUPLICATES_SQL = """
+WITH RECURSIVE x AS (
+  SELECT vec_id, label, generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS x
+  FROM embeddings WHERE label IS NOT NULL),
+n AS (
+  SELECT vec_id, sqrt(sum(x * x)) AS norm FROM x GROUP BY vec_id
+  HAVING bool_and(x IS NOT NULL AND isfinite(x)) AND sum(x * x) > 0),
+pairs AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, sum(a.x * b.x) AS dot
+  FROM x AS a JOIN x AS b ON a.label = b.label AND a.i = b.i AND a.vec_id < b.vec_id
+  GROUP BY a.vec_id, b.vec_id),
+near AS (
+  SELECT a, b FROM pairs JOIN n AS na ON na.vec_id = a JOIN n AS nb ON nb.vec_id = b
+  WHERE dot / (na.norm * nb.norm) >= 0.98),
+links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+reach AS (
+  SELECT vec_id, vec_id AS root FROM embeddings
+  UNION
+  SELECT links.b, reach.root FROM reach JOIN links ON links.a = reach.vec_id),
+roots AS (SELECT vec_id, min(root) AS component_id FROM reach GROUP BY vec_id),
+counts AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT roots.vec_id, coalesce(n_links, 0) AS n_links, component_id, roots.vec_id = component_id AS kept
+FROM roots LEFT JOIN counts ON counts.vec_id = roots.vec_id
+"""

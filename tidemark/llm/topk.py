@@ -201,3 +201,21 @@ def top_k(
     named = final.join(ids, "row").join(ids.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id")), "query")
     best = _best(named, k, ["query"], F.desc("score"), F.asc_nulls_last("vec_id"), F.asc("row"))
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+#: DuckDB SQL for the rows of the registered query: all pairs of a query and a candidate.
+TOP_K_SQL = """
+WITH x AS (
+  SELECT vec_id, generate_subscripts(embedding, 1) AS i, unnest(embedding) AS x FROM embeddings),
+bad AS (SELECT DISTINCT vec_id FROM x WHERE x IS NULL OR NOT isfinite(x)),
+v AS (
+  SELECT vec_id, i, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+  FROM x WHERE vec_id NOT IN (SELECT vec_id FROM bad)),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+  FROM v AS q JOIN v AS c ON q.i = c.i AND q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0 GROUP BY q.vec_id, c.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scores)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
