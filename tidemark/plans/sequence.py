@@ -346,7 +346,8 @@ def frame_means(
     nmax = max(sizes.values())
     if min(sizes.values()) <= 0:
         raise ValueError("frame length must be positive")
-    parts = _chunks(df, pos_col, nmax, chunk_rows)
+    # dealt by chunk once: the windows over blocks of a chunk and over the whole chunk all find their rows together
+    parts = _chunks(df, pos_col, nmax, chunk_rows).repartition(*[F.col(_q(k)) for k in keys], "_chunk")
     pos, over = _q(pos_col), f"PARTITION BY {_keys_sql([*keys, '_chunk'])}"
     added = []
     for i, (out, n) in enumerate(sizes.items()):
