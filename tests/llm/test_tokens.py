@@ -168,3 +168,12 @@ def test_packed_documents(spark):
         assert b"".join(x for _, _, x in sorted(docs[i])) == np.array([*one(text), 0], "<u4").tobytes()
     assert len(docs[5]) == 2 and docs[3] == [(0, 0, b"\0\0\0\0")] and None in docs
     assert packing.pack_documents(documents(spark, []), BYTES).count() == 0
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_memo_encoder_on_every_kind_of_character(path):
+    points = [p for p in [*range(0, 0x3200), *range(0xA640, 0xB000), *range(0x10000, 0x1F000, 3)] if not 0xD800 <= p < 0xE000]
+    texts = [f"a{chr(p)}1{chr(p)} {chr(p)}." for p in points]
+    one = library(path)
+    got = MemoEncoder(path).encode(texts)
+    assert [hex(p) for p, t, x in zip(points, texts, got) if x.tolist() != one(t)] == []

@@ -22,6 +22,7 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LONG_CUT = re.compile(r"(?<=\w) (?=\w)")
 _CLASSES: list[np.ndarray] = []
+_NEWER: list[re.Pattern] = []
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -39,6 +40,14 @@ def classes() -> np.ndarray:
     return _CLASSES[0]
 
 
+def newer_characters() -> re.Pattern:
+    """Letters, numbers and blanks of Unicode versions that this Python, and so maybe a split pattern's engine, doesn't know."""
+    if not _NEWER:
+        points = [int(p) for p in np.flatnonzero(classes() != OTHER) if unicodedata.category(chr(p)) == "Cn"]
+        _NEWER.append(re.compile("[" + "".join(re.escape(chr(p)) for p in points) + "]" if points else r"(?!)"))
+    return _NEWER[0]
+
+
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the multiplier and of its inverse, modulo 2**64."""
     size = 1 << max(16, (n - 1).bit_length())
@@ -285,8 +294,10 @@ class MemoEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
     def _plain(self, text: str) -> bool:
-        """Whether normalising piece by piece equals normalising the text."""
-        return text.isascii() or (unicodedata.is_normalized("NFC", text) and "İ" not in text)
+        """Whether normalising and splitting piece by piece surely equals doing so to the text."""
+        if text.isascii():
+            return True
+        return unicodedata.is_normalized("NFC", text) and "İ" not in text and not newer_characters().search(text)
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text; null is the empty text."""
