@@ -22,7 +22,7 @@ _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 _LONG_CUT = re.compile(r"(?<=\w) (?=\w)")
 _CLASSES: list[np.ndarray] = []
-_NEWER: list[re.Pattern] = []
+_NEWER: list[np.ndarray] = []
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -40,11 +40,13 @@ def classes() -> np.ndarray:
     return _CLASSES[0]
 
 
-def newer_characters() -> re.Pattern:
-    """Letters, numbers and blanks of Unicode versions that this Python, and so maybe a split pattern's engine, doesn't know."""
+def newer_characters() -> np.ndarray:
+    """Marks letters, numbers and blanks of Unicode versions that this Python, and so maybe a split pattern's engine, doesn't know."""
     if not _NEWER:
-        points = [int(p) for p in np.flatnonzero(classes() != OTHER) if unicodedata.category(chr(p)) == "Cn"]
-        _NEWER.append(re.compile("[" + "".join(re.escape(chr(p)) for p in points) + "]" if points else r"(?!)"))
+        table = classes() != OTHER
+        for p in np.flatnonzero(table).tolist():
+            table[p] = unicodedata.category(chr(p)) == "Cn"
+        _NEWER.append(table)
     return _NEWER[0]
 
 
@@ -297,7 +299,9 @@ class MemoEncoder:
         """Whether normalising and splitting piece by piece surely equals doing so to the text."""
         if text.isascii():
             return True
-        return unicodedata.is_normalized("NFC", text) and "İ" not in text and not newer_characters().search(text)
+        if "İ" in text or not unicodedata.is_normalized("NFC", text):
+            return False
+        return not newer_characters()[np.frombuffer(text.encode("utf-32-le"), "<u4")].any()
 
     def encode(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """Ids of each text; null is the empty text."""
