@@ -205,7 +205,7 @@ class PieceMemo:
         return self._pool[source], length
 
 
-def slices(texts: Sequence[str], limit: int = 1 << 20) -> Iterator[list[tuple[int, str]]]:
+def slices(texts: Sequence[str], limit: int = 1 << 19) -> Iterator[list[tuple[int, str]]]:
     """Texts in order as groups of about ``limit`` characters; longer texts come in
     parts, cut before a blank between two words, where every split pattern cuts."""
     group, size = [], 0
