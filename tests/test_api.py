@@ -2,7 +2,7 @@ import datetime as dt
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidemark.plans import api as A
 from tidemark.sources import testdata as TD
 

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import FIXTURES
+from helpers import FIXTURES
 from tidemark.operators import indicators as I
 from tidemark.sources import records as R
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tidemark.operators import bars as B
 from tidemark.operators import indicators as I
 from tidemark.session import scratch_path
