@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +13,7 @@ import tiktoken
 from edge import TEXTS, documents
 from tokenizers import Tokenizer
 
-from tidemark.llm import bpe, packing, repair
+from tidemark.llm import bpe, packing, pretokens, repair
 from tidemark.llm.pretokens import MemoEncoder, PieceMemo, slices
 from tidemark.session import scratch_path
 
@@ -49,6 +50,68 @@ def test_memo_starts_again_when_full():
     assert [x.tolist() for x in got] == [[v for w in t.split() for v in (len(w), ord(w[0]))] for t in texts]
 
 
+def thue_morse(n):
+    """Two words of n letters that polynomial hashes modulo powers of two can't tell apart."""
+    word = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[x] for x in word), "".join("ba"[x] for x in word)
+
+
+def test_words_of_one_fingerprint_keep_their_ids(spark):
+    texts = [w for n in (1024, 2048, 4096) for w in thue_morse(n)]
+    for path in (WORDS, BYTES):
+        one = library(path)
+        assert [x.tolist() for x in MemoEncoder(path).encode(texts)] == [one(t) for t in texts]
+    codec = bpe.RankBpe(RANKS)
+    assert [codec.decode(x).decode() for x in codec.encode(texts)] == texts
+    docs = documents(spark, list(enumerate(texts)))
+    path = scratch_path(spark, "repair-collisions")
+    repair.write_ids(docs, path, WORDS, end_id=2)
+    one = library(WORDS)
+    got = {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in repair.read_ids(spark, path).collect()}
+    assert got == {i: [*one(t), 2] for i, t in enumerate(texts)}
+    one, pieces = library(BYTES), {}
+    for r in packing.pack_documents(docs, BYTES, 64, 0, with_ids=True).collect():
+        pieces.setdefault(r.doc_id, []).append((r.piece, bytes(r.ids)))
+    for i, t in enumerate(texts):
+        assert b"".join(x for _, x in sorted(pieces[i])) == np.array([*one(t), 0], "<u4").tobytes()
+
+
+@pytest.mark.parametrize("path", [WORDS, BYTES])
+def test_small_fingerprints_that_always_collide(path, monkeypatch):
+    exact = pretokens.fingerprints
+    monkeypatch.setattr(pretokens, "fingerprints", lambda *x: exact(*x) & np.uint64(0xFF) | np.uint64(1))
+    texts = odd_texts(1500) + [t for _, t in TEXTS]
+    one = library(path)
+    encoder = MemoEncoder(path)
+    for _ in range(2):
+        assert [x.tolist() for x in encoder.encode(texts)] == [one(t) for t in texts]
+    codec = bpe.RankBpe(RANKS)
+    assert [codec.decode(x).decode() for x in codec.encode(texts)] == [t or "" for t in texts]
+
+
+def test_perfect_hash_answers_for_every_token():
+    codec = bpe.RankBpe(RANKS)
+    codec._memo = None  # nothing may be asked of it but by what is no token
+    words = [w for w in (t.decode("utf-8", "ignore") for t in list(codec.ranks)[:20000]) if w.isascii() and w.isalpha()]
+    points = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+    end = np.cumsum([len(w) for w in words])
+    begin = end - [len(w) for w in words]
+    h = pretokens.fingerprints(points, begin, end)
+    codec._memo = type("None_", (), {"ids": staticmethod(lambda *x: (np.zeros(0, np.uint32), np.zeros(len(x[2]), np.int64)))})
+    ids, length = codec.ids("".join(words), points, begin, end, h)
+    assert len(words) > 5000 and (length == 1).all()
+    assert ids.tolist() == [codec.ranks[w.encode()] for w in words]
+
+
+def test_parts_of_texts_without_blanks():
+    rng = random.Random(11)
+    texts = ["".join(rng.choices("abcXYZ0123456789", k=400_000)), "\u4e2d\u6587\u3002" * 60_000]
+    codec, one = bpe.codec(RANKS), library(BYTES)
+    assert max(len(p) for g in slices(texts) for _, p in g) < 140_000
+    assert [codec.decode(x).decode() for x in codec.encode(texts)] == texts
+    assert [x.tolist() for x in MemoEncoder(BYTES).encode(texts)] == [one(t) for t in texts]
+
+
 def test_long_texts_come_in_parts():
     text = "word " * 1000
     parts = [part for group in slices(["x", text, ""], limit=500) for k, part in group if k == 1]
@@ -95,6 +158,22 @@ def test_repair_round_trip_and_random_access():
         repair.Shard(b"????" + bytes(60))
 
 
+@pytest.mark.parametrize("least", [2, 5, 16])
+def test_repair_goes_on_until_no_pair_is_frequent(least):
+    rng = np.random.default_rng(least)
+    docs = [np.append(np.minimum(rng.zipf(1.3, int(n)), 60) + 2, 2).astype(np.uint32) for n in rng.integers(0, 900, 60)]
+    docs.append(np.append(np.full(777, 9), 2).astype(np.uint32))
+    flat = np.concatenate(docs)
+    last = np.zeros(len(flat), bool)
+    last[np.cumsum([len(d) for d in docs]) - 1] = True
+    seq, marks, left, right, lengths = repair.compress(flat, last, 100, least=least)
+    assert repair.expand(seq, 100, left, right).tolist() == flat.tolist() and marks.sum() == len(docs)
+    pairs = Counter((int(x), int(y)) for x, y, end in zip(seq[:-1], seq[1:], marks[:-1]) if not end)
+    assert max(pairs.values()) < least
+    size = lambda s: 1 if s < 100 else size(left[s - 100]) + size(right[s - 100])
+    assert lengths.tolist() == [size(100 + k) for k in range(len(left))]
+
+
 def test_repair_files(spark):
     one, path = library(WORDS), scratch_path(spark, "repair")
     repair.write_ids(documents(spark), path, WORDS, end_id=2, shard_tokens=64)

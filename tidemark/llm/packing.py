@@ -108,8 +108,8 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
         seen = np.zeros(capacity + 1, np.int64)
         enc = encoder(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                some = batch.slice(at, 512)
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
                 names = ("doc_id", "piece", "start", "length", "ids_crc32", "part", "nth", "ids")
                 cols: dict[str, list] = {k: [] for k in names}
                 for doc_id, ids in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
@@ -160,8 +160,8 @@ def pack_documents(
     piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, and with
     ``with_ids`` its ids as little-endian unsigned 32-bit integers.
 
-    A null text is the empty text (one end id).  Each input row is a document of its
-    own, also when ids repeat or are null.  An empty table gives an empty result.
+    A null text is the empty text (one end id).  A long text is encoded in parts and cut into
+    full pieces, so no row grows with it.  Each input row is a document of its own, also when ids repeat or are null.  An empty table gives an empty result.
     Other columns are ignored.
     """
     ship(docs.sparkSession)

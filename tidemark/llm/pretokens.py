@@ -4,8 +4,9 @@ A byte-pair encoder never merges across the boundaries its split pattern sets,
 so the ids of a text are the ids of its pre-tokens, one after the other.  The
 boundaries of a batch are found with array operations on its code points, every
 pre-token gets a 64-bit fingerprint, and only pre-tokens not met before go to the
-encoder proper, one call each.  The memo is bounded: when it is full it starts
-again, which costs time and never changes a result.
+encoder proper, one call each.  A fingerprint only finds an entry; its characters
+are compared before its ids are used.  The memo is bounded: when it is full it
+starts again, which costs time and never changes a result.
 """
 
 from __future__ import annotations
@@ -20,10 +21,13 @@ import numpy as np
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 _MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 _MIX = np.uint64(0xD6E8FEB86659FD93)
-_LONG_CUT = re.compile(r"(?<=\w) (?=\w)")
+#: Where every split pattern cuts: a blank between words, a digit after an ASCII letter, a CJK comma or stop after an ideograph.
+_LONG_CUT = re.compile("(?<=\\w) (?=\\w)|(?<=[A-Za-z])(?=[0-9])|(?<=[\u4e00-\u9fff])(?=[\u3001\u3002\uff0c])")
+#: Longer pre-tokens are not memoised.
+LONGEST = 64
 _CLASSES: list[np.ndarray] = []
 _NEWER: list[np.ndarray] = []
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def classes() -> np.ndarray:
@@ -32,10 +36,12 @@ def classes() -> np.ndarray:
         import regex
 
         table = np.full(0x110000, OTHER, np.uint8)
-        chars = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-        for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\s+")):
-            for m in regex.finditer(pattern, chars):
-                table[np.frombuffer(m[0].encode("utf-32-le"), "<u4")] = kind
+        patterns = [(LETTER, regex.compile(r"\p{L}+")), (NUMBER, regex.compile(r"\p{N}+")), (SPACE, regex.compile(r"\s+"))]
+        for first in range(0, 0x110000, 0x1000):  # a plane's part at a time keeps the strings small
+            chars = "".join(chr(c) for c in range(first, first + 0x1000) if not 0xD800 <= c < 0xE000)
+            for kind, pattern in patterns:
+                for m in pattern.finditer(chars):
+                    table[np.frombuffer(m[0].encode("utf-32-le"), "<u4")] = kind
         _CLASSES.append(table)
     return _CLASSES[0]
 
@@ -50,21 +56,6 @@ def newer_characters() -> np.ndarray:
     return _NEWER[0]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, modulo 2**64."""
-    size = 1 << max(16, (n - 1).bit_length())
-    if size not in _POWERS:
-        inverse = pow(_MULTIPLIER, -1, 1 << 64)
-        out = []
-        for base in (_MULTIPLIER, inverse):
-            p = np.ones(size, np.uint64)
-            p[1:] = np.uint64(base)
-            out.append(np.multiply.accumulate(p))
-        _POWERS.clear()
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
-
-
 def boundaries(points: np.ndarray, starts: np.ndarray, drop_spaces: bool) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of every pre-token in the joined texts ``points``.
 
@@ -119,6 +110,20 @@ def boundaries(points: np.ndarray, starts: np.ndarray, drop_spaces: bool) -> tup
     return begin, end
 
 
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier and of its inverse, modulo 2**64; those for ordinary sizes are kept."""
+    if not _POWERS or n > len(_POWERS[0][0]):
+        size, out = max(n, 1 << 17), []
+        for base in (_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64)):
+            p = np.full(size, np.uint64(base))
+            p[0] = 1
+            out.append(np.multiply.accumulate(p))
+        if n > 1 << 17:
+            return out[0], out[1]
+        _POWERS.append((out[0], out[1]))
+    return _POWERS[0]
+
+
 def fingerprints(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit fingerprint of each slice; never zero."""
     power, inverse = _powers(len(points) + 1)
@@ -133,10 +138,29 @@ def fingerprints(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.n
     return h
 
 
+def same_characters(points: np.ndarray, begin: np.ndarray, size: np.ndarray, chars: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Whether each slice of ``points`` equals the slice of ``chars`` of the same size."""
+    until = np.cumsum(size)
+    same = np.ones(len(size), bool)
+    if len(size):
+        run = np.arange(until[-1])
+        if begin[-1] + size[-1] - begin[0] == until[-1]:  # neighbours without gaps
+            left = points[begin[0] : begin[0] + until[-1]]
+        else:
+            left = points[np.repeat(begin - (until - size), size) + run]
+        wrong = np.flatnonzero(left != chars[np.repeat(start - (until - size), size) + run])
+        same[np.searchsorted(until, wrong, "right")] = False
+    return same
+
+
 class PieceMemo:
-    """From fingerprints to ids: an open hash table over arrays, bounded in size."""
+    """From pre-tokens to ids: an open hash table over arrays, bounded in size.
 
-    def __init__(self, make: Callable[[str], Sequence[int]], limit: int = 1_500_000):
+    Pre-tokens of more than ``LONGEST`` characters, and those whose fingerprint another one
+    has taken, are encoded by themselves, once per call.
+    """
+
+    def __init__(self, make: Callable[[str], Sequence[int]], limit: int = 300_000):
         self._make = make
         self._limit = limit
         self._reset()
@@ -146,11 +170,11 @@ class PieceMemo:
         self._shift = np.uint64(64 - bits)
         self._mask = (1 << bits) - 1
         self._keys = np.zeros(1 << bits, np.uint64)
-        self._slot_of = np.zeros(1 << bits, np.int32)
-        self._start = np.zeros(1024, np.int64)
-        self._length = np.zeros(1024, np.int32)
-        self._pool = np.zeros(4096, np.uint32)
-        self._used = self._count = 0
+        self._entry = np.zeros(1 << bits, np.int32)
+        self._start, self._length = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self._char_start, self._size = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self._pool, self._chars = np.zeros(4096, np.uint32), np.zeros(4096, np.uint32)
+        self._used = self._chars_used = self._count = 0
 
     def _probe(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The table position of each fingerprint, or of the free place where it belongs; whether it is there."""
@@ -166,48 +190,73 @@ class PieceMemo:
             open_ = open_[~hit & (found != 0)]
         return at, there
 
-    def _add(self, h: int, ids: Sequence[int]) -> None:
-        at = h >> int(self._shift)
-        while self._keys[at]:
-            at = (at + 1) & self._mask
-        if self._count == len(self._start):
-            self._start = np.resize(self._start, 2 * self._count)
-            self._length = np.resize(self._length, 2 * self._count)
-        if self._used + len(ids) > len(self._pool):
-            self._pool = np.resize(self._pool, 2 * (self._used + len(ids)))
-        self._keys[at], self._slot_of[at] = h, self._count
-        self._start[self._count], self._length[self._count] = self._used, len(ids)
-        self._pool[self._used : self._used + len(ids)] = ids
-        self._used += len(ids)
-        self._count += 1
-
-    def ids(self, text: str, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all slices in a row, and how many each has."""
+    def _add(self, text: str, points: np.ndarray, begin: np.ndarray, size: np.ndarray, h: np.ndarray) -> None:
+        """Enters slices whose fingerprints are new and differ from each other."""
+        make = self._make
+        made = [make(text[b : b + n]) for b, n in zip(begin.tolist(), size.tolist())]
+        length = np.fromiter(map(len, made), np.int64, len(made))
+        ids = np.fromiter((i for own in made for i in own), np.uint32, int(length.sum()))
+        first = np.cumsum(size) - size
+        chars = points[np.repeat(begin - first, size) + np.arange(int(size.sum()))]
+        left = np.arange(len(h))
+        while len(left):  # of those that want one free place the first gets it
+            at, _ = self._probe(h[left])
+            place, won = np.unique(at, return_index=True)
+            self._keys[place], self._entry[place] = h[left[won]], self._count + left[won]
+            left = np.delete(left, won)
+        k, total = self._count, self._count + len(h)
+        for name, used, new in (
+            ("_start", k, self._used + np.cumsum(length) - length), ("_length", k, length),
+            ("_char_start", k, self._chars_used + first), ("_size", k, size),
+            ("_pool", self._used, ids), ("_chars", self._chars_used, chars),
+        ):
+            if used + len(new) > len(getattr(self, name)):
+                setattr(self, name, np.resize(getattr(self, name), 3 * (used + len(new)) // 2))
+            getattr(self, name)[used : used + len(new)] = new
+        self._used, self._chars_used, self._count = self._used + len(ids), self._chars_used + len(chars), total
+
+    def ids(self, text: str, points: np.ndarray, begin: np.ndarray, end: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all slices in a row, and how many each has. ``points`` are the characters of ``text``."""
+        size = end - begin
+        short = size <= LONGEST
         at, there = self._probe(h)
-        if not there.all():
-            miss = np.flatnonzero(~there)
-            new, where = np.unique(h[miss], return_index=True)
-            if self._count + len(new) > self._limit:
-                self._reset()
-                new, where = np.unique(h, return_index=True)
-                miss = np.arange(len(h))
-                self._limit = max(self._limit, len(new))
-                if 2 * len(new) > len(self._keys):
-                    self._reset()
-            where = miss[where]
-            for key, b, e in zip(new.tolist(), begin[where].tolist(), end[where].tolist()):
-                self._add(key, self._make(text[b:e]))
+        new = _firsts(h, short & ~there)
+        if self._count and self._count + len(new) > self._limit:
+            self._reset()
+            new = _firsts(h, short)
+        if len(new):
+            new = new[: self._limit]
+            self._add(text, points, begin[new], size[new], h[new])
             at, there = self._probe(h)
-        slot = self._slot_of[at]
-        length = self._length[slot].astype(np.int64)
-        total = np.cumsum(length)
-        source = np.repeat(self._start[slot] - (total - length), length) + np.arange(total[-1] if len(total) else 0)
-        return self._pool[source], length
-
-
-def slices(texts: Sequence[str], limit: int = 1 << 19) -> Iterator[list[tuple[int, str]]]:
+        entry = self._entry[at]
+        hit = np.flatnonzero(there & short & (self._size[entry] == size))
+        hit = hit[same_characters(points, begin[hit], size[hit], self._chars, self._char_start[entry[hit]])]
+        known = np.zeros(len(h), bool)
+        known[hit] = True
+        length, start = np.where(known, self._length[entry], 0).astype(np.int64), np.where(known, self._start[entry], 0)
+        rest, made = np.flatnonzero(~known).tolist(), {}
+        for k in rest:
+            piece = text[begin[k] : end[k]]
+            if piece not in made:
+                made[piece] = np.array(self._make(piece), np.uint32)
+            length[k] = len(made[piece])
+        until = np.cumsum(length)
+        source = np.repeat(start - (until - length), length) + np.arange(until[-1] if len(until) else 0)
+        out = self._pool.take(source, mode="clip")
+        for k in rest:
+            out[until[k] - length[k] : until[k]] = made[text[begin[k] : end[k]]]
+        return out, length
+
+
+def _firsts(h: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Where each distinct fingerprint among the marked ones comes first."""
+    at = np.flatnonzero(among)
+    return at[np.sort(np.unique(h[at], return_index=True)[1])]
+
+
+def slices(texts: Sequence[str], limit: int = 1 << 17) -> Iterator[list[tuple[int, str]]]:
     """Texts in order as groups of about ``limit`` characters; longer texts come in
-    parts, cut before a blank between two words, where every split pattern cuts."""
+    parts, cut where every split pattern cuts.  A text without such a place stays whole."""
     group, size = [], 0
     for k, text in enumerate(texts):
         at = 0
@@ -241,7 +290,7 @@ def split_ids(texts: Sequence[str], memo: PieceMemo, drop_spaces: bool) -> list[
         if not len(points):
             continue
         begin, end = boundaries(points, starts, drop_spaces)
-        ids, length = memo.ids(joined, begin, end, fingerprints(points, begin, end))
+        ids, length = memo.ids(joined, points, begin, end, fingerprints(points, begin, end))
         bounds = np.concatenate([[0], np.cumsum(length)])[np.searchsorted(begin, np.append(starts, len(points)))]
         for (k, _), a, b in zip(group, bounds[:-1].tolist(), bounds[1:].tolist()):
             if b > a:
@@ -267,21 +316,21 @@ class MemoEncoder:
     Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, limit: int = 1_500_000):
+    def __init__(self, path: str, limit: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
+        split = self.tokenizer.pre_tokenizer
+        pre = json.loads(split.__getstate__()) if split else {}
+        normal = self.tokenizer.normalizer
         steps = pre.get("pretokenizers", [pre])
         self.known, self.drop_spaces, self._normalize = False, False, None
         if len(steps) == 1 and steps[0].get("type") == "ByteLevel":
-            self.known = not spec.get("normalizer") and steps[0].get("use_regex", True) and not steps[0].get("add_prefix_space", True)
-        elif [s.get("type") for s in steps] == ["Split", "ByteLevel"] and spec.get("normalizer"):
+            self.known = not normal and steps[0].get("use_regex", True) and not steps[0].get("add_prefix_space", True)
+        elif [s.get("type") for s in steps] == ["Split", "ByteLevel"] and normal:
             self.known = self.drop_spaces = bool(steps[0].get("invert")) and steps[0].get("behavior") == "Removed"
-            self._normalize = self.tokenizer.normalizer.normalize_str
+            self._normalize = normal.normalize_str
         self._letters = byte_letters()
         self._tokenize = self.tokenizer.model.tokenize
         self._memo = PieceMemo(self._piece, limit)

@@ -1,15 +1,17 @@
 """Token ids on disk, compressed by Re-Pair grammars.
 
 A shard holds the ids of whole documents.  Frequent neighbours are replaced by
-new symbols, round after round; the rules and the expansion length of each are
-stored, so any token range of any document can be decoded without the rest.
-No rule spans two documents.
-
-Each round counts all neighbours and takes many rules at once.  Its pairs never
-compete for a symbol: a symbol is either first or second in the pairs of a round,
-or it is the repeated symbol of one pair (x, x), which takes every other place of
-a run.  So all replacements of a round are independent and the frequencies they
-were chosen by are exact (but for runs).
+new symbols until no pair of neighbours is left that occurs ``least`` times; the
+rules and the expansion length of each are stored, so any token range of any
+document can be decoded without the rest.  No rule spans two documents.
+
+Each round takes many rules at once.  Its pairs never compete for a symbol: a
+symbol is either first or second in the pairs of a round, or it is the repeated
+symbol of one pair (x, x), which takes every other place of a run.  So all
+replacements of a round are independent and the frequencies they were chosen by
+are exact (but for runs).  Symbols are a linked list: a round looks only at places
+whose pair was frequent in the round before or has a new symbol, since no other
+pair can have become frequent.
 
 Shard bytes, little-endian:
   magic ``RPT1``; uint32 base (first rule symbol), rules, bytes per symbol;
@@ -34,7 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import id_text, ship
+from ..session import scratch_path
+from .common import dropped, id_text, ship
 from .pretokens import encoder
 
 MAGIC = b"RPT1"
@@ -43,9 +46,9 @@ _BINS = 20
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
-    """The most frequent pairs of which none competes with a more frequent one."""
-    order = np.lexsort((pairs, -counts))[: 4 * most]
+def _choose(pairs: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The most frequent pairs of which none competes with a more frequent one, the most frequent first."""
+    order = np.lexsort((pairs, -counts))
     first, second, twice, out = set(), set(), set(), []
     for k, code in zip(order.tolist(), pairs[order].tolist()):
         x, y = code >> 32, code & 0xFFFFFFFF
@@ -59,64 +62,75 @@ def _choose(pairs: np.ndarray, counts: np.ndarray, most: int) -> np.ndarray:
             first.add(x)
             second.add(y)
         out.append(k)
-        if len(out) == most:
-            break
     return np.array(out, np.int64)
 
 
-def compress(seq: np.ndarray, last: np.ndarray, base: int, rounds: int = 4, most: int = 4000, least: int = 16):
+def _slots(code: np.ndarray) -> np.ndarray:
+    return (code * _SPREAD >> np.uint64(64 - _BINS)).astype(np.int32)
+
+
+def compress(seq: np.ndarray, last: np.ndarray, base: int, least: int = 16):
     """Replace frequent neighbours. ``last`` marks the last token of each document.
 
     Returns symbols, their ``last`` marks, and left, right and expansion length of each rule.
     """
-    left: list[np.ndarray] = []
-    right: list[np.ndarray] = []
-    n_rules = 0
-    lengths = np.zeros(0, np.uint32)
-    room = (1 << 16) - base if base < 1 << 15 or (1 << 16) - base >= 4096 else 1 << 30
-    for _ in range(rounds):
-        if len(seq) < 2 or n_rules >= room:
-            break
-        code = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
-        slot = ((code * _SPREAD) >> np.uint64(64 - _BINS)).astype(np.int32)
-        joined = ~last[:-1]
-        tally = np.bincount(slot[joined], minlength=1 << _BINS)
-        often = (tally >= least)[slot] & joined
-        pairs, counts = np.unique(code[often], return_counts=True)
-        keep = counts >= least
-        pairs, counts = pairs[keep], counts[keep]
-        chosen = pairs[_choose(pairs, counts, min(most, room - n_rules))] if len(pairs) else pairs
-        if not len(chosen):
+    n, n_rules = len(seq), 0
+    seq, last = seq.astype(np.uint32), last.copy()
+    follow, before = np.arange(1, n + 1, dtype=np.int32), np.arange(-1, n - 1, dtype=np.int32)
+    alive = np.ones(n, bool)
+    left, right, lengths = [], [], np.zeros(0, np.uint32)
+    place = np.full(1 << _BINS, -1, np.int32)  # by slot: a frequent pair of this round
+    at = np.flatnonzero(~last)
+    while len(at) >= least:
+        code = seq[at].astype(np.uint64) << np.uint64(32) | seq[follow[at]]
+        slot = _slots(code)
+        if len(at) > 1 << 17:  # pairs that share a slot are counted together here, so none is missed
+            often = (np.bincount(slot, minlength=1 << _BINS) >= least)[slot]
+            at, code, slot = at[often], code[often], slot[often]
+        pairs, counts = np.unique(code, return_counts=True)
+        pairs, counts = pairs[counts >= least], counts[counts >= least]
+        if not len(pairs):
             break
-        rule_at = np.full(1 << _BINS, -1, np.int32)
-        spot = ((chosen * _SPREAD) >> np.uint64(64 - _BINS)).astype(np.int64)
-        _, one = np.unique(spot, return_index=True)  # of pairs that share a slot the first, the more frequent
-        chosen, spot = chosen[np.sort(one)], spot[np.sort(one)]
-        rule_at[spot] = np.arange(len(chosen))
-        rule = rule_at[slot]
-        hit = (rule >= 0) & joined
-        hit[hit] = chosen[rule[hit]] == code[hit]
-        twin = hit & (seq[:-1] == seq[1:])
+        chosen = _choose(pairs, counts)
+        spot = _slots(pairs)
+        place[spot] = np.arange(len(pairs))
+        place[spot[chosen[::-1]]] = chosen[::-1]  # of chosen pairs that share a slot the more frequent one stays
+        chosen = chosen[place[spot[chosen]] == chosen]
+        rule_of = np.full(len(pairs), -1, np.int64)
+        rule_of[chosen] = np.arange(len(chosen))
+        own = place[slot]
+        place[spot] = -1
+        hit = own >= 0
+        at, code, own = at[hit], code[hit], own[hit]
+        rule = np.where(pairs[own] == code, rule_of[own], -1)
+        hit = rule >= 0
+        twin = hit & (code >> np.uint64(32) == code & np.uint64(0xFFFFFFFF))
         if twin.any():  # in a run of one symbol every other place
-            at = np.flatnonzero(twin)
-            begins = np.ones(len(at), bool)
-            begins[1:] = at[1:] != at[:-1] + 1
-            since = at - np.maximum.accumulate(np.where(begins, at, 0))
-            hit[at[since % 2 == 1]] = False
-        at = np.flatnonzero(hit)
-        seq, last = seq.copy(), last.copy()
-        seq[at] = (base + n_rules + rule[at]).astype(np.uint32)
-        last[at] = last[at + 1]
-        stay = np.ones(len(seq), bool)
-        stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
-        a, b = (chosen >> np.uint64(32)).astype(np.uint32), (chosen & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+            run = np.flatnonzero(twin)
+            begins = np.ones(len(run), bool)
+            begins[1:] = before[at[run[1:]]] != at[run[:-1]]
+            k = np.arange(len(run))
+            hit[run[(k - np.maximum.accumulate(np.where(begins, k, 0))) % 2 == 1]] = False
+        p = at[hit]
+        q = follow[p]
+        seq[p] = (base + n_rules + rule[hit]).astype(np.uint32)
+        last[p] = last[q]
+        alive[q] = False
+        after = follow[q]
+        follow[p] = after
+        inside = after < n
+        before[after[inside]] = p[inside]
+        again = np.zeros(n, bool)
+        again[at[~hit]] = again[p] = True
+        again[before[p[before[p] >= 0]]] = True
+        at = np.flatnonzero(again & alive & ~last)
+        a, b = (pairs[chosen] >> np.uint64(32)).astype(np.uint32), (pairs[chosen] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
         lengths = np.concatenate([lengths, expansion(a, lengths, base) + expansion(b, lengths, base)])
         left.append(a)
         right.append(b)
         n_rules += len(chosen)
     none = np.zeros(0, np.uint32)
-    return seq, last, np.concatenate([none, *left]), np.concatenate([none, *right]), lengths
+    return seq[alive], last[alive], np.concatenate([none, *left]), np.concatenate([none, *right]), lengths
 
 
 def expansion(symbols: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
@@ -195,10 +209,21 @@ class Shard:
         return expand(own[i:j], self.base, self.left, self.right)[skip : skip + end - begin]
 
 
-def _shards(tokenizer_path: str, end_id: int, base: int, shard_tokens: int):
+def _encoded(tokenizer_path: str, end_id: int, kind: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, shard, total = TaskContext.get().partitionId(), 0, 0
         enc = encoder(tokenizer_path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                ids = [np.append(x, np.uint32(end_id)).astype(kind).tobytes() for x in enc.encode(some.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+
+    return run
+
+
+def _shards(kind: str, base: int, shard_tokens: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, shard, total = TaskContext.get().partitionId(), 0, 0
         ids: list[int | None] = []
         docs: list[np.ndarray] = []
         size = 0
@@ -217,14 +242,13 @@ def _shards(tokenizer_path: str, end_id: int, base: int, shard_tokens: int):
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), kinds)], names=list(row))
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for doc_id, tokens in zip(some.column(0).to_pylist(), enc.encode(some.column(1).to_pylist())):
-                    ids.append(doc_id)
-                    docs.append(np.append(tokens, np.uint32(end_id)))
-                    size += len(tokens) + 1
-                    if size >= shard_tokens:
-                        yield flush()
+            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens = np.frombuffer(raw.as_buffer(), kind)
+                ids.append(doc_id)
+                docs.append(tokens.copy())  # a view would keep its whole batch
+                size += len(tokens)
+                if size >= shard_tokens:
+                    yield flush()
         if ids:
             yield flush()
 
@@ -245,25 +269,31 @@ def write_ids(
 ) -> None:
     """Encode whole texts, append ``end_id`` to each and write Re-Pair shards in ascending id order.
 
-    One range shuffle of id and text puts the documents in order; tokens are made after
-    it, once.  A null text is the empty text, rows with one id stay apart, null ids come
-    first, an empty table gives a table without shards.  Other columns are ignored.
-    A task holds one shard: ``shard_tokens`` tokens and its last document.
+    Tokens are made once, before any shuffle, and written to the shared folder, in 16 bits each where
+    the vocabulary allows it; one range shuffle of ids and tokens puts the documents in order.  A null
+    text is the empty text, rows with one id stay apart, null ids come first, an empty table gives a
+    table without shards.  Other columns are ignored.  A task holds one shard: ``shard_tokens``
+    tokens and its last document, so a long text makes a shard as long as its tokens.
     """
     from tokenizers import Tokenizer
 
+    spark = docs.sparkSession
     base = Tokenizer.from_file(tokenizer_path).get_vocab_size(with_added_tokens=True)
     base = max(base, end_id + 1)
-    ship(docs.sparkSession)
-    order = [F.col("doc_id"), F.xxhash64("text")]
-    rows = id_text(docs, id_col, text_col).repartitionByRange(*order).sortWithinPartitions(*order)
-    rows.mapInArrow(_shards(tokenizer_path, end_id, base, shard_tokens), SHARD_SCHEMA).write.parquet(path)
+    kind = "<u2" if base <= 1 << 16 else "<u4"
+    ship(spark)
+    scratch = scratch_path(spark, "repair-tokens")
+    id_text(docs, id_col, text_col).mapInArrow(_encoded(tokenizer_path, end_id, kind), "doc_id long, ids binary").write.parquet(scratch)
+    order = [F.col("doc_id"), F.xxhash64("ids")]
+    rows = spark.read.schema("doc_id long, ids binary").parquet(scratch).repartitionByRange(*order).sortWithinPartitions(*order)
+    rows.mapInArrow(_shards(kind, base, shard_tokens), SHARD_SCHEMA).write.parquet(path)
+    dropped(spark, scratch)
 
 
 def read_ids(spark: SparkSession, path: str, with_ids: bool = True) -> DataFrame:
     """Documents of Re-Pair shards: doc_id, start, n_tokens, ids_crc32, and ids unless told otherwise.
 
-    ``start`` counts the tokens of all documents before.  The parts' totals that this
+    ``start`` counts the tokens of all documents before.  A task expands one shard at a time.  The parts' totals that this
     takes are one row per file of the table, so their one-task window and their
     broadcast stay small whatever the shards hold.
     """
