@@ -137,7 +137,7 @@ class RankBpe:
     Those that are no token go to the heap, through a memo of what it has merged before.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 1 << 20):
         with open(path, "rb") as f:
             pairs = [line.split() for line in f if line.strip()]
         self.ranks = {base64.b64decode(a): int(b) for a, b in pairs}

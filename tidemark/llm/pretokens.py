@@ -160,7 +160,7 @@ class PieceMemo:
     has taken, are encoded by themselves, once per call.
     """
 
-    def __init__(self, make: Callable[[str], Sequence[int]], limit: int = 300_000):
+    def __init__(self, make: Callable[[str], Sequence[int]], limit: int = 1 << 20):
         self._make = make
         self._limit = limit
         self._reset()
@@ -171,8 +171,8 @@ class PieceMemo:
         self._mask = (1 << bits) - 1
         self._keys = np.zeros(1 << bits, np.uint64)
         self._entry = np.zeros(1 << bits, np.int32)
-        self._start, self._length = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
-        self._char_start, self._size = np.zeros(1024, np.int64), np.zeros(1024, np.int32)
+        self._start, self._length = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
+        self._char_start, self._size = np.zeros(1024, np.int32), np.zeros(1024, np.int32)
         self._pool, self._chars = np.zeros(4096, np.uint32), np.zeros(4096, np.uint32)
         self._used = self._chars_used = self._count = 0
 
@@ -230,10 +230,10 @@ class PieceMemo:
             at, there = self._probe(h)
         entry = self._entry[at]
         hit = np.flatnonzero(there & short & (self._size[entry] == size))
-        hit = hit[same_characters(points, begin[hit], size[hit], self._chars, self._char_start[entry[hit]])]
+        hit = hit[same_characters(points, begin[hit], size[hit], self._chars, self._char_start[entry[hit]].astype(np.int64))]
         known = np.zeros(len(h), bool)
         known[hit] = True
-        length, start = np.where(known, self._length[entry], 0).astype(np.int64), np.where(known, self._start[entry], 0)
+        length, start = np.where(known, self._length[entry], 0).astype(np.int64), np.where(known, self._start[entry], 0).astype(np.int64)
         rest, made = np.flatnonzero(~known).tolist(), {}
         for k in rest:
             piece = text[begin[k] : end[k]]
@@ -316,7 +316,7 @@ class MemoEncoder:
     Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, limit: int = 300_000):
+    def __init__(self, path: str, limit: int = 1 << 20):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
