@@ -14,10 +14,13 @@ from .bpe import encode_documents
 from .chat import PERSPECTIVES_SQL, mask_text, perspectives
 from .common import fold, table
 from .embeddedup import DUPLICATES_SQL, embedding_duplicates
+from .merkle import MERKLE_SQL, folded, manifest, siblings_hash
 from .packing import pack_documents
 from .repair import read_ids, write_ids
 from .simhash import near_duplicates
+from .substrings import PASSAGES_SQL, repeated_passages
 from .topk import TOP_K_SQL, top_k
+from .trie import TRIE_SQL, prefix_trie
 
 
 def op1_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +76,25 @@ def op10_randomness_battery(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, base, secrets.joined("spans").alias("spans"))
 
 
+def op11_nested_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    made = manifest(table(spark, sf_dir, "documents"), claimed={"text": F.when(chosen, lower).otherwise(F.col("text"))})
+    root = F.lit(made.root).alias("root")
+    proofs = made.proofs.select("doc_id", "leaf", "subroot", root, siblings_hash().alias("proof_sha256"), folded(F.coalesce("claim", "leaf")).alias("folded_root"))
+    return proofs.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_tree_contraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    base = F.col("conv_id") - F.col("conv_id") % 100
+    kept = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 6
+    return prefix_trie(table(spark, sf_dir, "conversations"), base, kept)
+
+
+def op13_suffix_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents"), window=50).drop("spans")
+
+
 QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repair": op1_repair,
     "op2_int8_tiles": op2_int8_tiles,
@@ -84,10 +106,16 @@ QUERIES_LLM: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_perspectives": op8_perspectives,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_randomness_battery": op10_randomness_battery,
+    "op11_nested_intervals": op11_nested_intervals,
+    "op12_tree_contraction": op12_tree_contraction,
+    "op13_suffix_automata": op13_suffix_automata,
 }
 
 ORACLE_LLM: dict[str, str] = {
     "op2_int8_tiles": DUPLICATES_SQL,
     "op3_uniform_threshold": TOP_K_SQL,
     "op8_perspectives": PERSPECTIVES_SQL,
+    "op11_nested_intervals": MERKLE_SQL,
+    "op12_tree_contraction": TRIE_SQL,
+    "op13_suffix_automata": PASSAGES_SQL,
 }

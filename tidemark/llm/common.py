@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import checkpoint_dir, scratch_path
 
@@ -58,6 +59,24 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ranked(df: DataFrame, group: list[str], order: list[str], name: str, rank: str = "rank") -> DataFrame:
+    """The rows with their place in their group, from 0, by ``order`` (nulls first).
+
+    Rows are range-sorted, so a large group spreads over many tasks; one row per group and
+    partition carries the places across.  Group columns hold no nulls.  Rows that are equal in
+    all of ``order`` come in any order.
+    """
+    part, at = f"{rank}_part", f"{rank}_at"
+    cols = [*group, *order]
+    placed = df.repartitionByRange(*map(F.col, cols)).sortWithinPartitions(*cols)
+    placed = stored(placed.withColumn(part, F.spark_partition_id()).withColumn(at, F.monotonically_increasing_id()), name)
+    firsts = placed.groupBy(*group, part).agg(F.min(at).alias("first"), F.count("*").alias("n"))
+    before = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shift = (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift")
+    joined = placed.join(firsts.select(*group, part, shift), [*group, part])
+    return joined.withColumn(rank, F.col(at) + F.col("shift")).drop(part, at, "shift")
+
+
 def dropped(spark: SparkSession, path: str) -> None:
     """Remove a table that ``stored`` wrote and that nothing reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -425,3 +425,18 @@ def _assembled(every: DataFrame, long: DataFrame, texts: DataFrame | None, windo
         return out.select(*cols)
     words = texts.mapInArrow(_words, "doc_id long, h1 long, h2 long, words binary").groupBy("h1", "h2").agg(F.first("words").alias("words"))
     return out.join(words, ["h1", "h2"]).select(*cols, F.coalesce("kept", F.decode("words", "utf-8")).alias("kept"))
+
+
+#: DuckDB SQL for the rows of the registered query, over all windows of all documents.
+PASSAGES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+x AS (SELECT row, doc_id, w, unnest(generate_series(1, len(w) - 49)) AS k FROM d WHERE doc_id IS NOT NULL),
+s AS (SELECT row, doc_id, k, md5(array_to_string(w[k:k + 49], ' ')) AS h FROM x),
+f AS (SELECT h, min(doc_id) AS least FROM s GROUP BY h),
+hit AS (SELECT s.row, s.k FROM s JOIN f USING (h) WHERE f.least < s.doc_id),
+gone AS (SELECT DISTINCT row, k + j AS pos FROM hit, generate_series(0, 49) AS g(j)),
+words AS (SELECT row, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+kept AS (SELECT row, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n FROM words ANTI JOIN gone USING (row, pos) GROUP BY row)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(kept.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (row)
+"""
