@@ -4,6 +4,7 @@ import base64
 import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -105,3 +106,38 @@ def test_battery_by_hand(spark):
         assert np.isclose(got[t].p_runs, 2 * tail(abs(z)), atol=1e-4)
         c = s - s.mean()
         assert np.isclose(got[t].p_serial, 2 * tail(abs(((c[:-1] * c[1:]).sum() / (c * c).sum() + 1 / n) * math.sqrt(n))), atol=1e-4)
+
+
+def test_benjamini_hochberg_equals_the_rule_on_p_values():
+    rng = random.Random(9)
+    for _ in range(200):
+        bins = [min(secrets.MAX_BIN, int(rng.expovariate(rng.choice([0.3, 0.05])))) for _ in range(rng.randint(1, 60))]
+        p = sorted(10 ** (-b / 10) for b in bins)
+        ok = [k for k in range(1, len(p) + 1) if p[k - 1] <= 0.05 * k / len(p)]
+        rejected = p[: max(ok, default=0)]
+        least = secrets.benjamini_hochberg({b: bins.count(b) for b in set(bins)}, 0.05)
+        assert sorted(10 ** (-b / 10) for b in bins if b >= least) == rejected
+
+
+def test_running_folds_equal_plain_ones(spark):
+    rng = random.Random(2)
+    rows = [([rng.randint(0, 99) for _ in range(n)],) for n in (1, 2, 63, 64, 65, 4095, 4096, 4097, 9000)]
+    df = spark.createDataFrame(rows, "x array<int>")
+    sums, most = (secrets.before_each("x", op, "0", "before") for op in ("a + x", "greatest(a, x)"))
+    for r in df.select("x", F.expr(sums).alias("s"), F.expr(most).alias("m")).collect():
+        assert r.s == [0, *np.cumsum(r.x)[:-1].tolist()] and r.m == [0, *np.maximum.accumulate(r.x)[:-1].tolist()]
+
+
+def test_work_grows_with_matches_and_not_their_square(spark):
+    rng = random.Random(7)
+    lines = "\n".join(f"token={rng.randbytes(8).hex()} x{k}" for k in range(100_000))
+    run = base64.b64encode(rng.randbytes(3_800_000)).decode()
+    rows = [(1, lines), (2, "key " + run + " end"), (3, lines[:50_000] + run[:9000])]
+    began = time.time()
+    found = secrets.scan(documents(spark, rows), spans_col="found")
+    sizes = {r.doc_id: (r.n, r.first) for r in found.select("doc_id", F.size("found").alias("n"), F.col("found")[0].alias("first")).collect()}
+    assert sizes[1][0] == 100_000 and sizes[2][0] == 1 and sizes[2][1].end - sizes[2][1].start == len(run)
+    clean = {r.doc_id: r.text for r in secrets.redact(found, spans_col="found").select("doc_id", "text").collect()}
+    assert clean[1].count("[SECRET]") == 100_000 and clean[2] == "key [SECRET] end"
+    assert clean[1].startswith("[SECRET] x0\n[SECRET] x1\n") and clean[1].endswith(" x99999")
+    assert time.time() - began < 120
