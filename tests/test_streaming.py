@@ -1,5 +1,6 @@
 """Streams equal batch: bars, SMA and runs over several micro-batches, whatever order the input comes in."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -11,6 +12,7 @@ from tidemark.sources import testdata as TD
 from tidemark.streaming import bars as SB
 from tidemark.streaming import sources as SS
 from tidemark.streaming import stateful as ST
+from tidemark.streaming.processors import trailing_means
 
 COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
 
@@ -36,101 +38,141 @@ def _unordered(spark, files=9):
     return t, path
 
 
-@pytest.mark.parametrize("period", ["hourly", "daily", "daily(+05:30)", "daily(Asia/Kolkata)", "daily(America/New_York)"])
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    """Every state partition starts a Python worker per batch; two are enough to see rows spread."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+@pytest.mark.parametrize("period", ["hourly", "daily(+05:30)", "daily(America/New_York)"])
 def test_stream_bars_keep_every_trade(spark, period):
-    t, path = _unordered(spark)
+    t, path = _unordered(spark, 4)
     stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
-    out = scratch_path(spark, "bars")
-    SB.stream_ohlcv(stream, out, scratch_path(spark, "ck"), period, merge_every=4).awaitTermination()
-    got = SB.read_bars(spark, out)
+    out, ck = scratch_path(spark, "bars"), scratch_path(spark, "ck")
+    SB.stream_ohlcv(stream, out, ck, period).awaitTermination()
+    got = SB.read_bars(spark, out, ck, period)
     assert _sorted(got.fillna("null"), COLS) == _sorted(B.periodic_ohlcv(t, period).fillna("null"), COLS)
     assert got.agg(F.sum("n")).first()[0] == t.where("ts IS NOT NULL").count()
 
 
-def test_stream_rollup_keeps_every_trade(spark):
-    t, path = _unordered(spark, 5)
-    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
-    out = scratch_path(spark, "bars")
-    SB.stream_ohlcv(stream, out, scratch_path(spark, "ck"), "hourly").awaitTermination()
-    got = SB.read_rollup(spark, out, "daily")
-    assert _sorted(got.fillna("null"), COLS) == _sorted(B.periodic_ohlcv(t, "daily").fillna("null"), COLS)
-
-
-def test_batch_table_runs_a_batch_again_and_removes_what_is_merged(spark):
-    from tidemark.streaming.tables import BatchTable, _complete
-
-    table = BatchTable(scratch_path(spark, "table"), lambda df: df.groupBy("k").agg(F.sum("n").alias("n")), every=3)
-    rows = lambda i: spark.createDataFrame([("a", 1), (None, i)], "k string, n long")
-    for i in [0, 1, 1, 2, 2, 3, 4, 5, 5, 6]:  # some run twice, as after a failure
-        table.write(rows(i), i)
-    total = table.read(spark, rows(0).schema).groupBy("k").agg(F.sum("n").alias("n"))
-    assert sorted(map(tuple, total.fillna("-", ["k"]).collect())) == [("-", 21), ("a", 7)]
-    found = _complete(spark, table.path)
-    assert found["upto"] == [5] and found["batch"] == [6]
-    assert BatchTable(scratch_path(spark, "none")).read(spark, rows(0).schema).count() == 0
+def test_final_bars_come_once_and_corrections_hold_the_rest(spark):
+    """In order of time nothing is corrected but what a file's border cuts; with a delay nothing at all."""
+    t = TD.trades(spark, SF_SMALL).where("ts IS NOT NULL")
+    days = sorted({r[0] for r in t.select(F.to_date("ts")).distinct().collect()})[:5]
+    t = t.where(F.to_date("ts").isin(days))
+    path = _ordered_batches(spark, t, days)
+    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
+    out, ck = scratch_path(spark, "bars"), scratch_path(spark, "ck")
+    SB.stream_ohlcv(stream, out, ck, "hourly", delay_s=2 * 86400, rollup="daily").awaitTermination()
+    rows = spark.read.parquet(out)
+    assert rows.where("kind = 'correction'").count() == 0
+    finals, whole = SB.read_final_bars(spark, out), B.periodic_ohlcv(t, "hourly")
+    assert finals.count() == finals.select("symbol", "begin").distinct().count() > 0
+    assert set(_sorted(finals, COLS)) < set(_sorted(whole, COLS))
+    open_ = SB.read_open_bars(spark, ck, "hourly")
+    assert _sorted(finals.unionByName(open_), COLS) == _sorted(whole, COLS)
+    daily = SB.read_final_bars(spark, out, "daily")
+    assert daily.count() > 0 and set(_sorted(daily, COLS)) <= set(_sorted(B.periodic_ohlcv(t, "daily"), COLS))
+
+
+def test_one_query_for_hours_and_days_starts_again_where_it_stopped(spark):
+    t, path = _unordered(spark, 1)
+    inbox, out, ck = (scratch_path(spark, x) for x in ("inbox", "bars", "ck"))
+    for k in range(2):  # two runs of one query
+        spark.read.schema(t.schema).parquet(path).where(f"seq % 2 = {k}").repartition(2).write.mode("append").parquet(inbox)
+        stream = SS.parquet_stream(spark, inbox, schema=t.schema, max_files_per_trigger=1)
+        SB.stream_ohlcv(stream, out, ck, "hourly", rollup="daily").awaitTermination()
+    for got, period in ((SB.read_bars(spark, out, ck), "hourly"), (SB.read_rollup(spark, out, ck), "daily")):
+        assert _sorted(got.fillna("null"), COLS) == _sorted(B.periodic_ohlcv(t, period).fillna("null"), COLS)
+    finals = SB.read_final_bars(spark, out)
+    assert finals.count() == finals.select("symbol", "begin").distinct().count()
+    with pytest.raises(ValueError):
+        SB.bars_stream(stream, "hourly", rollup="daily(Asia/Kolkata)")
 
 
 @pytest.fixture(scope="module")
 def multi_batch(spark):
     t = TD.trades(spark, SF_SMALL)
-    days = sorted({r[0] for r in t.select(F.to_date("ts")).distinct().collect()})[:6]
+    days = sorted({r[0] for r in t.select(F.to_date("ts")).distinct().collect()})[:11]
     t = t.where(F.to_date("ts").isin(days))
     return t, _ordered_batches(spark, t, days)
 
 
-def test_stream_sma_over_batches(spark, multi_batch):
+def _means(df):
+    return {(r.symbol, r.seq): r.price_sma_5 for r in df.collect()}
+
+
+def test_stream_sma_over_batches_and_a_restart(spark, multi_batch):
     t, path = multi_batch
+    out, ck = scratch_path(spark, "o"), scratch_path(spark, "ck")
     stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
-    out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
-    ST.stream_sma(stream, out, state, scratch_path(spark, "ck"), 5, "price").awaitTermination()
-    got = ST.read_outputs(spark, out)
-    assert spark.read.parquet(out).select("batch_id").distinct().count() > 1
-    exp = I.sma(t, "price", 5)
-    cols = ["symbol", "seq", "price_sma_5"]
-    g = {(r[0], r[1]): r[2] for r in got.select(*cols).collect()}
-    e = {(r[0], r[1]): r[2] for r in exp.select(*cols).collect()}
-    assert g.keys() == e.keys()
-    assert all(abs(g[k] - e[k]) < 1e-9 for k in e)
+    ST.stream_sma(stream, out, ck, 5, "price", stripe=64).awaitTermination()
+    more = t.withColumn("seq", F.col("seq") + 1_000_000).coalesce(1)
+    more.write.mode("append").parquet(path)
+    ST.stream_sma(stream, out, ck, 5, "price", stripe=64).awaitTermination()  # goes on from the checkpoint
+    got, want = _means(ST.read_outputs(spark, out)), _means(I.sma(t.unionByName(more), "price", 5))
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    assert ST.read_outputs(spark, out).count() == len(want)
 
 
 def test_stream_runs_over_batches(spark, multi_batch):
     t, path = multi_batch
-    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
-    out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
-    ST.stream_runs(stream, out, state, scratch_path(spark, "ck"), "hourly").awaitTermination()
+    t = spark.read.schema(t.schema).parquet(path)
+    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
+    out = scratch_path(spark, "o")
+    ST.stream_runs(stream, out, scratch_path(spark, "ck"), "hourly", stripe=128).awaitTermination()
     got = ST.finalize_runs(ST.read_outputs(spark, out))
     cols = ["symbol", "run_id", "begin", "end", *B.BAR_COLUMNS]
     assert _sorted(got, cols) == _sorted(B.ohlcv_runs(t, "hourly"), cols)
 
 
-def test_tails_stay_small_and_null_keys_follow(spark):
-    # symbols come and go over many batches; a key's tail is found again, old versions are removed
-    from tidemark.streaming.tables import _complete
-
-    out, state = scratch_path(spark, "o"), scratch_path(spark, "s")
-    handler = ST.StreamSma(out, state, 3, "price")
-    handler.tail._table.every = 4
-    t = spark.range(60).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id < 20 OR id > 50 THEN 'x' ELSE 'y' END AS symbol",
-                                   "id AS seq", "CAST(id AS DOUBLE) AS price")
-    for i in range(10):
-        handler(t.where(f"seq >= {6 * i} AND seq < {6 * i + 6}"), i)
-    got = {(r.symbol, r.seq): r.price_sma_3 for r in ST.read_outputs(spark, out).collect()}
-    want = {(r.symbol, r.seq): r.price_sma_3 for r in I.sma(t, "price", 3).collect()}
-    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
-    found = _complete(spark, state)
-    assert found["upto"] == [7] and sorted(found["batch"]) == [8, 9]
+@pytest.mark.parametrize("n, stripe", [(1, 7), (3, 4), (9, 4)])
+def test_sma_of_symbols_that_come_and_go(spark, n, stripe):
+    """Null symbols, missing and infinite values, stripes with fewer rows than a frame."""
+    t = spark.range(60).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN NULL WHEN id < 20 OR id > 50 THEN 'x' ELSE 'y' END AS symbol", "id AS seq",
+        "CASE WHEN id % 11 = 5 THEN NULL WHEN id = 33 THEN double('inf') ELSE id * 1.5D END AS price")
+    path = scratch_path(spark, "gaps")
+    for i in range(4):
+        t.where(f"seq >= {15 * i} AND seq < {15 * i + 15}").coalesce(1).write.mode("append").parquet(path)
+    stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
+    out = scratch_path(spark, "o")
+    ST.stream_sma(stream, out, scratch_path(spark, "ck"), n, out="price_sma_5", stripe=stripe).awaitTermination()
+    got, want = _means(ST.read_outputs(spark, out)), _means(I.moving_averages(t, "price", [n], names=["price_sma_5"]))
+    same = lambda a, b: a == b or a is None and b != b or b is None and a != a or abs(a - b) < 1e-9
+    assert got.keys() == want.keys() and all(same(got[k], want[k]) for k in want)
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 7])
+def test_trailing_means_equal_plain_sums(n):
+    rng = np.random.default_rng(n)
+    x = rng.normal(size=40) * 10.0 ** rng.integers(-8, 8, 40)
+    x[[3, 17]] = np.nan
+    x[25] = np.inf
+    got = trailing_means(x, n)
+    assert len(got) == 41 - n and len(trailing_means(x[: n - 1], n)) == 0
+    for i, g in enumerate(got):
+        own = [v for v in x[i : i + n] if v == v]
+        assert (g != g) if not own else g == pytest.approx(sum(own) / len(own), rel=1e-12)
 
 
 def test_csv_stream_in_arrival_order(spark):
     from tidemark.sources import records as R
     from tidemark.streaming import records as SR
 
-    root, out, state = (scratch_path(spark, x) for x in ("raw", "o", "s"))
+    root, folder, out = (scratch_path(spark, x) for x in ("raw", "numbered", "o"))
     hours = [5, 5, 6, 5, 7, 7, 5]
     for k, part in enumerate([hours[:3], hours[3:4], hours[4:]]):
         lines = [(f"{1442016000 + 3600 * h},{i}.0,1",) for i, h in enumerate(part)]
         spark.createDataFrame(lines, "value string").coalesce(1).write.mode("append").option("lineSep", "\n").text(f"{root}/symbol=s/f={k}")
     read = spark.readStream.option("lineSep", "\n").schema("value string, symbol string, f int").text(root)
-    SS.run_foreach_batch(read.selectExpr("value", "symbol", *R.SPLIT_COLUMNS), SR.OrderedTrades(ST.StreamRuns(out, state, "hourly")))
+    SS.run_foreach_batch(read.selectExpr("value", "symbol", *R.SPLIT_COLUMNS), SR.OrderedTrades(ST.to_folder(folder)))
+    numbered = SS.parquet_stream(spark, folder)
+    ST.stream_runs(numbered, out, scratch_path(spark, "ck"), "hourly").awaitTermination()
     bars = ST.finalize_runs(ST.read_outputs(spark, out)).orderBy("run_id").collect()
     assert [(r.run_id, r.begin.hour, r.n) for r in bars] == [(1, 5, 2), (2, 6, 1), (3, 5, 1), (4, 7, 2), (5, 5, 1)]
+    ST.to_folder(folder)(spark.range(3), 0)  # a batch that was written stays as it is
+    assert spark.read.parquet(folder).count() == 7

@@ -24,6 +24,8 @@ from .catalog import BIG_SQL, TRADES_SQL, ZONE, _bars_sql, _quotes_sql, _r6, _ru
 
 _BAR_COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
 QUOTES_SYMBOL = "purchase"
+#: Tasks that share a stream's state; the given tables have few symbols.
+STATE_PARTITIONS = 4
 QUOTES_AS_OF = dt.date(2024, 1, 30)
 
 
@@ -152,34 +154,43 @@ def _unordered_batches(spark, d):
     return SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=2)
 
 
-def _stream_bars(spark, d, period):
-    out = scratch_path(spark, "stream-bars")
-    SB.stream_ohlcv(_unordered_batches(spark, d), out, scratch_path(spark, "stream-ckpt"), period, merge_every=3).awaitTermination()
-    return out
+def _stream_bars(spark, d, period, rollup=None):
+    out, state = scratch_path(spark, "stream-bars"), scratch_path(spark, "stream-ckpt")
+    SB.stream_ohlcv(_unordered_batches(spark, d), out, state, period, rollup=rollup, partitions=STATE_PARTITIONS).awaitTermination()
+    return out, state
 
 
 def q_stream_ohlcv(spark, d):
-    return SB.read_bars(spark, _stream_bars(spark, d, "hourly")).select(*_BAR_COLS)
+    return SB.read_bars(spark, *_stream_bars(spark, d, "hourly")).select(*_BAR_COLS)
 
 
 def q_stream_ohlcv_zoned(spark, d):
-    return SB.read_bars(spark, _stream_bars(spark, d, f"daily({ZONE})")).select(*_BAR_COLS)
+    period = f"daily({ZONE})"
+    return SB.read_bars(spark, *_stream_bars(spark, d, period), period).select(*_BAR_COLS)
 
 
 def q_stream_rollup(spark, d):
-    return SB.read_rollup(spark, _stream_bars(spark, d, "hourly"), "daily").select(*_BAR_COLS)
+    """Hours and days from one query; the days."""
+    return SB.read_rollup(spark, *_stream_bars(spark, d, "hourly", "daily"), "daily").select(*_BAR_COLS)
+
+
+def q_stream_ohlcv_final(spark, d):
+    """Bars that the stream has closed, each of them emitted once, with what came later merged in, and those still open."""
+    out, state = _stream_bars(spark, d, "hourly")
+    final = SB.read_final_bars(spark, out)
+    rest = spark.read.parquet(out).where(F.col("kind") == "correction").select(*final.columns)
+    return B.merge_ohlcv(final.unionByName(rest).unionByName(SB.read_open_bars(spark, state)), SB.KEYS).select(*_BAR_COLS)
 
 
 def q_stream_sma(spark, d):
-    out, state = scratch_path(spark, "sma-out"), scratch_path(spark, "sma-state")
-    SS.run_foreach_batch(_events_stream(spark, d), ST.StreamSma(out, state, 10, "price"))
-    res = ST.read_outputs(spark, out)
-    return res.withColumn("price_sma_10", _r6(F.col("price_sma_10")))
+    out = scratch_path(spark, "sma-out")
+    ST.stream_sma(_events_stream(spark, d), out, scratch_path(spark, "sma-ckpt"), 10, "price", partitions=STATE_PARTITIONS).awaitTermination()
+    return ST.read_outputs(spark, out).withColumn("price_sma_10", _r6(F.col("price_sma_10")))
 
 
 def q_stream_runs(spark, d):
-    out, state = scratch_path(spark, "runs-out"), scratch_path(spark, "runs-state")
-    SS.run_foreach_batch(_orders_stream(spark, d), ST.StreamRuns(out, state, "daily", "prepend"))
+    out = scratch_path(spark, "runs-out")
+    ST.stream_runs(_orders_stream(spark, d), out, scratch_path(spark, "runs-ckpt"), "daily", "prepend", partitions=STATE_PARTITIONS).awaitTermination()
     return ST.finalize_runs(ST.read_outputs(spark, out))
 
 
@@ -195,8 +206,10 @@ def q_stream_csv_runs(spark, d):
     """Decode CSV files, split the trades into runs in arrival order, fold each run."""
     root = scratch_path(spark, "raw-files")
     _write_in_files(TD.trades_big(spark, d), root)
-    out, state = scratch_path(spark, "runs-out"), scratch_path(spark, "runs-state")
-    SS.run_foreach_batch(SR.stream_lines(spark, root), SR.OrderedTrades(ST.StreamRuns(out, state, "daily", "prepend")))
+    folder, out = scratch_path(spark, "numbered"), scratch_path(spark, "runs-out")
+    SS.run_foreach_batch(SR.stream_lines(spark, root), SR.OrderedTrades(ST.to_folder(folder)))
+    numbered = SS.parquet_stream(spark, folder)
+    ST.stream_runs(numbered, out, scratch_path(spark, "runs-ckpt"), "daily", "prepend", partitions=STATE_PARTITIONS).awaitTermination()
     return ST.finalize_runs(ST.read_outputs(spark, out))
 
 
@@ -258,6 +271,7 @@ ORACLE_IO: dict[str, str] = {
         f"AND date BETWEEN DATE '2024-01-23' AND DATE '{QUOTES_AS_OF.isoformat()}'"
     ),
     "stream_ohlcv": _bars_sql(_SPARSE_TRADES, "date_trunc('hour', ts)", "1 HOUR", "prepend"),
+    "stream_ohlcv_final": _bars_sql(_SPARSE_TRADES, "date_trunc('hour', ts)", "1 HOUR", "prepend"),
     "stream_ohlcv_zoned": _bars_sql(_SPARSE_TRADES, _zoned_begin("ts", ZONE), "24 HOUR", "prepend"),
     "stream_rollup": _bars_sql(_SPARSE_TRADES, "date_trunc('day', ts)", "1 DAY", "prepend"),
     "stream_sma": _sma_sql(10),
@@ -292,6 +306,7 @@ QUERIES_IO = {
     "quotes_api": q_quotes_api,
     "quotes_raw": q_quotes_raw,
     "stream_ohlcv": q_stream_ohlcv,
+    "stream_ohlcv_final": q_stream_ohlcv_final,
     "stream_ohlcv_zoned": q_stream_ohlcv_zoned,
     "stream_rollup": q_stream_rollup,
     "stream_sma": q_stream_sma,
