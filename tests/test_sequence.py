@@ -113,6 +113,33 @@ def test_no_window_grows_with_the_key(spark, kind, monkeypatch):
     assert out.select("id", "rn", "changed").exceptAll(want.select("id", "rn", "c")).count() == 0
 
 
+@pytest.mark.parametrize("kind", [*ORDERS, "one far value", "all equal", "exponential"])
+@pytest.mark.parametrize("descending", [False, True])
+def test_even_blocks_hold_their_share(spark, kind, descending):
+    order = {**ORDERS, "one far value": "IF(id = 7, -9223372036854775807, id)", "all equal": "5", "exponential": "CAST(exp(id / 1000.0) * 1000 AS BIGINT) * 20000 + id"}[kind]
+    df = spark.range(20_000).selectExpr("'hot' AS k", f"CAST({order} AS BIGINT) AS o", "id")
+    d, pk = S.with_blocks(df, "o", descending, block_size=250, keys=["k"], even=True)
+    sizes = [r["count"] for r in d.groupBy(*pk, S.BLK).count().collect()]
+    if kind != "all equal":
+        assert len(sizes) <= 2 * 20_000 / 250 + 2 and max(sizes) <= (1000 if kind != "exponential" else 10_000)
+        sign = "DESC" if descending else "ASC"
+        want = df.selectExpr("id", f"row_number() OVER (PARTITION BY k ORDER BY o {sign}) AS rn")
+        out = S.number_rows(df, ["k"], "o", "rn", descending=descending, block_size=250, even=True)
+        assert out.select("id", "rn").exceptAll(want).count() == 0
+    blocks = d.groupBy(S.BLK).agg(F.min(S.ORD).alias("a"), F.max(S.ORD).alias("b")).orderBy(S.BLK).collect()
+    assert all(x.b < y.a for x, y in zip(blocks, blocks[1:]))  # blocks follow the order
+
+
+def test_even_blocks_of_times_and_nulls(spark):
+    t = "CASE WHEN id % 10 = 0 THEN NULL WHEN id % 3 = 0 THEN timestamp_ntz'1971-01-01' + make_dt_interval(id) ELSE timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) END"
+    df = spark.range(3000).selectExpr("IF(id % 2 = 0, 'a', NULL) AS k", f"{t} AS t", "id")
+    out = S.number_rows(df, ["k"], "t", "rn", block_size=64)
+    want = df.where("t IS NOT NULL").selectExpr("id", "row_number() OVER (PARTITION BY k ORDER BY t) + 300 * int(id % 2 = 0) AS rn")
+    assert out.where("t IS NOT NULL").select("id", "rn").exceptAll(want).count() == 0
+    assert S.number_rows(df.where("t IS NULL"), ["k"], "t", "rn").count() == 300
+    assert S.number_rows(df.where("id < 0"), ["k"], "t", "rn").count() == 0
+
+
 def test_timestamp_order_is_split_too(spark):
     df = spark.range(5000).selectExpr("'hot' AS k", "timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, CAST(id * 3.7 AS DECIMAL(18,6))) AS t", "id")
     got = S.number_rows(df, ["k"], "t").where("rn != id + 1").count()

@@ -165,7 +165,7 @@ def q_row_position_ts(spark, d):
 
 def q_row_position_sparse(spark, d):
     t = TD.trades(spark, d).withColumn("wide", F.col("seq") * F.lit(1 << 22))
-    return number_rows(t, ["symbol"], "wide", "rn", with_total="n").select("symbol", "wide", "rn", "n")
+    return number_rows(t, ["symbol"], "wide", "rn", with_total="n", even=True).select("symbol", "wide", "rn", "n")
 
 
 def q_lag_change(spark, d):

@@ -16,6 +16,11 @@ operator here works on *blocks*: contiguous ranges of the order column
 4. a join of the summary back on ``(keys, block)`` (AQE broadcasts it when
    its measured size is small, otherwise it is a co-partitioned join).
 
+Where an order column is sparse or clumped, fixed ranges of it would hold a row or two
+each, and the summary would be as large as the input.  Timestamps, and other columns with
+``even=True``, are cut into blocks of about equal depth instead: a histogram of the column
+(mergeable, at most ``CELLS`` rows) says where blocks begin.
+
 Row frames (rows ``i .. i+n-1``) use global row numbers and fixed-size
 chunks with an ``n-1`` row halo copied from the next chunk, so every chunk is
 computed independently and the result is exact.
@@ -36,10 +41,12 @@ from ..session import scratch_path
 
 DEFAULT_BLOCK = 1 << 20  # ordinal units per block (seq values, days, microseconds)
 DEFAULT_CHUNK = 1 << 16  # rows per chunk for row frames
+CELLS = 4096  # cells of the histogram that even blocks are cut by
 FAN_OUT = 1 << 16  # blocks per range of blocks, at every level
 
 ORD, BLK = "_ord", "_blk"
 _FIRST = -(2**63)
+_FIRST_SQL = f"(-{2**63 - 1}L - 1L)"
 
 
 def _q(name: str) -> str:
@@ -95,7 +102,7 @@ def _zero_sql(dtype: T.DataType) -> str:
 
 def with_blocks(
     df: DataFrame, order_col: str, descending: bool = False, block_size: int = DEFAULT_BLOCK,
-    keys: Sequence[str] = (),
+    keys: Sequence[str] = (), even: bool | None = None,
 ) -> tuple[DataFrame, list[str]]:
     """Add ``_ord``, ``_blk`` and non-null key surrogates; return the partition key names.
 
@@ -107,10 +114,14 @@ def with_blocks(
     the big side again when the summary is too large to broadcast.
     Columns that an earlier call left for the same order, block size and keys
     are kept, so chained operators share one shuffle; others are replaced.
+    ``even`` (by default for timestamps) makes blocks of about ``block_size`` rows,
+    from two narrow aggregations over the order column, instead of ``block_size`` units.
     """
     if block_size <= 0:
         raise ValueError("block_size must be positive")
-    spec = {"sequence": f"{order_col} {descending} {int(block_size)} {list(keys)}"}
+    if even is None:
+        even = isinstance(df.schema[order_col].dataType, (T.TimestampType, T.TimestampNTZType))
+    spec = {"sequence": f"{order_col} {descending} {int(block_size)} {list(keys)} {even}"}
     if ORD in df.columns and df.schema[ORD].metadata == spec:
         return df, _partition_keys(df, keys)
     df = drop_blocks(df)
@@ -125,7 +136,43 @@ def with_blocks(
     df = df.withColumns({**extra, ORD: F.coalesce(ordinal(df, order_col, descending), spread)})
     df = df.withColumn(ORD, F.col(ORD).alias(ORD, metadata=spec))
     b = int(block_size)
-    return df.withColumn(BLK, F.expr(f"({ORD} - pmod({ORD}, {b}L)) div {b}L")), _partition_keys(df, keys)
+    block = f"({ORD} - pmod({ORD}, {b}L)) div {b}L"
+    if even:
+        cells = _even_blocks(df, ordinal(df, order_col, descending), b)
+        block = f"CASE WHEN {_q(order_col)} IS NULL THEN {block} ELSE {cells} END" if cells else block
+    return df.withColumn(BLK, F.expr(block)), _partition_keys(df, keys)
+
+
+def _even_blocks(df: DataFrame, order: Column, block_rows: int) -> str | None:
+    """SQL for blocks of about ``block_rows`` rows from a histogram of the order; None if there are no rows.
+
+    Cells of few rows share a block, a cell of many is cut evenly between its own least and greatest
+    value.  So a block holds more than twice its share only where values clump within a cell.
+    """
+    rows = df.select(order.alias("o")).where("o IS NOT NULL")
+    span = rows.agg(F.min("o").alias("a"), F.max("o").alias("b")).first()
+    if span["a"] is None:
+        return None
+    first, width = span["a"], (span["b"] - span["a"]) // CELLS + 1
+    # halves keep the distance of far values within 64 bits
+    cell = f"least(greatest((o div 2 - {first // 2}L) div {max(1, width // 2)}L, 0L), {CELLS - 1}L)"
+    found = rows.groupBy(F.expr(cell).alias("cell")).agg(F.count("*").alias("n"), F.min("o").alias("a"), F.max("o").alias("b")).collect()
+    base, low, step = [0] * CELLS, [0] * CELLS, [1 << 62] * CELLS
+    block, filled = 0, 0
+    for r in sorted(found, key=lambda r: r["cell"]):
+        k, n = r["cell"], r["n"]
+        if filled and filled + n > block_rows:
+            block, filled = block + 1, 0
+        base[k], low[k] = block, r["a"]
+        parts = -(-n // block_rows)
+        if parts > 1:
+            step[k] = (r["b"] - r["a"]) // parts + 1
+            block, filled = block + parts, 0
+        else:
+            filled += n
+    at = cell.replace("o div 2", f"{ORD} div 2")
+    pick = lambda values: f"array({', '.join(f'{v}L' if v > -(1 << 63) else _FIRST_SQL for v in values)})[{at}]"
+    return f"{pick(base)} + ({ORD} div 2 - {pick(low)} div 2) div greatest({pick(step)} div 2, 1L)"
 
 
 def _partition_keys(df: DataFrame, keys: Sequence[str]) -> list[str]:
@@ -203,6 +250,7 @@ def prefix_sums(
     *,
     descending: bool = False,
     block_size: int = DEFAULT_BLOCK,
+    even: bool | None = None,
     with_total: str | None = None,
     keep_blocks: bool = False,
 ) -> DataFrame:
@@ -212,7 +260,7 @@ def prefix_sums(
     ``with_total`` names an extra column holding the key's grand total of the
     first sum (e.g. the row count when summing 1).
     """
-    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    d, pk = with_blocks(df, order_col, descending, block_size, keys, even)
     outs = list(sums)
     d = d.withColumns({f"_v_{o}": (F.expr(v) if isinstance(v, str) else v) for o, v in sums.items()})
     d = d.withColumns({f"_in_{o}": F.expr(f"sum(_v_{o}) {_over_block(pk, _RUNNING)}") for o in outs})
@@ -239,13 +287,14 @@ def number_rows(
     *,
     descending: bool = False,
     block_size: int = DEFAULT_BLOCK,
+    even: bool | None = None,
     with_total: str | None = None,
     keep_blocks: bool = False,
 ) -> DataFrame:
     """1-based position of each row within its key (W7); optionally the key's row count."""
     return prefix_sums(
         df, keys, order_col, {out: "1L"},
-        descending=descending, block_size=block_size, with_total=with_total, keep_blocks=keep_blocks,
+        descending=descending, block_size=block_size, even=even, with_total=with_total, keep_blocks=keep_blocks,
     )
 
 
@@ -263,11 +312,12 @@ def with_previous(
     *,
     descending: bool = False,
     block_size: int = DEFAULT_BLOCK,
+    even: bool | None = None,
     prefix: str = "prev_",
     keep_blocks: bool = False,
 ) -> DataFrame:
     """``lag(col)`` per key in order, across block boundaries."""
-    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    d, pk = with_blocks(df, order_col, descending, block_size, keys, even)
     lags = {"_first_in_blk": F.expr(f"lag({ORD}) {_over_block(pk)} IS NULL")}
     lags.update({f"_lag_{c}": F.expr(f"lag({_q(c)}) {_over_block(pk)}") for c in cols})
     d = d.withColumns(lags)
@@ -385,6 +435,7 @@ def segment_ids(
     *,
     descending: bool = False,
     block_size: int = DEFAULT_BLOCK,
+    even: bool | None = None,
     seed_col: str | None = None,
 ) -> DataFrame:
     """Number the consecutive runs of equal ``value_col`` per key in order (1, 2, ...).
@@ -394,7 +445,7 @@ def segment_ids(
     the summary give every block its starting run id.  ``seed_col`` adds an
     extra increment at a row (used to continue run ids across stream batches).
     """
-    d, pk = with_blocks(df, order_col, descending, block_size, keys)
+    d, pk = with_blocks(df, order_col, descending, block_size, keys, even)
     v = _q(value_col)
     has_prev = f"lag({ORD}) {_over_block(pk)} IS NOT NULL"
     prev = f"lag({v}) {_over_block(pk)}"
