@@ -1,5 +1,8 @@
 """Perspective rotation against a plain rendering."""
 
+import hashlib
+import random
+
 from tidemark.llm.chat import END, START, perspectives
 
 COLUMNS = "conv_id long, turn int, role string, text string, part int, speaker string, messages string"
@@ -30,7 +33,8 @@ ROWS = [
 
 def render(rows, block):
     out = {}
-    order = lambda m: tuple((v is not None, v) for v in m[1:])
+    digest = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
+    order = lambda m: tuple((v is not None, v) for v in (m[1], m[2], digest(m[3])))
     for conv in {r[0] for r in rows}:
         own = sorted((r for r in rows if r[0] == conv), key=order)
         for speaker in {r[2] for r in own} - {None, "system"}:
@@ -55,6 +59,23 @@ def test_every_perspective(spark):
         assert len(got) == len(want)
 
 
+def test_many_messages_of_one_turn_and_role_keep_one_order(spark):
+    """Whatever partitions they fall into."""
+    rng = random.Random(6)
+    rows = [(1, 1, rng.choice("ab"), f"message {rng.randint(0, 900)} of {k % 700}") for k in range(3000)]
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.shuffle.partitions")}
+    want = render(rows, 256)
+    try:
+        for partitions in ("8", "3"):
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = perspectives(frame(spark, rows)).collect()
+            assert {(r.conv_id, r.speaker, r.part): (r.n_messages, r.text, [tuple(s) for s in r.mask]) for r in got} == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_mask_covers_only_the_speaker(spark):
     for r in perspectives(frame(spark, ROWS)).collect():
         for a, b in r.mask:

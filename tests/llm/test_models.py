@@ -1,5 +1,6 @@
 """Language ID and the quality classifier: awkward rows, held-out accuracy, hand-checked parts."""
 
+import math
 import random
 
 import numpy as np
@@ -69,6 +70,56 @@ def test_document_frequencies_count_every_text_once(spark):
     assert df.sum() == sum(len(langid.counted(t, 15)[0]) for (t,) in texts if t)
 
 
+def test_leader_equals_a_plain_coordinate_loop():
+    rng = np.random.default_rng(5)
+    k, size, alpha, beta, l1, l2 = 3, 40, 0.5, 1.0, 0.02, 0.5
+    rows = []
+    for _ in range(60):
+        at = np.sort(rng.choice(size, rng.integers(1, 9), replace=False))
+        rows.append((int(rng.integers(k)), at, rng.random(len(at)).astype("f4")))
+    idf = 1 + rng.random(size)
+    model = langid.train(langid.LanguageModel(list("abc"), 15, idf, np.zeros((size, k)), np.zeros(k)), lambda: iter(rows), 2, alpha, beta, l1, l2)
+    z, n = [[0.0] * k for _ in range(size + 1)], [[0.0] * k for _ in range(size + 1)]  # the last row: the biases
+
+    def weight(i, c):
+        a, b = (l1, l2) if i < size else (0.0, 0.0)
+        if abs(z[i][c]) <= a:
+            return 0.0
+        return -(z[i][c] - math.copysign(a, z[i][c])) / ((beta + math.sqrt(n[i][c])) / alpha + b)
+
+    for _ in range(2):
+        for r, (y, at, tf) in enumerate(rows):
+            if r % 5 == 4:
+                continue
+            x = {int(i): float(t) * idf[i] for i, t in zip(at, tf)}
+            norm = math.sqrt(sum(v * v for v in x.values()))
+            x = {i: v / norm for i, v in x.items()} | {size: 1.0}
+            w = {i: [weight(i, c) for c in range(k)] for i in x}
+            e = [math.exp(sum(x[i] * w[i][c] for i in x)) for c in range(k)]
+            for i, v in x.items():
+                for c in range(k):
+                    g = v * (e[c] / sum(e) - (c == y))
+                    z[i][c] += g - (math.sqrt(n[i][c] + g * g) - math.sqrt(n[i][c])) / alpha * w[i][c]
+                    n[i][c] += g * g
+    want = np.array([[weight(i, c) for c in range(k)] for i in range(size + 1)])
+    assert np.allclose(model.weights, want[:-1], atol=1e-5) and np.allclose(model.bias, want[-1], atol=1e-5)
+    assert (model.weights == 0).any() and model.temperature > 0
+
+
+def test_three_hundred_languages_in_chunks_or_at_once(spark):
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{k:03}": ["".join(rng.choices(letters, k=6)) for _ in range(4)] for k in range(300)}
+    rows = [(i, " ".join(rng.choices(words[f"l{i % 300:03}"], k=12)), f"l{i % 300:03}") for i in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(docs, F.lit(True))
+    assert model.languages == sorted(words)
+    right = [r.lang == r.lang_pred for r in langid.identify(docs, model).collect()]
+    assert sum(right) > 0.97 * len(right)
+    chunks = langid.fit(docs, F.lit(True), chunk_rows=700, chunk_bytes=0)
+    assert np.allclose(chunks.weights, model.weights, atol=1e-6) and chunks.temperature == model.temperature
+
+
 def test_temperature_lowers_the_loss():
     rng = np.random.default_rng(1)
     target = rng.integers(0, 3, 500)

@@ -107,13 +107,6 @@ def test_index_finds_every_pair(spark, bits):
     assert sorted(map(sorted, classes.values())) == sorted(map(sorted, expected.values()))
 
 
-def test_tally_counts_equal_bytes():
-    rng = np.random.default_rng(1)
-    a, b = rng.integers(0, 4, (500, 8), np.uint8), rng.integers(0, 4, (500, 8), np.uint8)
-    x = a.view(np.uint64).ravel() ^ b.view(np.uint64).ravel()
-    assert simhash.tally(x).tolist() == (a == b).sum(axis=1).tolist()
-
-
 def vector_rows():
     rng = np.random.default_rng(4)
     rows, k = [], 0

@@ -31,8 +31,9 @@ def numbered_messages(messages: DataFrame, conv_col: str, turn_col: str, role_co
         F.col(role_col).cast("string").alias("role"),
         F.col(text_col).cast("string").alias("text"),
     )
-    order = ["conv_id", "turn", "role", "text"]
-    ranged = rows.repartitionByRange(F.col("conv_id"), F.col("turn"), F.col("role"), F.xxhash64("text")).sortWithinPartitions(*order)
+    rows = rows.withColumn("digest", F.md5(F.col("text").cast("binary")))
+    order = ["conv_id", "turn", "role", "digest"]  # the same order between partitions as within them
+    ranged = rows.repartitionByRange(*map(F.col, order)).sortWithinPartitions(*order).drop("digest")
     placed = stored(ranged.withColumn("part", F.spark_partition_id()).withColumn("at", F.monotonically_increasing_id()), "messages")
     firsts = placed.groupBy("conv_id", "part").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     before = Window.partitionBy("conv_id").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -63,7 +64,7 @@ def perspectives(
 
     Participants are the distinct roles but system.  A null role takes no perspective and is a user
     without a name; a null text is empty; marker strings in names and texts are broken up by a
-    blank.  Messages are ordered by turn (null first), role and text; repeated messages are all
+    blank.  Messages are ordered by turn (null first), role and the MD5 of the text; repeated messages are all
     rendered.  Messages without a conversation id are one conversation without an id.  An empty
     table gives an empty result.  Other columns are ignored.
     """
@@ -99,7 +100,7 @@ def mask_text(mask: str = "mask") -> Column:
 PERSPECTIVES_SQL = f"""
 WITH m AS (
   SELECT conv_id, role, replace(coalesce(text, ''), '<|im_', '{BROKEN}im_') || '{END}' AS said,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS pos
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, md5(text) NULLS FIRST) - 1 AS pos
   FROM conversations),
 p AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE role IS NOT NULL AND role <> '{SYSTEM}'),
 r AS (

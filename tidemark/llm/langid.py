@@ -9,7 +9,7 @@ that sample which training does not see calibrates the probabilities.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .common import ship
+from ..session import scratch_path
+from .common import ship, stored
 from .pretokens import LETTER, classes
 
 UNKNOWN = "und"
@@ -106,28 +107,30 @@ def best_temperature(logits: np.ndarray, target: np.ndarray) -> float:
 
 def train(
     model: LanguageModel,
-    rows: list[tuple[int, np.ndarray, np.ndarray]],
+    rows: Callable[[], Iterable[tuple[int, np.ndarray, np.ndarray]]],
     epochs: int = 3,
     alpha: float = 0.5,
     beta: float = 1.0,
     l1: float = 0.02,
     l2: float = 0.5,
 ) -> LanguageModel:
-    """Follow the regularised leader over (language, n-grams, frequencies); every fifth row only calibrates."""
+    """Follow the regularised leader over (language, n-grams, frequencies), in the order given, once per epoch.
+
+    ``rows`` gives them anew each time, so they need not be held at once.  Every fifth row is not
+    learned from: the temperature is fitted on those (fewer than five rows have none).
+    """
     size, k = len(model.idf), len(model.languages)
     z, n = np.zeros((size, k)), np.zeros((size, k))
     zb, nb = np.zeros(k), np.zeros(k)
-    held = rows[::5] if len(rows) >= 5 else []
-    own = [r for i, r in enumerate(rows) if i % 5] if held else rows
 
     def weights(z: np.ndarray, n: np.ndarray, l1: float, l2: float) -> np.ndarray:
         step = (beta + np.sqrt(n)) / alpha + l2
         return np.where(np.abs(z) <= l1, 0.0, -(z - np.sign(z) * l1) / step)
 
-    order = np.random.default_rng(7)
     for _ in range(epochs):
-        for i in order.permutation(len(own)).tolist():
-            y, at, tf = own[i]
+        for i, (y, at, tf) in enumerate(rows()):
+            if i % 5 == 4:
+                continue
             x = model.features(at, tf)
             za, na = z[at], n[at]
             w, b = weights(za, na, l1, l2), weights(zb, nb, 0.0, 0.0)
@@ -141,9 +144,9 @@ def train(
             zb += wrong - (np.sqrt(m2) - np.sqrt(nb)) / alpha * b
             nb = m2
     model.weights, model.bias = weights(z, n, l1, l2), weights(zb, nb, 0.0, 0.0)
+    held = [(y, model.features(at, tf) @ model.weights[at] + model.bias) for i, (y, at, tf) in enumerate(rows()) if i % 5 == 4]
     if held:
-        logits = np.stack([model.features(at, tf) @ model.weights[at] + model.bias for _, at, tf in held])
-        model.temperature = best_temperature(logits, np.array([y for y, _, _ in held]))
+        model.temperature = best_temperature(np.stack([x for _, x in held]), np.array([y for y, _ in held]))
     return model
 
 
@@ -181,29 +184,33 @@ def fit(
     lang_col: str = "lang",
     bits: int = 15,
     per_language: int = 1000,
-    max_languages: int = 200,
+    chunk_rows: int = 500,
+    chunk_bytes: int = 1 << 26,
 ) -> LanguageModel:
     """Fit a model on the rows where ``may_learn`` holds.
 
-    The weights come from at most ``per_language`` rows of each of the ``max_languages``
-    most frequent languages, taken by the hash of id and text; document frequencies cover
-    all rows one may learn from.  Null languages are not learned; texts without a letter
-    teach nothing.  Without any row to learn from the model knows no language.
+    The weights come from at most ``per_language`` rows of every language, taken by the hash of id
+    and text; document frequencies cover all rows one may learn from.  The n-grams of those rows are
+    written and come to the driver ``chunk_rows`` at a time, in each epoch anew (all at once where
+    they have at most ``chunk_bytes``; the model is the same); the model itself has 2**bits weights for each language.  A long text is counted whole, as one array of its
+    n-grams.  Null languages are not learned; texts without a letter teach nothing.  Without any
+    row to learn from the model knows no language.
     """
+    spark = docs.sparkSession
     open_rows = docs.where(may_learn).select(
         F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("hash")
     )
-    counts = open_rows.where("lang IS NOT NULL").groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages).collect()
-    languages = sorted(r["lang"] for r in counts)
+    known = open_rows.where("lang IS NOT NULL")
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    languages = sorted(r["lang"] for r in counts.select("lang").collect())  # as many as the model gets columns
     df, n_docs = document_frequencies(open_rows, "text", bits)
     idf = np.log((1 + n_docs) / (1 + df)) + 1
     model = LanguageModel(languages, bits, idf, np.zeros((1 << bits, len(languages))), np.zeros(len(languages)))
     if not languages:
         return model
     # three times the wanted rows by a bound on the hash, of these the first by the hash
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 3.0 * per_language / r["n"]))])
     spread = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
-    wanted = open_rows.where(F.col("lang").isin(languages)).where(spread < share[F.col("lang")])
+    wanted = known.join(counts, "lang").where(spread < 3.0 * per_language / F.col("n")).select("lang", "hash", "text")
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = wanted.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("lang", "hash", "text")
 
@@ -217,16 +224,34 @@ def fit(
             arrays = [batch.column("lang"), batch.column("hash"), pa.array(at, pa.binary()), pa.array(tf, pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["lang", "hash", "at", "tf"])
 
-    sample = chosen.mapInArrow(run, "lang string, hash long, at binary, tf binary").collect()  # per_language * languages rows
+    made = stored(chosen.mapInArrow(run, "lang string, hash long, at binary, tf binary").where("length(at) > 0"), "language-rows")
+    size = made.agg(F.count("*").alias("n"), F.sum(F.length("at") + F.length("tf")).alias("bytes")).first()
+    n_chunks = 1 if (size["bytes"] or 0) <= chunk_bytes else -(-size["n"] // chunk_rows)
+    path = scratch_path(spark, "language-order")
+    made.repartitionByRange(n_chunks, "hash", "lang").sortWithinPartitions("hash", "lang").write.parquet(path)
+    files = sorted(spark.read.parquet(path).inputFiles(), key=lambda f: f.rsplit("/", 1)[-1])  # numbered in the order of the ranges
     number = {lang: k for k, lang in enumerate(languages)}
-    rows = [(number[r["lang"]], np.frombuffer(r["at"], "<i4"), np.frombuffer(r["tf"], "<f4")) for r in sorted(sample, key=lambda r: (r["hash"], r["lang"]))]
-    return train(model, [r for r in rows if len(r[1])])
+    held: list[list[tuple[int, np.ndarray, np.ndarray]]] = []
+
+    def rows() -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        if held:
+            yield from held[0]
+            return
+        for f in files:
+            part = spark.read.schema(made.schema).parquet(f).collect()
+            own = [(number[r["lang"]], np.frombuffer(r["at"], "<i4"), np.frombuffer(r["tf"], "<f4")) for r in sorted(part, key=lambda r: (r["hash"], r["lang"]))]
+            if len(files) == 1:
+                held.append(own)  # one chunk needs no second reading
+            yield from own
+
+    return train(model, rows)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang_pred", score_col: str = "score") -> DataFrame:
     """The rows with the predicted language and its probability; only the text decides.
 
-    Null texts and texts without a letter are ``und`` with 0.  Columns of the input that have
+    Null texts and texts without a letter are ``und`` with 0.  A long text is one array of n-grams in
+    its task.  Columns of the input that have
     the new names are replaced.
     """
     ship(docs.sparkSession)

@@ -4,9 +4,8 @@ Two 64-bit fingerprints that differ in at most ``max_bits`` bits differ in at mo
 that many of their 8 bytes, so they share at least ``8 - max_bits`` positional
 bytes.  A single positional byte has only 256 values, far too few for a list to
 stay short, so the index posts every distinct fingerprint under each combination
-of that guaranteed number of positions with the bytes it has there.  Pairs that
-meet in a list have their shared positional bytes tallied, those that reach the
-minimum are retained, and the Hamming distance verifies them.
+of that guaranteed number of positions with the bytes it has there.  Meeting in a list is
+reaching the guaranteed count; the Hamming distance verifies the pair.
 
 A list holds distinct fingerprints that agree everywhere but in ``max_bits`` bytes:
 at most 2**(8 * max_bits) of them (65,536 for two bits) however many documents
@@ -29,8 +28,6 @@ from .common import id_text, ship, stored
 from .components import components
 from .vectors import numbered
 
-_HIGH = np.uint64(0x8080808080808080)
-_LOW = np.uint64(0x7F7F7F7F7F7F7F7F)
 
 
 def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
@@ -68,12 +65,6 @@ def fingerprints(docs: DataFrame, text_col: str = "text", fp_col: str = "fp", sh
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(fp_col, T.LongType())]))
 
 
-def tally(difference: np.ndarray) -> np.ndarray:
-    """How many of the 8 positional bytes agree, from the exclusive or of two fingerprints."""
-    differing = (((difference & _LOW) + _LOW) | difference) & _HIGH
-    return 8 - np.bitwise_count(differing)
-
-
 def list_links(fps: np.ndarray, max_bits: int, tile: int = 1024) -> list[tuple[int, int]]:
     """A spanning forest of the links within one list of distinct fingerprints."""
     n = len(fps)
@@ -89,8 +80,7 @@ def list_links(fps: np.ndarray, max_bits: int, tile: int = 1024) -> list[tuple[i
     for i in range(0, n, tile):
         for j in range(i, n, tile):
             xor = fps[i : i + tile, None] ^ fps[None, j : j + tile]
-            retained = tally(xor) >= 8 - max_bits
-            x, y = np.nonzero(retained & (np.bitwise_count(xor) <= max_bits))
+            x, y = np.nonzero(np.bitwise_count(xor) <= max_bits)
             x, y = x + i, y + j
             for p, q in zip(x[x < y].tolist(), y[x < y].tolist()):
                 p, q = find(p), find(q)
@@ -165,7 +155,8 @@ def near_duplicates(
     is the smallest doc_id reachable over links, the row's own included.
 
     Texts without words (null, empty, blank) have fingerprint zero and are linked like any
-    others.  Equal texts share a fingerprint and are handled as one.  Rows that repeat an id
+    others.  Equal texts share a fingerprint and are handled as one.  A long text is hashed
+    in parts of 2**16 shingles; its words are held whole in one task.  Rows that repeat an id
     are all returned.  Null ids are never a component_id, unless a component has no other.
     An empty table gives an empty result.  Other columns are ignored.
     """
