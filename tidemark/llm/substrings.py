@@ -341,7 +341,7 @@ def repeated_passages(
     window: int = 50,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shard_windows: int = 1 << 15,
+    shard_windows: int = 1 << 13,
     with_text: bool = False,
 ) -> DataFrame:
     """What repeats in every row: doc_id, n_words, n_removed, spans, kept_sha256, and with ``with_text`` kept.
