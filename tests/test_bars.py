@@ -165,3 +165,39 @@ def test_trades_without_a_time_belong_to_no_run(spark):
     for period in ("daily", "daily(America/New_York)", "daily(+05:30)"):
         bars = B.ohlcv_runs(df, period).orderBy("run_id").collect()
         assert [(r.symbol, r.run_id, r.n) for r in bars] == [("a", 1, 2), ("a", 2, 1)] and all(r.begin for r in bars)
+
+
+def _single_pass(trades, zone):
+    """The rule of one pass over the trades: stay while the current interval contains the trade."""
+    from zoneinfo import ZoneInfo
+
+    tz, day, out, cur, run = ZoneInfo(zone), dt.timedelta(days=1), [], None, 0
+    for ts in trades:
+        if cur is None or not cur <= ts < cur + day:
+            local = ts.replace(tzinfo=dt.timezone.utc).astimezone(tz).replace(hour=0, minute=0, second=0, microsecond=0)
+            new = local.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        else:
+            new = cur
+        run += new != cur
+        cur = new
+        out.append((run, cur))
+    return out
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending", "shuffled"])
+@pytest.mark.parametrize("block", [2, 5, 16])
+def test_runs_that_keep_contained_trades(spark, order, block):
+    import random
+
+    zone, rng = "America/New_York", random.Random(block)
+    spring, autumn = dt.datetime(2024, 3, 10, 5), dt.datetime(2024, 11, 3, 4)
+    times = [d + dt.timedelta(minutes=rng.choice([rng.randint(-1500, 3000), rng.randint(22 * 60, 25 * 60), rng.randint(23 * 60, 24 * 60)])) for d in [spring, autumn, dt.datetime(2023, 3, 12, 5)] for _ in range(60)]
+    times = {"ascending": sorted, "descending": lambda x: sorted(x, reverse=True), "shuffled": lambda x: rng.sample(x, len(x))}[order](times)
+    rows = [(s, i, t, float(i), 1.0) for s in ("a", None) for i, t in enumerate(times)]
+    df = spark.createDataFrame(rows, "symbol string, seq long, ts timestamp_ntz, price double, amount double")
+    got = B.assign_runs(df, f"daily({zone})", block_size=block, keep_contained=True).orderBy("seq").collect()
+    for symbol in ("a", None):
+        assert [(r.run_id, r.begin) for r in got if r.symbol == symbol] == _single_pass(times, zone)
+    plain = B.assign_runs(df, f"daily({zone})", block_size=block).collect()
+    if order == "ascending":
+        assert {r.begin for r in plain} != {r.begin for r in got} or [r.begin for r in sorted(plain, key=lambda r: r.seq)] != [r.begin for r in got]

@@ -136,6 +136,40 @@ def _zone_in_whole_hours(name: str) -> bool:
     return True
 
 
+def overlapping_days(period: Period) -> bool:
+    """Whether a day of the zone may be shorter than the 24 hours its interval spans (clocks set forward)."""
+    return period.kind != "hourly" and period.fixed_offset_s is None
+
+
+@functools.cache
+def _short_days_apart(name: str) -> bool:
+    """No two days in a row are shorter than 24 hours (looked up from 1970 to 2100, once per zone)."""
+    import datetime as _dt
+
+    zone, day = ZoneInfo(name), _dt.date(1970, 1, 1)
+    last, short = None, False
+    while day.year < 2100:
+        begin = _dt.datetime(day.year, day.month, day.day, tzinfo=zone).timestamp()
+        now = last is not None and begin - last < 86400
+        if now and short:
+            return False
+        last, short, day = begin, now, day + _dt.timedelta(days=1)
+    return True
+
+
+def earlier_interval(ts: Column, begin: Column, period: Period) -> Column:
+    """Begin of the day before, where its 24-hour interval contains ``ts`` too; null otherwise.
+
+    That is so in the first hour after a day on which clocks are set forward.
+    """
+    if not overlapping_days(period):
+        return F.lit(None).cast("timestamp_ntz")
+    if not _short_days_apart(period.zone):
+        raise ValueError(f"{period.zone} has days of less than 24 hours in a row")
+    before = period_begin(F.timestamp_add("MICROSECOND", F.lit(-1), begin), period)
+    return F.when(period_end(before, period) > ts, before)
+
+
 def period_begin(ts: Column | str, period: Period | str) -> Column:
     """Begin of the aligned interval that contains ``ts`` (NTZ in, NTZ out)."""
     period = parse_period(period) if isinstance(period, str) else period

@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.periods import Period, parse_period, period_begin, period_end, whole_hour_offsets
+from ..functions.periods import Period, earlier_interval, overlapping_days, parse_period, period_begin, period_end, whole_hour_offsets
 from ..plans import sequence
 
 TIE_RULES = (None, "prepend", "append")
@@ -208,6 +208,7 @@ def assign_runs(
     order_col: str = "seq",
     block_size: int = sequence.DEFAULT_BLOCK,
     seed_col: str | None = None,
+    keep_contained: bool = False,
 ) -> DataFrame:
     """Split arrival-ordered trades into consecutive runs of equal interval.
 
@@ -217,13 +218,37 @@ def assign_runs(
     Lag and running count use the blocked sequence plan, so one symbol is
     spread over many tasks.  ``seed_col`` (streaming tails) is added into the
     running count, so a carried-over row can continue an earlier run id.
+    ``keep_contained`` lets a trade stay in the current interval while that one contains it, as
+    a single pass over the trades would (see :func:`kept_intervals`).
     """
     p = parse_period(period) if isinstance(period, str) else period
     keyed = trades.where(F.col("ts").isNotNull()).withColumn("begin", period_begin("ts", p))
+    if keep_contained and overlapping_days(p):
+        keyed = kept_intervals(keyed, p, order_col=order_col, block_size=block_size)
     return sequence.segment_ids(keyed, ["symbol"], order_col, "begin", "run_id", block_size=block_size,
                                 seed_col=seed_col)
 
 
+def kept_intervals(keyed: DataFrame, period: Period, *, order_col: str = "seq", block_size: int = sequence.DEFAULT_BLOCK) -> DataFrame:
+    """``begin`` under the rule that a trade stays in the current interval while that contains it.
+
+    A day's interval spans 24 hours, so after a day of 23 hours it contains the next day's first
+    hour too.  As a function from the current interval to the next one, a trade outside
+    such an hour is constant: its own interval.  One inside keeps either of its two intervals
+    and maps all others to its own.  Runs of such trades in one hour compose to one of them, so what
+    matters is the interval of the newest trade that is constant, or first of its hour: a
+    value carried along the blocks of the sequence plan, with no pass over a whole symbol.
+    """
+    own, other = F.col("begin"), F.col("_other")
+    d = keyed.withColumn("_other", earlier_interval(F.col("ts"), own, period))
+    d = sequence.with_previous(d, ["symbol"], order_col, ["begin", "_other"], block_size=block_size, prefix="_before_")
+    first = other.isNull() | ~(F.col("_before__other").eqNullSafe(other) & F.col("_before_begin").eqNullSafe(own))
+    # a trade that comes first in its hour keeps the interval of a constant trade right before it
+    kept = F.when(other.isNotNull() & F.col("_before__other").isNull() & (F.col("_before_begin") == other), other).otherwise(own)
+    d = sequence.with_latest(d, ["symbol"], order_col, kept, first, "_kept", block_size=block_size)
+    return d.withColumn("begin", F.col("_kept")).drop("_other", "_before_begin", "_before__other", "_kept")
+
+
 def ohlcv_runs(
     trades: DataFrame,
     period: Period | str = "daily",
@@ -232,6 +257,7 @@ def ohlcv_runs(
     order_col: str = "seq",
     block_size: int = sequence.DEFAULT_BLOCK,
     nan_compat: bool = True,
+    keep_contained: bool = False,
 ) -> DataFrame:
     """One bar per consecutive run (the reference's split-when semantics).
 
@@ -239,6 +265,6 @@ def ohlcv_runs(
     unordered arrivals one interval can yield several bars.
     """
     p = parse_period(period) if isinstance(period, str) else period
-    runs = assign_runs(trades, p, order_col=order_col, block_size=block_size)
+    runs = assign_runs(trades, p, order_col=order_col, block_size=block_size, keep_contained=keep_contained)
     bars = ohlcv(runs, ["symbol", "run_id", "begin"], tie_break, nan_compat=nan_compat)
     return bars.select("symbol", "run_id", "begin", period_end("begin", p).alias("end"), *BAR_COLUMNS)

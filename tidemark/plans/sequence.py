@@ -331,6 +331,45 @@ def with_previous(
     return _finish(j, keep_blocks)
 
 
+def _latest(blocks: DataFrame, pk: Sequence[str], last: str, level: int, ident: str = BLK) -> DataFrame:
+    """(pk, block, _p): per key the newest ``last`` that is not null of all blocks before."""
+    up = f"_up{level}"
+    keys = [*pk, up] if level else list(pk)
+    if level:
+        blocks = blocks.withColumn(up, F.expr(f"({ident} - pmod({ident}, {FAN_OUT}L)) div {FAN_OUT}L"))
+    over = f"OVER (PARTITION BY {_keys_sql(keys)} ORDER BY {ident}{_BEFORE})"
+    inner = blocks.select(*keys, ident, F.expr(f"last({last}, true) {over} AS _p"))
+    if not level:
+        return inner
+    wider = blocks.groupBy(*keys).agg(F.expr(f"max_by({last}, {ident}) FILTER (WHERE {last} IS NOT NULL) AS {last}"))
+    before = _latest(wider, pk, last, level - 1, up).withColumnRenamed("_p", "_b")
+    return inner.join(before, keys).select(*pk, ident, F.coalesce("_p", "_b").alias("_p"))
+
+
+def with_latest(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_col: str,
+    value: Column | str,
+    when: Column | str,
+    out: str,
+    *,
+    descending: bool = False,
+    block_size: int = DEFAULT_BLOCK,
+    even: bool | None = None,
+) -> DataFrame:
+    """``out``: the value of the newest row so far, the row itself included, for which ``when`` holds (else null)."""
+    d, pk = with_blocks(df, order_col, descending, block_size, keys, even)
+    value, when = (F.expr(x) if isinstance(x, str) else x for x in (value, when))
+    d = d.withColumn("_known", F.when(when, F.struct(value.alias("v"))))
+    d = d.withColumn("_here", F.expr(f"last(_known, true) {_over_block(pk, _RUNNING)}"))
+    blocks = d.groupBy(*pk, BLK).agg(F.expr(f"max_by(_known, {ORD}) FILTER (WHERE _known IS NOT NULL) AS _last"))
+    blocks, level = _stored(blocks, block_size)
+    j = d.join(_latest(blocks, pk, "_last", level), [*pk, BLK], "inner")
+    j = j.withColumn(out, F.coalesce("_here", "_p").getField("v"))
+    return _finish(j.drop("_known", "_here", "_p"), False)
+
+
 def lag_change(df: DataFrame, keys: Sequence[str], order_col: str, col: str, out: str = "changed",
                **kw) -> DataFrame:
     """Does ``col`` differ from the previous row's value (true on each key's first row)?"""
