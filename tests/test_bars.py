@@ -201,3 +201,18 @@ def test_runs_that_keep_contained_trades(spark, order, block):
     plain = B.assign_runs(df, f"daily({zone})", block_size=block).collect()
     if order == "ascending":
         assert {r.begin for r in plain} != {r.begin for r in got} or [r.begin for r in sorted(plain, key=lambda r: r.seq)] != [r.begin for r in got]
+
+
+def test_stable_volumes_are_the_same_to_the_last_bit(spark):
+    rng = random.Random(3)
+    amounts = [rng.choice([1e-9, 0.1, 1e6, -3.7]) * rng.random() for _ in range(4000)]
+    rows = [("a", i, dt.datetime(2024, 1, 1, i % 24), 1.0, a) for i, a in enumerate(amounts)]
+    rows += [("b", 1, dt.datetime(2024, 1, 1), 1.0, float("inf")), ("c", 1, dt.datetime(2024, 1, 1), 1.0, None), ("d", 1, dt.datetime(2024, 1, 1), 1.0, float("nan"))]
+    df = spark.createDataFrame(rows, "symbol string, seq long, ts timestamp_ntz, price double, amount double")
+    seen = set()
+    for partitions in (1, 8, 211):
+        bars = B.periodic_ohlcv(df.repartition(partitions, "seq"), "daily", "prepend", stable_volume=True).collect()
+        seen.add(tuple(sorted((r.symbol, repr(r.volume)) for r in bars)))
+    assert len(seen) == 1
+    got = dict(seen.pop())
+    assert float(got["a"]) == pytest.approx(math.fsum(amounts), rel=1e-12) and got["b"] == "inf" and got["c"] == "None" and got["d"] == "nan"

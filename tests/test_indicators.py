@@ -146,3 +146,21 @@ def test_running_sum_needs_one_row_a_day(spark):
         I.calculated(df, "sma(2)", exact_running_sum=True).collect()
     ok = I.calculated(df.dropDuplicates(["date"]), "sma(2)", exact_running_sum=True).collect()
     assert sorted(r.adj_close_sma_2 for r in ok) == [10.5, 11.5]
+
+
+@pytest.mark.parametrize("n", [1, 3, 10])
+def test_decimal_means_are_exact(spark, n):
+    from decimal import ROUND_HALF_UP, Decimal, localcontext
+
+    rng = random.Random(n)
+    values = [None if rng.random() < 0.1 else Decimal(rng.randint(-(10**17), 10**17)).scaleb(-4) for _ in range(80)]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(values)], "symbol string, seq long, v decimal(18,4)")
+    out = I.sma(df, "v", n, newest_first=False, chunk_rows=16)
+    assert out.schema["v_sma_%d" % n].dataType.simpleString() == "decimal(22,8)"
+    got = {r.seq: r[f"v_sma_{n}"] for r in out.collect()}
+    assert set(got) == set(range(80 - n + 1))
+    with localcontext() as ctx:
+        ctx.prec = 60
+        for i, g in got.items():
+            own = [v for v in values[i : i + n] if v is not None]
+            assert g == (None if not own else (sum(own) / len(own)).quantize(Decimal("1e-8"), ROUND_HALF_UP))

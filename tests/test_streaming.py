@@ -176,3 +176,42 @@ def test_csv_stream_in_arrival_order(spark):
     assert [(r.run_id, r.begin.hour, r.n) for r in bars] == [(1, 5, 2), (2, 6, 1), (3, 5, 1), (4, 7, 2), (5, 5, 1)]
     ST.to_folder(folder)(spark.range(3), 0)  # a batch that was written stays as it is
     assert spark.read.parquet(folder).count() == 7
+
+
+def test_gap_summaries_merge_however_the_stream_is_cut(spark):
+    from tidemark.operators import timeline as TL
+    from tidemark.streaming import gaps as SG
+
+    t = spark.range(90).selectExpr("CASE WHEN id % 4 = 0 THEN NULL ELSE concat('s', id % 3) END AS symbol", "id AS seq",
+                                   "CASE WHEN id % 13 != 5 THEN timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, (id * 37 % 50) * 1.5) END AS ts")
+    want = {r.symbol: tuple(r)[1:] for r in TL.interarrival_stats(t.where("ts IS NOT NULL")).collect()}
+    for cuts, stripe in (([0, 1, 30, 31, 90], 8), ([0, 90], 1000)):
+        path, out = scratch_path(spark, "gaps"), scratch_path(spark, "o")
+        for a, b in zip(cuts, cuts[1:]):
+            t.where(f"seq >= {a} AND seq < {b}").coalesce(1).write.mode("append").parquet(path)
+        stream = SS.parquet_stream(spark, path, schema=t.schema, max_files_per_trigger=1)
+        SG.stream_gaps(stream, out, scratch_path(spark, "ck"), stripe=stripe).awaitTermination()
+        got = {r.symbol: tuple(r)[1:] for r in SG.read_gap_stats(spark, out).collect()}
+        assert got.keys() == want.keys()
+        assert all(a == pytest.approx(b, abs=1e-9) for k in want for a, b in zip(got[k], want[k]))
+    df = spark.createDataFrame([(9.5,), (12.0,), (None,)], "mean_gap_s double")
+    assert [r[0] for r in df.select(SG.meets_rate(6, 60)).collect()] == [True, False, None]
+
+
+def test_json_stream(spark):
+    from tidemark.streaming import records as SR
+
+    good = '{"timestamp":"2015-09-12T00:00:01.5Z","price":2.5,"amount":3}'
+    for lines, strict, bad in (([good, good], True, None), ([good, "{}"], False, [False, True]), ([good, '{"price":1}'], True, "fails")):
+        root, out = scratch_path(spark, "json"), scratch_path(spark, "o")
+        spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/symbol=a")
+        stream = SR.stream_decode_json(spark, root, strict=strict)
+        if bad == "fails":
+            with pytest.raises(Exception, match="JSON record without|Malformed|STREAM_FAILED"):
+                SS.run_available_now(stream, out)
+            continue
+        rows = SS.run_available_now(stream, out).collect()
+        assert [r.symbol for r in rows] == ["a", "a"] and rows[0].seq is None
+        if bad is not None:
+            assert sorted(r.bad for r in rows) == bad
+        assert sum(r.price or 0 for r in rows) == 2.5 * sum(x == good for x in lines)

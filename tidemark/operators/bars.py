@@ -46,6 +46,17 @@ def _low_sql(col: str, nan_compat: bool) -> str:
     return f"CASE WHEN bool_or(isnan({col})) THEN CAST('NaN' AS DOUBLE) ELSE min({col}) END"
 
 
+def _volume_sql(col: str, stable: bool) -> str:
+    # whole 2**-20 parts and the rest in 2**-52 parts: integer sums, whatever the order
+    if not stable:
+        return f"sum({col})"
+    odd = f"(isnan({col}) OR abs({col}) = double('infinity'))"
+    scaled = f"(CASE WHEN {odd} THEN 0D ELSE {col} * 1048576D END)"
+    whole, rest = f"CAST(floor({scaled}) AS BIGINT)", f"CAST(floor(({scaled} - floor({scaled})) * 4294967296D) AS BIGINT)"
+    special = f"sum(CASE WHEN {odd} THEN {col} WHEN {col} IS NOT NULL THEN 0D END)"
+    return f"(sum({whole}) + sum({rest}) / 4294967296D) / 1048576D + {special}"
+
+
 def _order_keys(tie_break: str | None, t: str, s: str | None) -> tuple[str, str]:
     if tie_break is None or s is None:
         return t, t
@@ -63,8 +74,13 @@ def ohlcv_aggs(
     amount: str = "amount",
     with_seq: bool = False,
     nan_compat: bool = True,
+    stable_volume: bool = False,
 ) -> list[Column]:
-    """Aggregate expressions of one bar (A1 ``prepend``, A2 ``append``)."""
+    """Aggregate expressions of one bar (A1 ``prepend``, A2 ``append``).
+
+    ``stable_volume`` sums amounts in fixed point, to 2**-52, so that a volume is the same
+    to the last bit however rows are dealt; a sum beyond 2**43 fails instead of losing digits.
+    """
     _check_tie(tie_break)
     t, s, p, a = _q(ts), _q(seq), _q(price), _q(amount)
     ok, ck = _order_keys(tie_break, t, s)
@@ -73,7 +89,7 @@ def ohlcv_aggs(
         f"max({p}) AS high",
         f"{_low_sql(p, nan_compat)} AS low",
         f"max_by({p}, {ck}) AS close",
-        f"sum({a}) AS volume",
+        f"{_volume_sql(a, stable_volume)} AS volume",
         "count(1) AS n",
         f"min({t}) AS first_ts",
         f"max({t}) AS last_ts",
@@ -90,13 +106,14 @@ def ohlcv(
     *,
     with_seq: bool = False,
     nan_compat: bool = True,
+    stable_volume: bool = False,
 ) -> DataFrame:
     """One bar per group of ``keys`` (A1/A2/A3).  No group, no bar.
 
     Without keys this is a global fold; Spark returns one all-null row for an
     empty global aggregate, which is dropped (no trade, no bar).
     """
-    out = trades.groupBy(*keys).agg(*ohlcv_aggs(tie_break, with_seq=with_seq, nan_compat=nan_compat))
+    out = trades.groupBy(*keys).agg(*ohlcv_aggs(tie_break, with_seq=with_seq, nan_compat=nan_compat, stable_volume=stable_volume))
     return out if keys else out.where(F.col("n") > 0)
 
 
@@ -119,6 +136,7 @@ def periodic_ohlcv(
     *,
     with_seq: bool = False,
     nan_compat: bool = True,
+    stable_volume: bool = False,
 ) -> DataFrame:
     """One bar per (symbol, period interval) (A4, the flagship).
 
@@ -129,7 +147,7 @@ def periodic_ohlcv(
     p = parse_period(period) if isinstance(period, str) else period
     # a trade without a time lies in no interval (the same for every period kind)
     keyed = trades.where(F.col("ts").isNotNull()).withColumn("begin", period_begin("ts", p))
-    bars = ohlcv(keyed, ["symbol", "begin"], tie_break, with_seq=with_seq, nan_compat=nan_compat)
+    bars = ohlcv(keyed, ["symbol", "begin"], tie_break, with_seq=with_seq, nan_compat=nan_compat, stable_volume=stable_volume)
     cols = ["symbol", "begin", period_end("begin", p).alias("end")] + BAR_COLUMNS
     if with_seq:
         cols += SEQ_COLUMNS

@@ -73,7 +73,8 @@ def moving_averages(
     k sees the previous stage's shortened table, so ``L - sum(n_k - 1)`` rows
     survive per key; surviving values equal the independent ones.  With
     ``chained=False`` rows are kept while every frame is complete.
-    ``fmt`` (e.g. ``"%1.2f"``) turns the SMA columns into formatted text.
+    Decimal columns keep exact sums and have decimal means with four more places; all others
+    are averaged as doubles.  ``fmt`` (e.g. ``"%1.2f"``) turns the SMA columns into formatted text.
     ``exact_running_sum`` reproduces the reference's ``sum + x - head``
     arithmetic bit for bit (see :func:`_running_sum_sma`).
     """
@@ -87,8 +88,10 @@ def moving_averages(
     d = sequence.number_rows(
         df, keys, order_col, "_pos", descending=newest_first, block_size=block_size, with_total="_len"
     )
-    v = "CAST(`" + value_col.replace("`", "``") + "` AS DOUBLE)"
-    d = sequence.frame_means(d, keys, "_pos", v, dict(zip(names, sizes)), chunk_rows=chunk_rows)
+    v, dtype = "`" + value_col.replace("`", "``") + "`", df.schema[value_col].dataType
+    decimal = dtype if isinstance(dtype, T.DecimalType) else None
+    v = v if decimal else f"CAST({v} AS DOUBLE)"
+    d = sequence.frame_means(d, keys, "_pos", v, dict(zip(names, sizes)), chunk_rows=chunk_rows, decimal=decimal)
     lost = sum(n - 1 for n in sizes) if chained else max(sizes) - 1
     d = d.where(F.expr(f"_pos <= _len - {lost}")).drop("_pos", "_len")
     if fmt:

@@ -185,6 +185,24 @@ def q_arrival_timeline(spark, d):
     return TL.arrival_timeline(t, "gap_s", TIMELINE_START).select("symbol", "seq", "arrival_ts")
 
 
+def q_ohlcv_runs_contained(spark, d):
+    """Runs in a zone whose clocks go forward within the data, a trade staying in its interval while that contains it."""
+    t = TD.trades(spark, d).withColumn("ts", F.col("ts") + F.expr("INTERVAL 60 DAYS"))
+    return B.ohlcv_runs(t, f"daily({ZONE})", keep_contained=True)
+
+
+def q_sma_decimal(spark, d):
+    t = TD.trades(spark, d).withColumn("exact", F.col("price").cast("decimal(18,4)"))
+    out = I.sma(t, "exact", 7)
+    return out.select("symbol", "seq", F.col("exact").cast("string").alias("exact"), F.col("exact_sma_7").cast("string").alias("exact_sma_7"))
+
+
+def q_ohlcv_stable(spark, d):
+    """Daily bars whose volumes don't depend on how rows are dealt; the rows are dealt anew."""
+    t = TD.trades(spark, d).repartition(11, "seq")
+    return B.periodic_ohlcv(t, "daily", "prepend", stable_volume=True)
+
+
 def q_interarrival_stats(spark, d):
     s = TL.interarrival_stats(TD.trades(spark, d))
     return s.select("symbol", "n", "n_gaps", _r6(F.col("mean_gap_s")).alias("mean_gap_s"),
@@ -291,6 +309,19 @@ def _sma_sql(n: int) -> str:
     )
 
 
+#: Trades with the begin of the interval they stay in: the day before where that is the one the trade before left.
+_KEPT_SQL = (
+    f"WITH k AS (SELECT * REPLACE (ts + INTERVAL 60 DAY AS ts) FROM ({TRADES_SQL})), "
+    f"i AS (SELECT *, {_zoned_begin('ts', ZONE)} AS own FROM k), "
+    f"o AS (SELECT *, {_zoned_begin('(own - INTERVAL 1 MICROSECOND)', ZONE)} AS day_before FROM i), "
+    "a AS (SELECT *, CASE WHEN day_before + INTERVAL 24 HOUR > ts THEN day_before END AS other FROM o), "
+    "p AS (SELECT *, lag(own) OVER w AS own1, lag(other) OVER w AS other1 FROM a WINDOW w AS (PARTITION BY symbol ORDER BY seq)), "
+    "v AS (SELECT *, CASE WHEN other IS NULL THEN own WHEN other1 = other AND own1 = own THEN NULL "
+    "WHEN other1 IS NULL AND own1 = other THEN other ELSE own END AS kept FROM p) "
+    "SELECT symbol, seq, ts, price, amount, last_value(kept IGNORE NULLS) OVER "
+    "(PARTITION BY symbol ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS kept_begin FROM v"
+)
+
 ORACLE: dict[str, str] = {
     "ohlcv_daily": _bars_sql(TRADES_SQL, "date_trunc('day', ts)", "1 DAY", "prepend"),
     "ohlcv_daily_hash": _bars_sql(TRADES_SQL, "date_trunc('day', ts)", "1 DAY", None),
@@ -361,6 +392,16 @@ ORACLE: dict[str, str] = {
     "ohlcv_runs_zoned": _runs_sql(
         f"SELECT * FROM ({TRADES_SQL}) WHERE seq % 13 <> 0", _zoned_begin("ts", ZONE), "24 HOUR"
     ),
+    "ohlcv_runs_contained": _runs_sql(_KEPT_SQL, "kept_begin", "24 HOUR"),
+    "ohlcv_stable": _bars_sql(TRADES_SQL, "date_trunc('day', ts)", "1 DAY", "prepend"),
+    "sma_decimal": (
+        f"WITH t AS (SELECT symbol, seq, CAST(price AS DECIMAL(18,4)) AS exact FROM ({TRADES_SQL})), s AS (SELECT *, "
+        "CAST(sum(exact) OVER w * 10000 AS HUGEINT) * 10000 AS total, count(*) OVER w AS c FROM t "
+        "WINDOW w AS (PARTITION BY symbol ORDER BY seq ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)), "
+        "u AS (SELECT *, (2 * total + 7) // 14 AS m FROM s WHERE c = 7) "
+        "SELECT symbol, seq, CAST(exact AS VARCHAR) AS exact, CAST(m // 100000000 AS VARCHAR) || '.' || "
+        "lpad(CAST(m % 100000000 AS VARCHAR), 8, '0') AS exact_sma_7 FROM u"
+    ),
     "arrival_timeline": (
         f"WITH t AS ({TRADES_SQL}) SELECT symbol, seq, TIMESTAMP '{TIMELINE_START}' + to_microseconds(CAST("
         "sum(CAST(round(amount / 100.0 * 1000000) AS BIGINT)) OVER (PARTITION BY symbol ORDER BY seq "
@@ -415,6 +456,9 @@ QUERIES: dict[str, QueryFn] = {
     "ohlcv_runs_zoned": q_ohlcv_runs_zoned,
     "arrival_timeline": q_arrival_timeline,
     "interarrival_stats": q_interarrival_stats,
+    "ohlcv_runs_contained": q_ohlcv_runs_contained,
+    "sma_decimal": q_sma_decimal,
+    "ohlcv_stable": q_ohlcv_stable,
     "rate_quantities": q_rate_quantities,
     "quotes_lookback": q_quotes_lookback,
     "trades_symbol": q_trades_symbol,

@@ -16,11 +16,12 @@ from ..session import scratch_path
 from ..sources import records as R
 from ..sources import testdata as TD
 from ..streaming import bars as SB
+from ..streaming import gaps as SG
 from ..streaming import records as SR
 from ..streaming import sources as SS
 from ..streaming import stateful as ST
 from .sequence import number_rows
-from .catalog import BIG_SQL, TRADES_SQL, ZONE, _bars_sql, _quotes_sql, _r6, _runs_sql, _sma_sql, _zoned_begin
+from .catalog import BIG_SQL, ORACLE, TRADES_SQL, ZONE, _bars_sql, _quotes_sql, _r6, _runs_sql, _sma_sql, _zoned_begin
 
 _BAR_COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
 QUOTES_SYMBOL = "purchase"
@@ -202,6 +203,24 @@ def q_stream_csv_json(spark, d):
     return R.trades_from_json(lines, keep=["symbol"])
 
 
+def q_stream_json_csv(spark, d):
+    """Decode a stream of JSON lines, encode it as CSV files, read those."""
+    root, out, state = (scratch_path(spark, x) for x in ("json-lines", "csv-lines", "csv-ckpt"))
+    R.trades_to_json(TD.trades(spark, d), keep=["symbol"]).write.partitionBy("symbol").option("lineSep", "\n").text(root)
+    encoded = SR.stream_encode_csv(SR.stream_decode_json(spark, root))
+    w = encoded.writeStream.format("csv").option("header", True).option("path", out).option("checkpointLocation", state)
+    w.trigger(availableNow=True).start().awaitTermination()
+    back = spark.read.option("header", True).schema(", ".join(f"`{c}` string" for c in encoded.columns)).csv(out)
+    return back.select("symbol", R.parse_iso_instant(F.col("timestamp")).alias("ts"), F.col("price").cast("double").alias("price"), F.col("amount").cast("double").alias("amount"))
+
+
+def q_stream_gap_stats(spark, d):
+    out = scratch_path(spark, "gaps-out")
+    SG.stream_gaps(_events_stream(spark, d), out, scratch_path(spark, "gaps-ckpt"), partitions=STATE_PARTITIONS, stripe=1024).awaitTermination()
+    s = SG.read_gap_stats(spark, out)
+    return s.select("symbol", "n", "n_gaps", *(_r6(F.col(c)).alias(c) for c in ("mean_gap_s", "min_gap_s", "max_gap_s")))
+
+
 def q_stream_csv_runs(spark, d):
     """Decode CSV files, split the trades into runs in arrival order, fold each run."""
     root = scratch_path(spark, "raw-files")
@@ -277,6 +296,8 @@ ORACLE_IO: dict[str, str] = {
     "stream_sma": _sma_sql(10),
     "stream_runs": _runs_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY"),
     "stream_csv_json": _SECOND_TRADES,
+    "stream_json_csv": f"SELECT symbol, ts, price, amount FROM ({TRADES_SQL})",
+    "stream_gap_stats": ORACLE["interarrival_stats"],
     "stream_csv_runs": _runs_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY"),
     "trades_multifile": (
         "SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY seq) AS BIGINT) AS rn, "
@@ -313,6 +334,8 @@ QUERIES_IO = {
     "stream_runs": q_stream_runs,
     "stream_csv_json": q_stream_csv_json,
     "stream_csv_runs": q_stream_csv_runs,
+    "stream_json_csv": q_stream_json_csv,
+    "stream_gap_stats": q_stream_gap_stats,
     "trades_multifile": q_trades_multifile,
     "quotes_header_order": q_quotes_header_order,
     "records_permissive": q_records_permissive,

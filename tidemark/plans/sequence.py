@@ -423,6 +423,7 @@ def frame_means(
     sizes: Mapping[str, int],
     *,
     chunk_rows: int = DEFAULT_CHUNK,
+    decimal: T.DecimalType | None = None,
 ) -> DataFrame:
     """Means of ``value`` over ``pos .. pos+n-1`` per output column, at a cost per row that does not grow with n.
 
@@ -430,8 +431,15 @@ def frame_means(
     beginning of the next, so its sum is a running sum backwards plus a running sum
     forwards n-1 rows on: nothing is subtracted and nothing drifts.  Chunks and their
     halos are those of :func:`frame_aggregates`; frames past the key's last row are
-    partial and the caller filters by position.
+    partial and the caller filters by position.  ``value`` is SQL for a double, or for a
+    decimal of the type ``decimal``: sums are exact then, and means have four more decimal places.
     """
+    zero, mean = "0D", "try_divide({total}, {count})"
+    if decimal:
+        p, s = min(38, decimal.precision + 10), decimal.scale
+        zero = f"CAST(0 AS DECIMAL({p},{s}))"
+        value = f"CAST({value} AS DECIMAL({decimal.precision},{s}))"
+        mean = f"CAST(round(try_divide(CAST({{total}} AS DECIMAL({p},{s})), CAST({{count}} AS DECIMAL(10,0))), {s + 4}) AS DECIMAL({min(38, decimal.precision + 4)},{s + 4}))"
     nmax = max(sizes.values())
     if min(sizes.values()) <= 0:
         raise ValueError("frame length must be positive")
@@ -441,16 +449,16 @@ def frame_means(
     added = []
     for i, (out, n) in enumerate(sizes.items()):
         blk, to_end, to_here, far = f"_b{i}", f"_e{i}", f"_h{i}", f"_f{i}"
-        pair = f"named_struct('s', coalesce(sum({value}) {{0}}, 0D), 'c', count({value}) {{0}})"
+        pair = f"named_struct('s', coalesce(sum({value}) {{0}}, {zero}), 'c', count({value}) {{0}})"
         back = f"OVER ({over}, {blk} ORDER BY {pos} DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         here = f"OVER ({over}, {blk} ORDER BY {pos} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
         parts = parts.withColumn(blk, F.expr(f"({pos} - 1) div {n}L"))
         parts = parts.withColumn(to_end, F.expr(pair.format(back))).withColumn(to_here, F.expr(pair.format(here)))
         parts = parts.withColumn(far, F.expr(f"lead({to_here}, {n - 1}) OVER ({over} ORDER BY {pos})"))
         whole = f"pmod({pos} - 1, {n}L) = 0"
-        total = f"{to_end}.s + if({whole}, 0D, coalesce({far}.s, 0D))"
+        total = f"{to_end}.s + if({whole}, {zero}, coalesce({far}.s, {zero}))"
         count = f"{to_end}.c + if({whole}, 0L, coalesce({far}.c, 0L))"
-        parts = parts.withColumn(out, F.expr(f"try_divide({total}, {count})"))
+        parts = parts.withColumn(out, F.expr(mean.format(total=total, count=count)))
         added += [blk, to_end, to_here, far]
     return parts.where(~F.col("_halo")).drop("_chunk", "_halo", *added)
 

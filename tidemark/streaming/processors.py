@@ -268,3 +268,29 @@ class FinalBars(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+GAP_COLUMNS = ["n", "n_gaps", "sum_us", "min_us", "max_us", "first_seq", "first_us", "last_seq", "last_us"]
+GAP_TYPES = ", ".join(f"{c} long" for c in GAP_COLUMNS)
+
+
+class StripeGaps(StatefulProcessor):
+    """What a batch adds to the gaps of a stripe: the gap to the batch before is among them."""
+
+    def __init__(self, keys: list[str]):
+        self.keys = keys
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("last", "us long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("seq", kind="stable")
+        seq, ts = new["seq"].to_numpy(np.int64), new["ts_us"].to_numpy(np.int64)
+        gaps = np.diff(ts, prepend=[self.state.get()[0]] if self.state.exists() else [])
+        self.state.update((int(ts[-1]),))
+        least, most = (int(gaps.min()), int(gaps.max())) if len(gaps) else (0, 0)
+        row = [len(ts), len(gaps), int(gaps.sum()), least, most, int(seq[0]), int(ts[0]), int(seq[-1]), int(ts[-1])]
+        yield pd.DataFrame([[*key, *row]], columns=[*self.keys, "stripe", *GAP_COLUMNS])
+
+    def close(self) -> None:
+        pass

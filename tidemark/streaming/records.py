@@ -1,4 +1,4 @@
-"""Record streams (ST4): CSV lines in, trades in arrival order, JSON or CSV lines out."""
+"""Record streams (ST4): CSV or JSON lines in, trades in arrival order, JSON or CSV lines out."""
 
 from __future__ import annotations
 
@@ -30,6 +30,16 @@ def stream_decode_trades(spark: SparkSession, root: str, *, strict: bool = True)
     return R.rows_to_trades(rows, symbol=F.col("symbol"), strict=strict)
 
 
+def stream_decode_json(spark: SparkSession, root: str, *, strict: bool = True) -> DataFrame:
+    """Stream JSON trades, one per line, under ``root/symbol=<s>/`` as trades; ``seq`` is null as above.
+
+    In strict mode a line without a time, price or amount fails the stream, else it stays, flagged ``bad``.
+    """
+    lines = spark.readStream.option("lineSep", "\n").schema("value string, symbol string").text(root)
+    rows = R.trades_from_json(lines, strict=strict, keep=["symbol"])
+    return rows.select("symbol", F.lit(None).cast("long").alias("seq"), *[c for c in rows.columns if c != "symbol"])
+
+
 class OrderedTrades:
     """``foreachBatch`` handler over :func:`stream_lines`: decodes a batch into trades whose ``seq`` is the
     arrival order (batch by batch, within one file by file, line by line) and hands them on."""
