@@ -215,3 +215,23 @@ def test_json_stream(spark):
         if bad is not None:
             assert sorted(r.bad for r in rows) == bad
         assert sum(r.price or 0 for r in rows) == 2.5 * sum(x == good for x in lines)
+
+
+def test_two_streams_of_unequal_pace_pair_by_position(spark):
+    from tidemark.operators.zipping import zip_join
+    from tidemark.streaming import zipping as SZ
+
+    t = spark.range(120).selectExpr("CASE WHEN id % 5 = 0 THEN NULL ELSE concat('s', id % 2) END AS symbol", "id AS seq",
+                                    "timestamp_ntz'2024-01-01 00:00:00.000123' + make_dt_interval(0, 0, 0, id) AS ts", "IF(id % 9 = 2, NULL, id / 7.0D) AS price")
+    u = spark.range(50).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE concat('s', id % 2) END AS symbol", "id * 3 AS at", "IF(id = 4, double('nan'), double(id)) AS v")
+    a, b, out = (scratch_path(spark, x) for x in ("left", "right", "o"))
+    for k in range(4):
+        t.where(f"seq >= {30 * k} AND seq < {30 * k + 30}").coalesce(1).write.mode("append").parquet(a)
+    for k in range(2):
+        u.where(f"at >= {75 * k} AND at < {75 * k + 75}").coalesce(1).write.mode("append").parquet(b)
+    left, right = (SS.parquet_stream(spark, p, schema=df.schema, max_files_per_trigger=1) for p, df in ((a, t), (b, u)))
+    SZ.stream_zip(left, right, out, scratch_path(spark, "ck"), right_order="at", stripe=16, block=8).awaitTermination()
+    got = spark.read.parquet(out)
+    want = zip_join(t, u, right_order="at")
+    rows = lambda df: sorted(str(tuple(r)) for r in df.select("symbol", "rn", "l_seq", "l_ts", "l_price", "r_at", "r_v").collect())
+    assert rows(got) == rows(want) and got.count() > 30

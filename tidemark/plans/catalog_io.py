@@ -20,6 +20,7 @@ from ..streaming import gaps as SG
 from ..streaming import records as SR
 from ..streaming import sources as SS
 from ..streaming import stateful as ST
+from ..streaming import zipping as SZ
 from .sequence import number_rows
 from .catalog import BIG_SQL, ORACLE, TRADES_SQL, ZONE, _bars_sql, _quotes_sql, _r6, _runs_sql, _sma_sql, _zoned_begin
 
@@ -214,6 +215,16 @@ def q_stream_json_csv(spark, d):
     return back.select("symbol", R.parse_iso_instant(F.col("timestamp")).alias("ts"), F.col("price").cast("double").alias("price"), F.col("amount").cast("double").alias("amount"))
 
 
+def q_stream_zip(spark, d):
+    """All trades beside every third one, as two streams."""
+    events = _events_stream(spark, d)
+    right = events.where("seq % 3 = 0").select("symbol", F.col("seq").alias("at"), "amount")
+    out = scratch_path(spark, "zip-out")
+    SZ.stream_zip(events.select("symbol", "seq", "price"), right, out, scratch_path(spark, "zip-ckpt"), right_order="at",
+                  stripe=4096, partitions=STATE_PARTITIONS).awaitTermination()
+    return spark.read.parquet(out)
+
+
 def q_stream_gap_stats(spark, d):
     out = scratch_path(spark, "gaps-out")
     SG.stream_gaps(_events_stream(spark, d), out, scratch_path(spark, "gaps-ckpt"), partitions=STATE_PARTITIONS, stripe=1024).awaitTermination()
@@ -298,6 +309,12 @@ ORACLE_IO: dict[str, str] = {
     "stream_csv_json": _SECOND_TRADES,
     "stream_json_csv": f"SELECT symbol, ts, price, amount FROM ({TRADES_SQL})",
     "stream_gap_stats": ORACLE["interarrival_stats"],
+    "stream_zip": (
+        f"WITH t AS ({TRADES_SQL}), l AS (SELECT symbol, seq, price, row_number() OVER (PARTITION BY symbol ORDER BY seq) AS rn FROM t), "
+        "r AS (SELECT symbol, seq, amount, row_number() OVER (PARTITION BY symbol ORDER BY seq) AS rn FROM t WHERE seq % 3 = 0) "
+        "SELECT l.symbol, CAST(l.rn AS BIGINT) AS rn, l.seq AS l_seq, l.price AS l_price, r.seq AS r_at, r.amount AS r_amount "
+        "FROM l JOIN r ON l.symbol = r.symbol AND l.rn = r.rn"
+    ),
     "stream_csv_runs": _runs_sql(BIG_SQL, "date_trunc('day', ts)", "1 DAY"),
     "trades_multifile": (
         "SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY seq) AS BIGINT) AS rn, "
@@ -336,6 +353,7 @@ QUERIES_IO = {
     "stream_csv_runs": q_stream_csv_runs,
     "stream_json_csv": q_stream_json_csv,
     "stream_gap_stats": q_stream_gap_stats,
+    "stream_zip": q_stream_zip,
     "trades_multifile": q_trades_multifile,
     "quotes_header_order": q_quotes_header_order,
     "records_permissive": q_records_permissive,

@@ -17,7 +17,6 @@ from pyspark.sql import types as T
 
 from ..functions.formatting import format_2dp, iso_instant, parse_iso_instant
 from ..functions.periods import seconds_ntz
-from ..session import scratch_path
 
 # Fixed values of the record formats.
 FIELD_SEPARATOR = r"\s*,\s*"
@@ -77,17 +76,43 @@ def arrival_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 SPLIT_COLUMNS = ["_metadata.file_path AS file", "_metadata.file_block_start AS file_block"]
 
 
+def _counted_places(names: list[str]):
+    """Adds ``_place``, the number of lines before a line in its split; a split's lines come one after the other."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        held, n = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file = batch.column(names.index("file")).dictionary_encode()
+            keys = np.stack([file.indices.to_numpy(zero_copy_only=False), batch.column(names.index("file_block")).to_numpy(zero_copy_only=False)])
+            begins = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)]))
+            place = np.arange(batch.num_rows) - np.repeat(begins, np.diff(np.append(begins, batch.num_rows)))
+            split = lambda i: (file[int(i)].as_py(), int(keys[1, i]))
+            if split(0) == held:
+                place[: begins[1] if len(begins) > 1 else None] += n
+            held, n = split(batch.num_rows - 1), int(place[-1]) + 1
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(place)], names=[*names, "_place"])
+
+    return run
+
+
 def with_arrival(lines: DataFrame, first: int = 0) -> DataFrame:
-    """Batch lines with ``file`` and ``file_block`` -> the same with ``seq`` from ``first`` on."""
-    spark = lines.sparkSession
-    stored = scratch_path(spark, "lines")
-    lines.withColumn("_at", F.monotonically_increasing_id()).write.parquet(stored)
-    placed = spark.read.parquet(stored)
-    splits = placed.groupBy("file", "file_block").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    """Batch lines with ``file`` and ``file_block`` -> the same with ``seq`` from ``first`` on.
+
+    A line's number is how many lines the splits before its own have, in the order of file and place,
+    and its place in its split, counted while it is read.  Neither depends on how splits are packed
+    into tasks.  The input is read twice, the first time for one count per split; no text is written.
+    """
+    splits = lines.groupBy("file", "file_block").agg(F.count("*").alias("_n"))
     before = Window.orderBy("file", "file_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)) + F.lit(first)).drop("_n")
-    seq = F.col("_before") + F.col("_at") - F.col("_first")
-    return placed.join(splits, ["file", "file_block"]).withColumn("seq", seq).drop("_at", "_first", "_before", "file_block")
+    schema = T.StructType([*lines.schema.fields, T.StructField("_place", T.LongType())])
+    placed = lines.mapInArrow(_counted_places(lines.columns), schema)
+    return placed.join(splits, ["file", "file_block"]).withColumn("seq", F.col("_before") + F.col("_place")).drop("_place", "_before", "file_block")
 
 
 def parse_csv(lines: DataFrame, *, max_line_bytes: int | None = None, strict: bool = True,

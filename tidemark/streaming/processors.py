@@ -294,3 +294,115 @@ class StripeGaps(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class CountStripe(StatefulProcessor):
+    """Rows of a stripe with their place in it, and a message (slot -1) with how many rows it got."""
+
+    def __init__(self, keys: list[str]):
+        self.keys = keys
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("seen", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("ord", kind="stable")
+        seen = self.state.get()[0] if self.state.exists() else 0
+        self.state.update((seen + len(new),))
+        names = dict(zip(self.keys, key))
+        stripe = names["stripe"]
+        place = np.arange(seen, seen + len(new))
+        yield pd.DataFrame({**{k: [v] * len(new) for k, v in names.items()}, "slot": [stripe] * len(new), "place": place, "row": new["row"].to_numpy()})
+        yield pd.DataFrame({**{k: [v] for k, v in names.items()}, "slot": [-1], "place": [len(new)], "row": [None]})
+
+    def close(self) -> None:
+        pass
+
+
+class OffsetStripe(StatefulProcessor):
+    """For each stripe that has got its first rows how many rows the stripes before it have; rows pass."""
+
+    def __init__(self, keys: list[str]):
+        self.keys = keys
+
+    def init(self, handle) -> None:
+        self.total = handle.getValueState("total", "n long, newest long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        names = dict(zip(self.keys, key))
+        columns = [k for k in self.keys if k != "slot"] + ["stripe", "place", "row"]
+        if names["slot"] >= 0:
+            for batch in rows:
+                yield batch.assign(**{k: v for k, v in names.items() if k != "slot"})[columns]
+            return
+        total, newest = self.total.get() if self.total.exists() else (0, None)
+        out = []
+        for stripe, n in pd.concat(list(rows)).sort_values("stripe")[["stripe", "place"]].itertuples(index=False):
+            if newest is None or stripe > newest:
+                out.append((int(stripe), -1 - total))  # below zero: an offset and not a place
+                newest = int(stripe)
+            elif stripe < newest:
+                raise ValueError("a row came after rows of a later stripe")
+            total += int(n)
+        self.total.update((total, newest))
+        if out:
+            frame = pd.DataFrame(out, columns=["stripe", "place"])
+            yield frame.assign(row=None, **{k: v for k, v in names.items() if k != "slot"})[columns]
+
+    def close(self) -> None:
+        pass
+
+
+class PlaceStripe(StatefulProcessor):
+    """Rows of a stripe with their position in the whole key, dealt to blocks of positions."""
+
+    def __init__(self, keys: list[str], block: int):
+        self.keys, self.block = keys, block
+
+    def init(self, handle) -> None:
+        self.state = handle.getValueState("offset", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        place = new["place"].to_numpy(np.int64)
+        if (place < 0).any():
+            self.state.update((int(-1 - place[place < 0][0]),))
+        own = new[place >= 0]
+        if len(own):
+            pos = self.state.get()[0] + place[place >= 0]
+            names = {k: v for k, v in zip(self.keys, key) if k != "stripe"}
+            yield pd.DataFrame({**{k: [v] * len(own) for k, v in names.items()}, "block": pos // self.block, "pos": pos + 1, "row": own["row"].to_numpy()})
+
+    def close(self) -> None:
+        pass
+
+
+class PairBlock(StatefulProcessor):
+    """Rows of both sides at one position; the side that comes first waits."""
+
+    def __init__(self, keys: list[str]):
+        self.keys = keys
+
+    def init(self, handle) -> None:
+        self.waiting = [handle.getMapState(name, "pos long", "row string") for name in ("left", "right")]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows))
+        sides = [dict(zip(own["pos"].tolist(), own["row"].tolist())) for own in (new[new["side"] == 0], new[new["side"] == 1])]
+        out = []
+        for mine, other, side in ((0, 1, sides[0]), (1, 0, sides[1])):
+            for pos in [*side]:
+                if mine == 0 and pos in sides[1]:
+                    out.append((pos, side.pop(pos), sides[1].pop(pos)))
+                elif self.waiting[other].containsKey((pos,)):
+                    row = self.waiting[other].getValue((pos,))[0]
+                    self.waiting[other].removeKey((pos,))
+                    out.append((pos, side[pos], row) if mine == 0 else (pos, row, side[pos]))
+                else:
+                    self.waiting[mine].updateValue((pos,), (side[pos],))
+        if out:
+            names = {k: v for k, v in zip(self.keys, key) if k != "block"}
+            yield pd.DataFrame(out, columns=["pos", "left", "right"]).assign(**names)
+
+    def close(self) -> None:
+        pass
