@@ -1,11 +1,14 @@
 """Embedding near-duplicates by int8 tile products with error bounds.
 
 Vectors are compared within their label only.  Equal vectors count as one class.
-The classes of a label are dealt out to tiles; every pair of tiles is one group.
+The classes of a label are sorted along one fixed direction and cut into tiles; every pair
+of tiles is one group, but for those too far apart: unit vectors of cosine c are
+sqrt(2 - 2c) apart, and so are their places along the direction at most.
 A vector u (of length one) is stored as scale * q + r with int8 q, and |r| = e is
 measured, so the true cosine of u and v lies within e_u + e_v + e_u * e_v of
-scale_u * scale_v * (q_u . q_v).  Only pairs that can reach the threshold are
-computed in double precision.
+scale_u * scale_v * (q_u . q_v).  Pairs of tiles meet as int8 first; only those with a pair
+of vectors that can reach the threshold meet in double precision, where only such
+pairs are computed.
 
 A tile pair reports, per class, how many vectors it links to and the smallest
 class it is connected with: at most a row per class, never the links themselves.
@@ -15,12 +18,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship, stored
+from .common import ranked, ship, stored
 from .components import components
-from .vectors import blocked, matrix, numbered, roots, usable
+from .vectors import matrix, numbered, roots, usable
 
 #: Beyond the quantisation error: rounding of the float32 product and of the bound itself.
 SLACK = 1e-5
@@ -46,15 +49,19 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Indices (x in a, y in b) of the pairs with cosine >= threshold; within a tile x < y."""
+def possible_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Indices (x in a, y in b) of the pairs that can have cosine >= threshold; within a tile x < y."""
     other = a if b is None else b
     bound = a["e"][:, None] + other["e"][None, :] + a["e"][:, None] * other["e"][None, :]
     near = product(a["q"], other["q"]) * a["s"][:, None] * other["s"][None, :]
     possible = near + bound + SLACK >= threshold
-    if b is None:
-        possible = np.triu(possible, 1)
-    x, y = np.nonzero(possible)
+    return np.nonzero(np.triu(possible, 1) if b is None else possible)
+
+
+def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the possible pairs whose cosine is at least the threshold in double precision."""
+    other = a if b is None else b
+    x, y = possible_links(a, b, threshold)
     keep = np.zeros(len(x), bool)
     for at in range(0, len(x), 1 << 15):  # full precision, a bounded number of pairs at a time
         i, j = x[at : at + (1 << 15)], y[at : at + (1 << 15)]
@@ -66,10 +73,12 @@ def tile_links(a: dict, b: dict | None, threshold: float) -> tuple[np.ndarray, n
 def _tile(width: int):
     def run(table: pa.Table) -> pa.Table:
         q, s, e, u = quantise(matrix(table.column("vector"), width, "f8"))
+        place = table.column("place").to_numpy()
         cells = {
             "label": pa.array([table.column("label")[0].as_py()], pa.string()),
             "block": pa.array([table.column("block")[0].as_py()], pa.int32()),
-            "n_blocks": pa.array([table.column("n_blocks")[0].as_py()], pa.int32()),
+            "low": pa.array([place.min()]),
+            "high": pa.array([place.max()]),
         }
         parts = {"c": table.column("class").to_numpy(), "n": table.column("n").to_numpy(), "s": s, "e": e, "q": q, "u": u}
         return pa.table(cells | {k: pa.array([np.ascontiguousarray(v).tobytes()], pa.binary()) for k, v in parts.items()})
@@ -77,16 +86,31 @@ def _tile(width: int):
     return run
 
 
-def _read_tile(table: pa.Table, k: int, width: int) -> dict:
-    kinds = {"c": "i8", "n": "i8", "s": "f8", "e": "f8", "q": "i1", "u": "f8"}
-    out = {name: np.frombuffer(table.column(name)[k].as_py(), kind) for name, kind in kinds.items()}
-    return out | {name: out[name].reshape(-1, width) for name in "qu"}
+_KINDS = {"c": "i8", "n": "i8", "s": "f8", "e": "f8", "q": "i1", "u": "f8"}
+
+
+def _read_tiles(table: pa.Table, width: int) -> tuple[dict, dict | None]:
+    """The tile or the two tiles of a group, with the parts that came along."""
+    tiles = []
+    for k in np.argsort(table.column("block").to_numpy()):
+        parts = {name: np.frombuffer(table.column(name)[k].as_py(), kind) for name, kind in _KINDS.items() if name in table.column_names}
+        tiles.append(parts | {name: parts[name].reshape(-1, width) for name in "qu" if name in parts})
+    return tiles[0], tiles[1] if len(tiles) > 1 else None
+
+
+def _possible(width: int, threshold: float):
+    """The pair of tiles, if a pair of its vectors can reach the threshold."""
+
+    def run(table: pa.Table) -> pa.Table:
+        hit = len(possible_links(*_read_tiles(table, width), threshold)[0]) > 0
+        return table.select(["label", "first", "second"])[: 1 if hit else 0]
+
+    return run
 
 
 def _pair(width: int, threshold: float):
     def run(table: pa.Table) -> pa.Table:
-        tiles = [_read_tile(table, k, width) for k in np.argsort(table.column("block").to_numpy())]
-        a, b = tiles[0], tiles[1] if len(tiles) > 1 else None
+        a, b = _read_tiles(table, width)
         x, y = tile_links(a, b, threshold)
         classes, sizes = (a["c"], a["n"]) if b is None else (np.concatenate([a["c"], b["c"]]), np.concatenate([a["n"], b["n"]]))
         if b is not None:
@@ -99,6 +123,21 @@ def _pair(width: int, threshold: float):
     return run
 
 
+def along(vector: str, width: int) -> Column:
+    """Where the unit vector lies along a fixed direction (of length one, each component of either sign)."""
+    unit = f"transform({vector}, x -> x / array_max(transform({vector}, y -> abs(y))))"
+    sign = "if(xxhash64(i) % 2 = 0, 1D, -1D)"
+    dot = f"aggregate(transform(u, (x, i) -> x * {sign}), 0D, (a, x) -> a + x)"
+    norm = "sqrt(aggregate(u, 0D, (a, x) -> a + x * x))"
+    return F.expr(f"transform(array({unit}), u -> {dot} / {norm} / sqrt({float(width)}D))[0]")
+
+
+def _meeting(pairs: DataFrame, tiles: DataFrame) -> DataFrame:
+    """The tiles of each pair, one row each; a tile paired with itself comes once."""
+    ends = pairs.withColumn("block", F.explode(F.array_distinct(F.array("first", "second"))))
+    return ends.join(tiles, ["label", "block"])
+
+
 def embedding_duplicates(
     vectors: DataFrame,
     threshold: float = 0.98,
@@ -129,15 +168,22 @@ def embedding_duplicates(
     classes = numbered(grouped, "vector-classes", "class")
     width = classes.agg(F.max(F.size("vector")).alias("w")).first()["w"] or 1
 
-    sizes = classes.groupBy("label").agg(F.count("*").alias("of_label"))
-    dealt = blocked(classes.join(sizes, "label"), "class", F.col("of_label"), tile)
-    schema = "label string, block int, n_blocks int, c binary, n binary, s binary, e binary, q binary, u binary"
-    tiles = dealt.select("label", "block", "n_blocks", "class", "n", "vector").groupBy("label", "block").applyInArrow(_tile(width), schema)
+    rows_of = ranked(classes.withColumn("place", along("vector", width)), ["label"], ["place", "class"], "vector-ranks")
+    schema = "label string, block int, low double, high double, c binary, n binary, s binary, e binary, q binary, u binary"
+    dealt = rows_of.withColumn("block", F.floor(F.col("rank") / tile).cast("int"))
+    tiles = dealt.select("label", "block", "class", "n", "vector", "place").groupBy("label", "block").applyInArrow(_tile(width), schema)
     tiles = stored(tiles, "tiles")
-    # each tile goes to the pair with every tile of its label, itself included
-    others = F.explode(F.expr("sequence(0, n_blocks - 1)")).alias("other")
-    paired = tiles.select("*", others).withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    found = paired.groupBy("label", "low", "high").applyInArrow(_pair(width, threshold), "class long, root long, links long")
+    # all pairs of tiles of a label, itself included, that lie near enough; rows without vectors
+    last = tiles.groupBy("label").agg(F.max("block").alias("last"))
+    firsts = tiles.select("label", F.col("block").alias("first"), "high").join(last, "label")
+    pairs = firsts.withColumn("second", F.explode(F.expr("sequence(first, last)")))
+    seconds = tiles.select("label", F.col("block").alias("second"), F.col("low").alias("second_low"))
+    reach = (2 - 2 * min(threshold, 1.0)) ** 0.5 + SLACK
+    pairs = pairs.join(seconds, ["label", "second"]).where(F.col("second_low") <= F.col("high") + reach).select("label", "first", "second")
+    near = _meeting(pairs, tiles.select("label", "block", "s", "e", "q"))
+    near = stored(near.groupBy("label", "first", "second").applyInArrow(_possible(width, threshold), "label string, first int, second int"), "tile-pairs")
+    full = _meeting(near, tiles.select("label", "block", "c", "n", "s", "e", "q", "u"))
+    found = full.groupBy("label", "first", "second").applyInArrow(_pair(width, threshold), "class long, root long, links long")
     found = stored(found, "tile-links")
 
     node = components(found.select(F.col("class").alias("a"), F.col("root").alias("b")))
