@@ -210,7 +210,8 @@ def fit(
         return model
     # three times the wanted rows by a bound on the hash, of these the first by the hash
     spread = F.pmod("hash", F.lit(1 << 30)) / float(1 << 30)
-    wanted = known.join(counts, "lang").where(spread < 3.0 * per_language / F.col("n")).select("lang", "hash", "text")
+    bounds = F.broadcast(counts)  # a row per language of the model, as many as the driver has just read
+    wanted = known.join(bounds, "lang").where(spread < 3.0 * per_language / F.col("n")).select("lang", "hash", "text")
     first = Window.partitionBy("lang").orderBy("hash")
     chosen = wanted.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).select("lang", "hash", "text")
 
