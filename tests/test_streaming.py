@@ -235,3 +235,32 @@ def test_two_streams_of_unequal_pace_pair_by_position(spark):
     want = zip_join(t, u, right_order="at")
     rows = lambda df: sorted(str(tuple(r)) for r in df.select("symbol", "rn", "l_seq", "l_ts", "l_price", "r_at", "r_v").collect())
     assert rows(got) == rows(want) and got.count() > 30
+
+
+def test_rows_wait_for_a_slow_stream_as_few_entries_of_the_state(spark):
+    from tidemark.operators.zipping import zip_join
+    from tidemark.streaming import zipping as SZ
+
+    def batches(name, sizes):
+        path, at = scratch_path(spark, name), -700  # orders below zero, batches that end within a stripe
+        for n in sizes:
+            rows = spark.range(at, at + n).selectExpr("IF(pmod(id, 3) = 0, NULL, 's') AS symbol", "id AS seq", "concat(id, '\\n', '\"') AS note")
+            rows.orderBy(F.desc("seq")).coalesce(1).write.mode("append").parquet(path)
+            at += n
+        return spark.read.parquet(path), SS.parquet_stream(spark, path, schema=rows.schema, max_files_per_trigger=1)
+
+    (t, left), (u, right) = batches("left", [700, 10, 1500, 20]), batches("right", [30, 40, 900, 300])
+    out = scratch_path(spark, "o")
+    q = SZ.stream_zip(left, right, out, scratch_path(spark, "ck"), stripe=32, block=64, partitions=2)
+    q.awaitTermination()
+    got, want = spark.read.parquet(out), zip_join(t, u)
+    rows = lambda df: sorted(str(tuple(r)) for r in df.select("symbol", "rn", "l_seq", "l_note", "r_seq", "r_note").collect())
+    assert rows(got) == rows(want) and got.count() == 1270
+    waiting = [x["stateOperators"] for x in q.recentProgress][-1]
+    assert sum(op["numRowsTotal"] for op in waiting) < 200  # 960 rows of the left stream wait
+
+
+def test_tasks_of_a_state_that_grows_with_its_table(spark):
+    from tidemark.plans import catalog_io as C
+
+    assert [C._state_partitions(spark.range(n)) for n in (0, 100_000, 6_000_001)] == [C.STATE_PARTITIONS, C.STATE_PARTITIONS, 7]

@@ -28,6 +28,8 @@ _BAR_COLS = ["symbol", "begin", "end", *B.BAR_COLUMNS]
 QUOTES_SYMBOL = "purchase"
 #: Tasks that share a stream's state; the given tables have few symbols.
 STATE_PARTITIONS = 4
+#: Rows of a table per task, for streams whose state is spread over all tasks.
+STATE_ROWS = 1_000_000
 QUOTES_AS_OF = dt.date(2024, 1, 30)
 
 
@@ -148,6 +150,11 @@ def _orders_stream(spark, d):
     return TD.trades_from_orders(SS.parquet_stream(spark, d, "orders.parquet", schema=o.schema))
 
 
+def _state_partitions(table):
+    """Tasks for a state that grows with the table."""
+    return max(STATE_PARTITIONS, -(-table.count() // STATE_ROWS))
+
+
 def _unordered_batches(spark, d):
     """The trades as many files in no order of time, some without a symbol, two files to a micro-batch."""
     t = TD.trades(spark, d).withColumn("symbol", F.expr("CASE WHEN seq % 17 != 0 THEN symbol END"))
@@ -221,7 +228,7 @@ def q_stream_zip(spark, d):
     right = events.where("seq % 3 = 0").select("symbol", F.col("seq").alias("at"), "amount")
     out = scratch_path(spark, "zip-out")
     SZ.stream_zip(events.select("symbol", "seq", "price"), right, out, scratch_path(spark, "zip-ckpt"), right_order="at",
-                  stripe=4096, partitions=STATE_PARTITIONS).awaitTermination()
+                  stripe=4096, partitions=_state_partitions(TD.table(spark, d, "events"))).awaitTermination()
     return spark.read.parquet(out)
 
 

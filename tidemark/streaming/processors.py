@@ -296,31 +296,75 @@ class StripeGaps(StatefulProcessor):
         pass
 
 
+CHUNK = 1 << 16  # characters of rows that travel as one
+BUNDLE = 4  # 2**4 consecutive stripes of a key share a group and its state
+
+
+def _packed(rows: list[str]) -> Iterator[tuple[int, int, str]]:
+    """Rows (JSON, so without line feeds) as chunks of bounded size: where each starts, how many rows it has, its text."""
+    if not rows:
+        return
+    label = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows))) // CHUNK
+    cuts = [0, *(np.flatnonzero(np.diff(label)) + 1).tolist(), len(rows)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield a, b - a, "\n".join(rows[a:b])
+
+
+def _unpacked(texts) -> list[str]:
+    return "\n".join(texts).split("\n") if len(texts) else []
+
+
+def pack_stripes(keys: list[str]):
+    """Chunks of the rows that an Arrow batch has of a stripe, with their order values."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            group = batch.groupby(keys, sort=False).ngroup().to_numpy()
+            at = np.argsort(group, kind="stable")
+            order = batch["ord"].to_numpy(np.int64)[at].astype("<i8")
+            rows = batch["row"].to_numpy()[at].tolist()
+            cuts = [0, *(np.flatnonzero(np.diff(group[at])) + 1).tolist(), len(rows)]
+            out = [(at[a], order[a + i : a + i + n].tobytes(), text) for a, b in zip(cuts, cuts[1:]) for i, n, text in _packed(rows[a:b])]
+            first, ords, texts = zip(*out)
+            yield batch.iloc[list(first)][keys].reset_index(drop=True).assign(ords=list(ords), rows=list(texts))
+
+    return run
+
+
 class CountStripe(StatefulProcessor):
-    """Rows of a stripe with their place in it, and a message (slot -1) with how many rows it got."""
+    """Chunks of a stripe's rows in order with the place of their first one, and a message (slot -1) with how many rows it got."""
 
     def __init__(self, keys: list[str]):
         self.keys = keys
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("seen", "n long")
+        self.state = handle.getValueState("seen", "newest long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows)).sort_values("ord", kind="stable")
-        seen = self.state.get()[0] if self.state.exists() else 0
-        self.state.update((seen + len(new),))
         names = dict(zip(self.keys, key))
-        stripe = names["stripe"]
-        place = np.arange(seen, seen + len(new))
-        yield pd.DataFrame({**{k: [v] * len(new) for k, v in names.items()}, "slot": [stripe] * len(new), "place": place, "row": new["row"].to_numpy()})
-        yield pd.DataFrame({**{k: [v] for k, v in names.items()}, "slot": [-1], "place": [len(new)], "row": [None]})
+        slot = names.pop("bundle") % (1 << 62)  # never negative: -1 marks messages
+        newest, total = self.state.get() if self.state.exists() else (None, 0)
+        out = []
+        for stripe, own in pd.concat(list(rows)).groupby("stripe"):
+            order, texts = np.frombuffer(b"".join(own["ords"]), "<i8"), _unpacked(own["rows"])
+            if (np.diff(order) < 0).any():
+                texts = [texts[i] for i in np.argsort(order, kind="stable").tolist()]
+            if newest is not None and stripe < newest:
+                raise ValueError("a row came after rows of a later stripe")
+            seen = total if stripe == newest else 0
+            out += [(stripe, slot, seen + i, n, text) for i, n, text in _packed(texts)] + [(stripe, -1, 0, len(texts), None)]
+            newest, total = int(stripe), seen + len(texts)
+        self.state.update((newest, total))
+        yield pd.DataFrame(out, columns=["stripe", "slot", "place", "n", "rows"]).assign(**names)
 
     def close(self) -> None:
         pass
 
 
 class OffsetStripe(StatefulProcessor):
-    """For each stripe that has got its first rows how many rows the stripes before it have; rows pass."""
+    """For each stripe that has got its first rows how many rows the stripes before it have; chunks pass."""
 
     def __init__(self, keys: list[str]):
         self.keys = keys
@@ -330,14 +374,14 @@ class OffsetStripe(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         names = dict(zip(self.keys, key))
-        columns = [k for k in self.keys if k != "slot"] + ["stripe", "place", "row"]
+        columns = [k for k in self.keys if k != "slot"] + ["stripe", "place", "n", "rows"]
         if names["slot"] >= 0:
             for batch in rows:
                 yield batch.assign(**{k: v for k, v in names.items() if k != "slot"})[columns]
             return
         total, newest = self.total.get() if self.total.exists() else (0, None)
         out = []
-        for stripe, n in pd.concat(list(rows)).sort_values("stripe")[["stripe", "place"]].itertuples(index=False):
+        for stripe, n in pd.concat(list(rows)).sort_values("stripe")[["stripe", "n"]].itertuples(index=False):
             if newest is None or stripe > newest:
                 out.append((int(stripe), -1 - total))  # below zero: an offset and not a place
                 newest = int(stripe)
@@ -347,62 +391,97 @@ class OffsetStripe(StatefulProcessor):
         self.total.update((total, newest))
         if out:
             frame = pd.DataFrame(out, columns=["stripe", "place"])
-            yield frame.assign(row=None, **{k: v for k, v in names.items() if k != "slot"})[columns]
+            yield frame.assign(n=0, rows=None, **{k: v for k, v in names.items() if k != "slot"})[columns]
 
     def close(self) -> None:
         pass
 
 
 class PlaceStripe(StatefulProcessor):
-    """Rows of a stripe with their position in the whole key, dealt to blocks of positions."""
+    """Chunks of stripes with the position of their first row in the whole key, cut where blocks of positions end."""
 
     def __init__(self, keys: list[str], block: int):
         self.keys, self.block = keys, block
 
     def init(self, handle) -> None:
-        self.state = handle.getValueState("offset", "n long")
+        self.state = handle.getValueState("offset", "newest long, n long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows))
-        place = new["place"].to_numpy(np.int64)
-        if (place < 0).any():
-            self.state.update((int(-1 - place[place < 0][0]),))
-        own = new[place >= 0]
-        if len(own):
-            pos = self.state.get()[0] + place[place >= 0]
-            names = {k: v for k, v in zip(self.keys, key) if k != "stripe"}
-            yield pd.DataFrame({**{k: [v] * len(own) for k, v in names.items()}, "block": pos // self.block, "pos": pos + 1, "row": own["row"].to_numpy()})
+        told = new.loc[new["place"] < 0, ["stripe", "place"]]
+        offsets = dict([self.state.get()] if self.state.exists() else [])  # only the newest stripe can get more rows
+        if len(told):
+            offsets |= {int(stripe): int(-1 - place) for stripe, place in told.itertuples(index=False)}
+            newest = max(offsets)
+            self.state.update((newest, offsets[newest]))
+        out = []
+        for stripe, place, n, text in new.loc[new["place"] >= 0, ["stripe", "place", "n", "rows"]].itertuples(index=False):
+            pos = first = offsets[stripe] + int(place)
+            end = first + int(n)
+            if pos // self.block == (end - 1) // self.block:
+                out.append((pos // self.block, pos, text))
+                continue
+            texts = text.split("\n")
+            while pos < end:
+                cut = min(end, (pos // self.block + 1) * self.block)
+                out.append((pos // self.block, pos, "\n".join(texts[pos - first : cut - first])))
+                pos = cut
+        if out:
+            names = {k: v for k, v in zip(self.keys, key) if k != "bundle"}
+            yield pd.DataFrame(out, columns=["block", "pos", "rows"]).assign(**names)
 
     def close(self) -> None:
         pass
 
 
 class PairBlock(StatefulProcessor):
-    """Rows of both sides at one position; the side that comes first waits."""
+    """Rows of both sides at one position; the side that comes first waits.
 
-    def __init__(self, keys: list[str]):
-        self.keys = keys
+    Positions of a side come without gaps, so only one side waits, from the first unpaired position on: as
+    chunks, each written once and read when the other side has rows.  A block that is full has no state.
+    """
+
+    def __init__(self, keys: list[str], block: int):
+        self.keys, self.block = keys, block
 
     def init(self, handle) -> None:
-        self.waiting = [handle.getMapState(name, "pos long", "row string") for name in ("left", "right")]
+        self.state = handle.getValueState("at", "done long, side int, skip long, n long")
+        self.waiting = handle.getListState("waiting", "rows string")
+
+    def _wait(self, rows: list[str]) -> None:
+        if rows:
+            self.waiting.appendList([(text,) for _, _, text in _packed(rows)])
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new = pd.concat(list(rows))
-        sides = [dict(zip(own["pos"].tolist(), own["row"].tolist())) for own in (new[new["side"] == 0], new[new["side"] == 1])]
-        out = []
-        for mine, other, side in ((0, 1, sides[0]), (1, 0, sides[1])):
-            for pos in [*side]:
-                if mine == 0 and pos in sides[1]:
-                    out.append((pos, side.pop(pos), sides[1].pop(pos)))
-                elif self.waiting[other].containsKey((pos,)):
-                    row = self.waiting[other].getValue((pos,))[0]
-                    self.waiting[other].removeKey((pos,))
-                    out.append((pos, side[pos], row) if mine == 0 else (pos, row, side[pos]))
-                else:
-                    self.waiting[mine].updateValue((pos,), (side[pos],))
-        if out:
-            names = {k: v for k, v in zip(self.keys, key) if k != "block"}
-            yield pd.DataFrame(out, columns=["pos", "left", "right"]).assign(**names)
+        new = pd.concat(list(rows)).sort_values("pos")
+        sides = [_unpacked(new.loc[new["side"] == side, "rows"]) for side in (0, 1)]
+        names = dict(zip(self.keys, key))
+        start = names.pop("block") * self.block
+        done, ahead, skip, n = self.state.get() if self.state.exists() else (start, 0, 0, 0)  # skip: rows of the first chunks that are paired
+        if n and not sides[1 - ahead]:
+            self._wait(sides[ahead])
+            self.state.update((done, ahead, skip, n + len(sides[ahead])))
+            return
+        if n:
+            sides[ahead] = _unpacked([text for (text,) in self.waiting.get()])[skip:] + sides[ahead]
+        paired = min(map(len, sides))
+        if paired < n:
+            rest, skip = sides[ahead][n:], skip + paired
+            n += len(rest) - paired
+        else:
+            if n:
+                self.waiting.clear()
+            ahead = int(len(sides[1]) > len(sides[0]))
+            rest, skip = sides[ahead][paired:], 0
+            n = len(rest)
+        self._wait(rest)
+        if done + paired < start + self.block:
+            self.state.update((done + paired, ahead, skip, n))
+        else:
+            self.state.clear()
+        if paired:
+            pos = np.arange(done + 1, done + paired + 1)
+            yield pd.DataFrame({"pos": pos, "left": sides[0][:paired], "right": sides[1][:paired]}).assign(**names)
 
     def close(self) -> None:
         pass

@@ -5,6 +5,8 @@ first.  A position is a stripe's offset and a place within it: stripes (see ``st
 their rows, one small state per symbol and side adds up whole stripes, and rows meet in
 blocks of positions, where the early side waits.  So no step pins a hot symbol to a task
 but the one that sees a number per stripe.  Rows that find no partner stay in the state.
+Tasks pack the rows of a stripe into chunks before they are dealt out; chunks travel
+between the steps and wait in the state, so a row costs no call to the state store.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .processors import CountStripe, OffsetStripe, PairBlock, PlaceStripe
+from .processors import BUNDLE, CountStripe, OffsetStripe, PairBlock, PlaceStripe, pack_stripes
 from .stateful import STRIPE, start, with_state_keys
 
 _JSON = {
@@ -40,16 +42,18 @@ def zip_stream(left: DataFrame, right: DataFrame, left_order: str = "seq", right
         row = F.to_json(F.struct(*own), _JSON)
         sides.append(side.select("symbol", F.lit(number).alias("side"), at.alias("ord"), F.floor(at / stripe).alias("stripe"), row.alias("row")))
     rows, names = with_state_keys(sides[0].unionByName(sides[1]), ["symbol"])
-    keys = [*names, "side", "stripe"]
     head = f"{_KEYS}, side int"
-    out = rows.drop("symbol").groupBy(*keys).transformWithStateInPandas(
-        CountStripe(keys), f"{head}, stripe long, slot long, place long, row string", "append", "none")
+    chunk, bundle = "stripe long, place long, n long, rows string", F.shiftright("stripe", BUNDLE)
+    out = rows.drop("symbol").mapInPandas(pack_stripes([*names, "side", "stripe"]), f"{head}, stripe long, ords binary, rows string")
+    keys = [*names, "side", "bundle"]
+    out = out.withColumn("bundle", bundle).groupBy(*keys).transformWithStateInPandas(CountStripe(keys), f"{head}, slot long, {chunk}", "append", "none")
     keys = [*names, "side", "slot"]
-    out = out.groupBy(*keys).transformWithStateInPandas(OffsetStripe(keys), f"{head}, stripe long, place long, row string", "append", "none")
-    keys = [*names, "side", "stripe"]
-    out = out.groupBy(*keys).transformWithStateInPandas(PlaceStripe(keys, block), f"{head}, block long, pos long, row string", "append", "none")
+    out = out.groupBy(*keys).transformWithStateInPandas(OffsetStripe(keys), f"{head}, {chunk}", "append", "none")
+    keys = [*names, "side", "bundle"]
+    out = out.withColumn("bundle", bundle).groupBy(*keys).transformWithStateInPandas(
+        PlaceStripe(keys, block), f"{head}, block long, pos long, rows string", "append", "none")
     keys = [*names, "block"]
-    out = out.groupBy(*keys).transformWithStateInPandas(PairBlock(keys), f"{_KEYS}, pos long, left string, right string", "append", "none")
+    out = out.groupBy(*keys).transformWithStateInPandas(PairBlock(keys, block), f"{_KEYS}, pos long, left string, right string", "append", "none")
     symbol = F.when(~F.col(names[1]), F.col(names[0])).cast(left.schema["symbol"].dataType).alias("symbol")
     parsed = out.select(symbol, F.col("pos").alias(pos_col), *(F.from_json(c, s, _JSON).alias(c) for c, s in zip(("left", "right"), schemas)))
     cols = [F.col(f"{c}.{f.name}").alias(p + f.name) for c, p, s in zip(("left", "right"), (left_prefix, right_prefix), schemas) for f in s.fields]
